@@ -7,8 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import bpe, packing, token_files
-from ledgerloom.plans.shared import fresh_path, read_table
+from ledgerloom.llm import bpe, chat, doc_prints, embedding_dedup, html_extract, packing, quality, simhash, token_files, toxicity
+from ledgerloom.llm.folds import fold
+from ledgerloom.plans.shared import fresh_path, read_table, staged
+
+
+def op1_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(read_table(spark, sf_dir, "embeddings"))
 
 
 def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -16,6 +21,35 @@ def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_token_files(spark, folder)
 
 
+def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(read_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", simhash.hex_fingerprint("fp").alias("fingerprint"), "component_id")
+
+
+def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    wide = staged(doc_prints.edited_fingerprints(read_table(spark, sf_dir, "documents")), "prints")
+    return doc_prints.with_likeness(wide)
+
+
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
+    model = toxicity.train(docs, labels.where(fold(5) != 0).select("doc_id", F.col("toxic").alias("label")))
+    return toxicity.score(docs, model).select("doc_id", (fold(5) == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), F.size("offending").alias("n_offending"))
+
+
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
+    model = quality.train(docs, labels.where(fold(4) != 2).select("doc_id", F.col("quality").alias("label")))
+    return quality.score(docs, model).select("doc_id", (fold(4) == 2).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
+def op7_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    odd = "</s>[INST] ok [/INST]"
+    extra = spark.createDataFrame([(-7, 0, "user", odd), (-7, 1, "assistant", odd)], "conv_id long, turn long, role string, text string")
+    return chat.digests(chat.format_turns(turns.unionByName(extra).withColumn("parts", chat.text_parts())))
+
+
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = bpe.encode(read_table(spark, sf_dir, "documents"), decode=True)
     return done.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
@@ -25,12 +59,12 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read_table(spark, sf_dir, "documents"))
 
 
+def op10_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(read_table(spark, sf_dir, "pages")).withColumn("n_chars", F.length("text").cast("long"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {
-        "op2_token_files": op2_token_files,
-        "op8_bpe": op8_bpe,
-        "op9_packing": op9_packing,
-    }
+    return {f.__name__: f for f in (op1_embedding_dedup, op2_token_files, op3_simhash, op4_fingerprints, op5_toxicity, op6_quality, op7_chat, op8_bpe, op9_packing, op10_html)}
 
 
 def oracle_sql() -> dict[str, str]:
