@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from html.parser import HTMLParser
+from html import unescape
 from typing import NamedTuple
 
 #: Tags that begin and end a block (fixed values of HTML).
@@ -19,7 +19,13 @@ HEAD = set("title meta link script style base noscript template head".split())
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}, "tbody": {"tr", "td", "th", "thead", "tbody"}, "tfoot": {"tr", "td", "th", "thead", "tbody"}}
 STOPS = {"ul", "ol", "dl", "table", "menu", "select"}
 NO_P = BLOCK - {"button", "option", "optgroup", "caption", "legend", "li", "dd", "dt", "tr", "td", "th", "tbody", "thead", "tfoot", "html", "body", "summary"} | {"li", "dd", "dt"}
+#: Their content is text only, up to their closing tag.
+RAW = set("script style textarea title noscript iframe noframes xmp".split())
 _TOKEN = re.compile(r"[a-z]+|[A-Z][a-z]*")
+#: A comment, a declaration, or a tag with its attributes (quotes that don't close are taken as they are).
+_MARKUP = re.compile(r"""<!--(?:>|->|.*?(?:-->|--!>|\Z))|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)(?:((?:[^>"']|"[^"]*"|'[^']*')*+)>|([^>]*)>)""", re.S)
+_ATTRIBUTE = re.compile(r"""([^\s=/>"']+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""")
+_NAMING = ("class", "id", "role", "aria-label", "itemprop", "data-component")
 
 
 class Block(NamedTuple):
@@ -29,9 +35,23 @@ class Block(NamedTuple):
     linked: int  # characters inside links
 
 
-class Blocks(HTMLParser):
+def _named(attributes: str) -> frozenset[str]:
+    """Words of the attributes that name an element; hidden if it isn't shown."""
+    words: set[str] = set()
+    for k, *v in _ATTRIBUTE.findall(attributes):
+        k, v = k.lower(), "".join(v)
+        if k in _NAMING:
+            words.update(w.lower() for w in _TOKEN.findall(v))
+        elif k in ("hidden", "aria-hidden") and v != "false" or k == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", v):
+            words.add("hidden")
+    return frozenset(words)
+
+
+_NO_NAMES: frozenset[str] = frozenset()
+
+
+class Blocks:
     def __init__(self) -> None:
-        super().__init__(convert_charrefs=True)
         self.stack: list[tuple[str, frozenset[str]]] = []
         self.blocks: list[Block] = []
         self.text: list[str] = []
@@ -39,6 +59,36 @@ class Blocks(HTMLParser):
         self.unseen = 0
         self.links = 0
 
+    def feed(self, html: str) -> None:
+        at, size = 0, len(html)
+        while at < size:
+            m = _MARKUP.search(html, at)
+            stop = m.start() if m else size
+            if stop > at and not self.unseen:
+                self.data(html[at:stop])
+            if not m:
+                break
+            at = m.end()
+            tag = m[2]
+            if tag is None:
+                continue
+            tag = tag.lower()
+            if m[1]:
+                self.end(tag)
+                continue
+            self.start(tag, m[3] or m[4] or "")
+            if tag in RAW:
+                close = re.compile(rf"</{tag}(?=[\s/>])", re.I).search(html, at)
+                at = close.start() if close else size
+        self.flush()
+
+    def data(self, data: str) -> None:
+        if "&" in data:
+            data = unescape(data)
+        self.text.append(data)
+        if self.links:
+            self.linked += len(data)
+
     def flush(self) -> None:
         if self.text:
             text = " ".join("".join(self.text).split())
@@ -61,7 +111,7 @@ class Blocks(HTMLParser):
             if tag in stops:
                 return
 
-    def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
+    def start(self, tag: str, attributes: str) -> None:
         if tag in BLOCK:
             self.flush()
             if self.unseen and tag not in HEAD and any(t == "head" for t, _ in self.stack):
@@ -76,38 +126,20 @@ class Blocks(HTMLParser):
             self.close_open({"a"}, BLOCK)
         if tag in VOID:
             return
-        words: set[str] = set()
-        for k, v in attrs:
-            if k in ("class", "id", "role", "aria-label", "itemprop", "data-component") and v:
-                words.update(w.lower() for w in _TOKEN.findall(v))
-            elif k in ("hidden", "aria-hidden") and v != "false" or k == "style" and v and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", v):
-                words.add("hidden")
-        self.stack.append((tag, frozenset(words)))
+        self.stack.append((tag, _named(attributes) if "=" in attributes or "hidden" in attributes else _NO_NAMES))
         self.unseen += tag in UNSEEN
         self.links += tag == "a"
 
-    def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
-        self.handle_starttag(tag, attrs)
-
-    def handle_endtag(self, tag: str) -> None:
+    def end(self, tag: str) -> None:
         if tag in VOID:
             return
         if tag in BLOCK:
             self.flush()
         if any(t == tag for t, _ in self.stack):
-            stops = BLOCK - {tag} if tag not in BLOCK and tag not in UNSEEN else set()
-            self.close_open({tag}, stops)
-
-    def handle_data(self, data: str) -> None:
-        if not self.unseen:
-            self.text.append(data)
-            if self.links:
-                self.linked += len(data)
+            self.close_open({tag}, BLOCK - {tag} if tag not in BLOCK and tag not in UNSEEN else _NO_NAMES)
 
 
 def leaf_blocks(html: str) -> list[Block]:
     parser = Blocks()
     parser.feed(html)
-    parser.close()
-    parser.flush()
     return parser.blocks

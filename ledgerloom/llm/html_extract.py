@@ -46,7 +46,8 @@ _GROUP = {w: g for g, words in GROUPS.items() for w in words.split()}
 PHRASES = re.compile(r"cookie|copyright|©|all rights reserved|subscribe|sign up|log ?in|advert|sponsored|share this|read more|click here|newsletter|privacy|terms of|comments?\b|reply|related|follow us|menu|home\b|search", re.I)
 
 
-def block_features(b: Block, at: int, n: int) -> list[str]:
+def place_features(b: Block) -> list[str]:
+    """Of the block's ancestors."""
     out = ["bias", f"tag:{b.tags[-1] if b.tags else ''}"]
     tags = set(b.tags)
     out += [f"in:{t}" for t in tags & {"nav", "header", "footer", "aside", "form", "article", "main", "section", "ul", "ol", "table", "figure", "blockquote", "button", "dialog", "menu", "address", "details", "search", "fieldset", "label"}]
@@ -68,7 +69,12 @@ def block_features(b: Block, at: int, n: int) -> list[str]:
     out += [f"near kind:{kind}", f"near kind:{kind} {inside}", f"near:{near}", f"near:{near} {inside}", f"tag:{b.tags[-1] if b.tags else ''} {inside}"]
     if "article" in tags and "header" in tags:
         out.append("header of " + ("article" if b.tags.index("header") > b.tags.index("article") else "page"))
-    size = len(b.text)
+    return out
+
+
+def text_features(b: Block, at: int, n: int) -> list[str]:
+    """Of the block's text and its place among the page's n blocks."""
+    out, size = [], len(b.text)
     out.append(f"size:{min(6, size.bit_length() // 2)}")
     share = b.linked / max(1, size)
     out.append("links:" + ("none" if not b.linked else "some" if share < 0.5 else "most"))
@@ -88,7 +94,7 @@ class Model(NamedTuple):
     moves: np.ndarray  # 2 x 2
 
 
-def train(pages: list[tuple[list[list[str]], list[int]]], rounds: int = 200, rate: float = 0.15, l2: float = 5e-4) -> Model:
+def train(pages: list[tuple[list[list[str]], list[int]]], rounds: int = 100, rate: float = 0.2, l2: float = 5e-4) -> Model:
     """pages: features of each block, and the labels."""
     names = sorted({f for p, _ in pages for b in p for f in b})
     index = {f: i for i, f in enumerate(names)}
@@ -127,31 +133,47 @@ def train(pages: list[tuple[list[list[str]], list[int]]], rounds: int = 200, rat
     return Model(index, w, moves)
 
 
-def viterbi(scores: np.ndarray, moves: np.ndarray) -> np.ndarray:
-    """Best labels of one page; scores: blocks x 2."""
-    n = len(scores)
-    best, back = scores[0], np.zeros((n, 2), np.int8)
-    for t in range(1, n):
-        step = best[:, None] + moves
-        back[t] = step.argmax(0)
-        best = step.max(0) + scores[t]
-    out = np.empty(n, np.int8)
-    out[-1] = best.argmax()
-    for t in range(n - 1, 0, -1):
-        out[t - 1] = back[t, out[t]]
-    return out
-
-
-def main_blocks(html: str, model: Model) -> list[str]:
-    blocks = leaf_blocks(html)
-    if not blocks:
-        return []
-    n = len(blocks)
-    scores = np.array([model.weights[[i for f in block_features(b, t, n) if (i := model.index.get(f)) is not None]].sum(0) for t, b in enumerate(blocks)])
-    return [b.text for b, y in zip(blocks, viterbi(scores, model.moves)) if y]
-
-
-def labelled_pages(pages: int = 600, seed: int = 11) -> list[tuple[str, list[tuple[str, int]]]]:
+def viterbi(scores: list[tuple[float, float]], moves: np.ndarray) -> list[int]:
+    """Best labels of one page, from the two scores of each block."""
+    (m00, m01), (m10, m11) = moves.tolist()
+    a, b = scores[0]
+    back: list[tuple[int, int]] = []
+    for s0, s1 in scores[1:]:
+        back.append((int(b + m10 > a + m00), int(b + m11 > a + m01)))
+        a, b = max(a + m00, b + m10) + s0, max(a + m01, b + m11) + s1
+    out = [int(b > a)]
+    for step in reversed(back):
+        out.append(step[out[-1]])
+    return out[::-1]
+
+
+class Extractor:
+    def __init__(self, model: Model):
+        self.moves = model.moves
+        self.scores = {f: tuple(model.weights[i].tolist()) for f, i in model.index.items()}
+        self.places: dict[tuple, tuple[float, float]] = {}  # of ancestors; emptied at its bound
+
+    def total(self, features: list[str]) -> tuple[float, float]:
+        own = [s for f in features if (s := self.scores.get(f))]
+        return sum(s[0] for s in own), sum(s[1] for s in own)
+
+    def main_blocks(self, html: str) -> list[str]:
+        blocks = leaf_blocks(html)
+        if not blocks:
+            return []
+        n, scores = len(blocks), []
+        for t, b in enumerate(blocks):
+            place = self.places.get((b.tags, b.names))
+            if place is None:
+                if len(self.places) > 50_000:
+                    self.places.clear()
+                place = self.places[b.tags, b.names] = self.total(place_features(b))
+            text = self.total(text_features(b, t, n))
+            scores.append((place[0] + text[0], place[1] + text[1]))
+        return [b.text for b, y in zip(blocks, viterbi(scores, self.moves)) if y]
+
+
+def labelled_pages(pages: int = 400, seed: int = 11) -> list[tuple[str, list[tuple[str, int]]]]:
     """Generated pages, and (text, label) of each of their leaf blocks in order."""
     rng = np.random.default_rng(seed)
     syllables = "ba de ki lo mu na pe ri so tu va we ze in er an qu sch tion ment".split()
@@ -284,7 +306,7 @@ def fitted(pages: list[tuple[str, list[tuple[str, int]]]] | None = None) -> Mode
             labels.append(gold[at][1] if at < len(gold) else 0)
             at += 1
         if blocks:
-            rows.append(([block_features(b, t, len(blocks)) for t, b in enumerate(blocks)], labels))
+            rows.append(([place_features(b) + text_features(b, t, len(blocks)) for t, b in enumerate(blocks)], labels))
     return train(rows)
 
 
@@ -293,8 +315,9 @@ def extract(pages: DataFrame, model: Model | None = None) -> DataFrame:
     shared = pages.sparkSession.sparkContext.broadcast(model or fitted())
 
     def run(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        extractor = Extractor(shared.value)
         for frame in frames:
-            out = ["\n".join(main_blocks(h.as_py(), shared.value)) for h in frame.column(2)]
+            out = ["\n".join(extractor.main_blocks(h.as_py())) for h in frame.column(2)]
             yield pa.RecordBatch.from_arrays([frame.column(0), frame.column(1), pa.array(out, pa.string())], ["page_id", "url", "text"])
 
     return pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.coalesce("html", F.lit("")).alias("html")).mapInArrow(run, "page_id long, url string, text string")

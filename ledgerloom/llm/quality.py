@@ -4,10 +4,10 @@ Trusted positives are documents labelled good; all web text, labels unseen, is t
 unlabelled sample.  A text is described by shares and rates of its characters, words
 and lines, each cut into quantile bins of the unlabelled sample; the score is the
 logistic function of the sum of the bins' weights.  The share of good text among
-the unlabelled is estimated first: a plain positive-against-unlabelled classifier is fitted
-on one half, and the other half gives the least ratio of unlabelled to positive mass
-above a threshold.  The weights then minimise the non-negative unbiased
-risk  pi R_p(+) + max(0, R_u(-) - pi R_p(-)).
+the unlabelled is estimated first: by the share of good ones among all labels, if there
+are labels of both kinds; else a plain positive-against-unlabelled classifier is fitted on one
+half, and the other half gives the least ratio of unlabelled to positive mass above
+a threshold.  The weights then minimise the non-negative unbiased risk  pi R_p(+) + max(0, R_u(-) - pi R_p(-)).
 
 Fitting uses bounded samples by hash order (``max_positive``, ``max_unlabelled``
 documents); scoring reads every text whole.
@@ -104,14 +104,14 @@ def estimate_prior(p: np.ndarray, u: np.ndarray, size: int, rounds: int = 150) -
     return float(np.clip(above_u[best] / above_p[best], 0.01, 0.99))
 
 
-def fit(positive: np.ndarray, unlabelled: np.ndarray, bins: int = 16, rounds: int = 600) -> Model:
-    """Rows of describe()."""
+def fit(positive: np.ndarray, unlabelled: np.ndarray, prior: float | None = None, bins: int = 8, rounds: int = 600) -> Model:
+    """Rows of describe(); prior: share of positives among the unlabelled, estimated if None."""
     if not len(positive) or not len(unlabelled):
         return Model(None, np.zeros(0), 0.0, 0.5)
     edges = np.quantile(unlabelled, np.linspace(0, 1, bins + 1)[1:-1], axis=0).T
     p, u = _bins(positive, edges), _bins(unlabelled, edges)
     size = edges.shape[0] * (edges.shape[1] + 1)
-    prior = estimate_prior(p, u, size)
+    prior = estimate_prior(p, u, size) if prior is None else prior
     w, b = _descend(p, u, size, prior, rounds)
     return Model(edges, w, b, prior)
 
@@ -123,8 +123,11 @@ def probabilities(x: np.ndarray, model: Model) -> np.ndarray:
 
 
 def train(docs: DataFrame, labels: DataFrame, max_positive: int = 6000, max_unlabelled: int = 8000) -> Model:
-    """docs: doc_id, text; labels: doc_id, label (1: good), of the rows that may be learnt from. Only label 1 is used."""
-    good = labels.where("doc_id is not null and label = 1").select(F.col("doc_id").cast("long").alias("doc_id")).distinct()
+    """docs: doc_id, text; labels: doc_id, label (1: good), of the rows that may be learnt from. Of label 0 only the number is used."""
+    named = labels.where("doc_id is not null and label is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("label").alias("label"))
+    n = {r.label: r.n for r in named.groupBy("label").agg(F.count("*").alias("n")).collect()}  # two rows
+    prior = n[1] / (n[0] + n[1]) if n.get(0) and n.get(1) else None
+    good = named.where("label = 1").select("doc_id")
     some = docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id")).distinct()
     picked = by_hash(good, max_positive).withColumn("label", F.lit(1)).unionByName(by_hash(some, max_unlabelled).withColumn("label", F.lit(0)))
 
@@ -136,7 +139,7 @@ def train(docs: DataFrame, labels: DataFrame, max_positive: int = 6000, max_unla
     rows = whole.join(F.broadcast(picked), "doc_id").select("doc_id", "label", "text").mapInArrow(run, "doc_id long, label int, x array<double>").dropDuplicates().collect()
     rows = sorted(rows, key=lambda r: (r.doc_id, r.label, r.x))
     side = lambda y: np.array([r.x for r in rows if r.label == y], float).reshape(-1, len(NAMES))
-    return fit(side(1), side(0))
+    return fit(side(1), side(0), prior)
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
