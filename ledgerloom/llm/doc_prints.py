@@ -45,13 +45,16 @@ def voted(weight: str = "weight") -> Column:
 
 
 def fingerprints(texts: DataFrame, keys: list[str], carried: list[str] | None = None) -> DataFrame:
-    """keys, carried columns and fp of each text; keys identify a row of texts. A text without words has one term of no weight."""
+    """keys, carried columns and fp of each text; keys identify a row of texts. A text without words has one term of no weight.
+
+    Carried columns are grouped by too: first() of a string would make Spark sort all terms before it adds them up.
+    """
     carried = carried or []
     words = F.array_remove(F.split(F.lower("text"), r"[\x20\x09-\x0D]+"), "")
     terms = texts.select(*keys, *carried, words.alias("words")).select(*keys, *carried, F.explode_outer(F.arrays_zip(F.col("words").alias("a"), F.expr("slice(words, 2, greatest(size(words), 1))").alias("b"))).alias("t"))
     weight = F.least(F.length("t.a") + F.coalesce(F.length("t.b"), F.lit(0)), F.lit(MAX_WEIGHT))
     terms = terms.select(*keys, *carried, F.xxhash64("t.a", "t.b").alias("h"), F.coalesce(weight, F.lit(0)).cast("long").alias("w"))
-    sums = terms.groupBy(*keys).agg(*vote_sums(F.col("h"), F.col("w")), F.sum("w").alias("weight"), *[F.first(c).alias(c) for c in carried])
+    sums = terms.groupBy(*keys, *carried).agg(*vote_sums(F.col("h"), F.col("w")), F.sum("w").alias("weight"))
     return sums.select(*keys, *carried, voted().alias("fp"))
 
 
@@ -99,17 +102,17 @@ def edited_fingerprints(docs: DataFrame) -> DataFrame:
     rows = rows.withColumn("edited", F.concat(F.expr("substring(text, 1, cast(n_chars as int) - half)"), F.expr("substring(next_text, 1, half)")))
     carried = ["doc_id", "n_chars", "next_bucket", "next_number", "sha"]
     kinds = F.explode(F.array(F.struct(F.lit(0).alias("kind"), "text"), F.struct(F.lit(1).alias("kind"), F.col("edited").alias("text")))).alias("t")
-    both = rows.withColumn("sha", F.sha2("edited", 256)).select("bucket", "number", *carried, kinds).select("bucket", "number", *carried, "t.kind", "t.text")
+    both = rows.withColumn("sha", F.unhex(F.sha2("edited", 256))).select("bucket", "number", *carried, kinds).select("bucket", "number", *carried, "t.kind", "t.text")
     prints = fingerprints(both, ["bucket", "number", "kind"], carried)
     of = lambda k: F.max(F.when(F.col("kind") == k, F.col("fp")))
-    return prints.groupBy("bucket", "number").agg(of(0).alias("fp"), of(1).alias("edited_fp"), *[F.first(c).alias(c) for c in carried])
+    return prints.groupBy("bucket", "number", *carried).agg(of(0).alias("fp"), of(1).alias("edited_fp"))
 
 
 def with_likeness(wide: DataFrame) -> DataFrame:
     """The likeness of each row's fingerprint to its edited text's and the next row's. wide is read twice: stage it before."""
     after = wide.select(F.col("bucket").alias("next_bucket"), F.col("number").alias("next_number"), F.col("fp").alias("next_fp"))
     return wide.join(after, ["next_bucket", "next_number"], "left").select(
-        "doc_id", "n_chars", F.col("sha").alias("edited_sha256"), hex_fingerprint(F.col("fp")).alias("fingerprint"), hex_fingerprint(F.col("edited_fp")).alias("edited_fingerprint"),
+        "doc_id", "n_chars", F.lower(F.hex("sha")).alias("edited_sha256"), hex_fingerprint(F.col("fp")).alias("fingerprint"), hex_fingerprint(F.col("edited_fp")).alias("edited_fingerprint"),
         likeness(F.col("fp"), F.col("edited_fp")).alias("near_edited"), likeness(F.col("fp"), F.col("next_fp")).alias("near_next"),
     )
 
