@@ -11,6 +11,7 @@ from pyspark.sql.window import Window
 from ledgerloom.functions.dates import parse_date
 from ledgerloom.functions.scalars import fingerprint, is_complex, normalize_ws, parse_amount
 from ledgerloom.plans.model import COLUMNS, FRAGMENTS, ONTOLOGY, Ontology, conform, statement_id, to_statements
+from ledgerloom.plans.shared import staged
 
 #: Exact schemata whose names may be composite.
 NER_SCHEMATA = ("LegalEntity", "Organization", "Company", "Person")
@@ -174,15 +175,14 @@ def drop_replaced(stmt: DataFrame, replacements: DataFrame) -> DataFrame:
 
 def rewrite_references(stmt: DataFrame, replacements: DataFrame, ontology: Ontology = ONTOLOGY) -> tuple[DataFrame, DataFrame]:
     """J-05: the statements that don't point at a replaced entity, and a clone for each fragment whose schema fits the property's range."""
-    pointing = F.col("prop_type") == "entity"
-    gone = replacements.select(F.col("entity_id").alias("value")).distinct()
-    kept = stmt.where(~pointing | pointing.isNull()).unionByName(stmt.where(pointing).join(gone, "value", "left_anti").select(*stmt.columns))
-    frags = replacements.select(F.col("entity_id").alias("value"), "fragment_id", F.col("schema").alias("fragment_schema"))
+    dim = F.broadcast(ontology.schema_dim(stmt.sparkSession).select("schema", "ancestors"))
+    targets = replacements.select("entity_id", "fragment_id", "schema").distinct().join(dim, "schema").groupBy(F.col("entity_id").alias("__old")).agg(F.collect_list(F.struct("fragment_id", "ancestors")).alias("__targets"))
+    rows = stmt.join(targets, (F.col("prop_type") == "entity") & (F.col("value") == F.col("__old")), "left")
     ranges = F.broadcast(ontology.prop_dim(stmt.sparkSession).select("schema", "prop", "range"))
-    dim = F.broadcast(ontology.schema_dim(stmt.sparkSession).select(F.col("schema").alias("fragment_schema"), "ancestors"))
-    hits = stmt.where(pointing).join(frags, "value").join(ranges, ["schema", "prop"], "left").join(dim, "fragment_schema", "left").where("range is null or array_contains(ancestors, range)")
-    clones = hits.withColumn("value", F.col("fragment_id")).select(*stmt.columns).withColumn("id", statement_id())
-    return kept, clones.dropDuplicates(["id"])
+    fits = F.filter("__targets", lambda t: F.col("range").isNull() | F.array_contains(t["ancestors"], F.col("range")))
+    hits = rows.where("__targets is not null").join(ranges, ["schema", "prop"], "left").withColumn("__t", F.explode(fits))
+    clones = hits.withColumn("value", F.col("__t.fragment_id")).select(*stmt.columns).withColumn("id", statement_id())
+    return rows.where("__targets is null").select(*stmt.columns), clones.dropDuplicates(["id"])
 
 
 def union_replaced(kept: DataFrame, rewritten: DataFrame, created: DataFrame) -> DataFrame:
@@ -200,7 +200,7 @@ def fragment_statements(frags: DataFrame, ontology: Ontology = ONTOLOGY) -> Data
 def apply_ner(stmt: DataFrame, cands: DataFrame, ontology: Ontology = ONTOLOGY) -> DataFrame:
     """N-05: statements after approved extractions have replaced the entities they matched."""
     stmt = conform(stmt)
-    frags = resolve_refs(fragments(match_extractions(stmt, latest_approved(cands)), ontology))
+    frags = staged(resolve_refs(fragments(match_extractions(stmt, latest_approved(cands)), ontology)), "fragments")  # used three times
     kept, rewritten = rewrite_references(drop_replaced(stmt, frags), frags, ontology)
     return union_replaced(kept, rewritten, fragment_statements(frags, ontology)).select(*COLUMNS)
 

@@ -362,7 +362,7 @@ def manual_merge(spark, d):
 
 
 _XREF = V.STMT + """, names AS (SELECT entity_id AS id, max(schema) AS schema, max(value) FILTER (prop = 'name') AS name, max(value) FILTER (prop = 'country') AS country FROM stmt WHERE dataset IN ('customers', 'suppliers') GROUP BY 1),
-  tok AS (SELECT *, list_sort(list_distinct(list_filter(regexp_split_to_array(lower(name), '[^a-z0-9]+'), x -> x <> ''))) AS ts FROM names),
+  tok AS (SELECT *, list_sort(list_distinct(list_filter(regexp_split_to_array(lower(name), '[^a-z0-9]+'), lambda x: x <> ''))) AS ts FROM names),
   ex AS (SELECT id, t FROM (SELECT id, unnest(ts) AS t FROM tok) WHERE length(t) >= 3), ok AS (SELECT t FROM ex GROUP BY t HAVING count(*) BETWEEN 2 AND 50),
   pr AS (SELECT DISTINCT a.id AS l, b.id AS r FROM ex a JOIN ex b USING (t) JOIN ok USING (t) WHERE a.id < b.id),
   sc AS (SELECT l, r, 0.5 * len(list_intersect(a.ts, b.ts)) / len(list_distinct(list_concat(a.ts, b.ts))) + 0.4 * (1 - levenshtein(array_to_string(a.ts, ' '), array_to_string(b.ts, ' ')) / greatest(length(array_to_string(a.ts, ' ')), length(array_to_string(b.ts, ' '))))
@@ -439,8 +439,8 @@ def cluster_payload(spark, d):
     return out.select("cluster_id", F.size("members").cast("bigint").alias("n_members"), F.size("pairs").cast("bigint").alias("n_pairs"), F.array_max(F.transform("pairs", lambda p: p["score"])).alias("best"))
 
 
-@query("""WITH l AS (SELECT ((user_id * 7 + event_id) % 40)::VARCHAR AS pair_key, (user_id % 4)::VARCHAR AS user_id, event_type, max(ts) AS at FROM events WHERE event_type IN ('view', 'click') GROUP BY 1, 2, 3),
-  held AS (SELECT pair_key FROM l WHERE event_type = 'view' AND user_id <> '1' AND at + INTERVAL 30 MINUTE > TIMESTAMP '2024-01-30 20:00:00' UNION SELECT pair_key FROM l WHERE event_type = 'click' AND user_id = '1' AND at + INTERVAL 120 MINUTE > TIMESTAMP '2024-01-30 20:00:00')
+@query("""WITH l AS (SELECT ((user_id * 7 + event_id) % 40)::VARCHAR AS pair_key, (user_id % 4)::VARCHAR AS user_id, event_type, max(ts) AS t FROM events WHERE event_type IN ('view', 'click') GROUP BY 1, 2, 3),
+  held AS (SELECT pair_key FROM l WHERE event_type = 'view' AND user_id <> '1' AND t + INTERVAL 30 MINUTE > TIMESTAMP '2024-01-30 20:00:00' UNION SELECT pair_key FROM l WHERE event_type = 'click' AND user_id = '1' AND t + INTERVAL 120 MINUTE > TIMESTAMP '2024-01-30 20:00:00')
   SELECT i::VARCHAR AS pair_key FROM range(40) t(i) WHERE i::VARCHAR NOT IN (SELECT pair_key FROM held)""")
 def review_queue(spark, d):
     e = read_table(spark, d, "events").select(((F.col("user_id") * 7 + F.col("event_id")) % 40).cast("string").alias("pair_key"), (F.col("user_id") % 4).cast("string").alias("user_id"), "event_type", F.col("ts").alias("at"))
@@ -493,7 +493,7 @@ def composite_fields(spark, d):
     return ner.ner_inputs(_text_statements(spark, d)).select("dataset", "entity_id", "fingerprint")
 
 
-@query("""WITH s AS (SELECT doc_id, list_distinct(list_filter(list_transform(regexp_split_to_array(text, '[;,]'), x -> trim(regexp_replace(x, '\\s+', ' ', 'g'))), x -> length(x) >= 3)) AS names FROM documents)
+@query("""WITH s AS (SELECT doc_id, list_distinct(list_filter(list_transform(regexp_split_to_array(text, '[;,]'), lambda x: trim(regexp_replace(x, '\\s+', ' ', 'g'))), lambda x: length(x) >= 3)) AS names FROM documents)
   SELECT doc_id, len(names)::INT AS n_names, sha1(array_to_string(list_sort(names), '|')) AS names_sha1 FROM s""")
 def delimiter_split(spark, d):
     names = ner.split_names(F.col("text"))
@@ -522,7 +522,7 @@ def ner_apply(spark, d):
     return ner.apply_ner(stmt, V.part_candidates(spark, d)).select("id", "entity_id", "schema", "prop", "value", "dataset")
 
 
-@query("""SELECT p_partkey, array_to_string(CASE p_partkey % 6 WHEN 0 THEN [] WHEN 1 THEN ['unknown schema'] WHEN 2 THEN ['unknown property'] WHEN 3 THEN ['unknown reference'] WHEN 4 THEN ['bad value'] ELSE ['reference out of range'] END, '|') AS reasons FROM part""")
+@query("""SELECT p_partkey, array_to_string(CASE p_partkey % 6 WHEN 0 THEN [] WHEN 1 THEN ['reference out of range', 'unknown schema'] WHEN 2 THEN ['unknown property'] WHEN 3 THEN ['unknown reference'] WHEN 4 THEN ['bad value'] ELSE ['reference out of range'] END, '|') AS reasons FROM part""")
 def ner_validate(spark, d):
     k = F.col("p_partkey") % 6
     schema = F.when(k == 1, "Planet").otherwise("Person")
@@ -540,7 +540,7 @@ def ner_store(spark, d):
     return ner.store_candidates(all_.drop("status", "created_at", "updated_at", "reviewer", "reviewed_at", "id"), all_.where("status = 'rejected'")).select("fingerprint", "status")
 
 
-@query("""WITH c AS (SELECT DISTINCT p_name AS id FROM part), n AS (SELECT id, row_number() OVER (ORDER BY id) - 1 AS i FROM c), e AS (SELECT i, arg_max(event_type, (ts, event_id)) AS t, max(ts) AS at, arg_max(user_id, (ts, event_id))::VARCHAR AS u FROM (SELECT *, user_id % 80 AS i FROM events) GROUP BY i)
+@query("""WITH c AS (SELECT DISTINCT p_name AS id FROM part), n AS (SELECT id, row_number() OVER (ORDER BY id) - 1 AS i FROM c), e AS (SELECT i, arg_max(event_type, (ts, event_id)) AS t, max(ts) AS ats, arg_max(user_id, (ts, event_id))::VARCHAR AS u FROM (SELECT *, user_id % 80 AS i FROM events) GROUP BY i)
   SELECT id, CASE WHEN t IS NULL OR t IN ('error', 'view') THEN 'pending' WHEN t IN ('purchase', 'signup') THEN 'approved' ELSE 'rejected' END AS status, CASE WHEN t IN ('purchase', 'signup', 'click') THEN u END AS reviewer FROM n LEFT JOIN e USING (i)""")
 def ner_reviews(spark, d):
     n = read_table(spark, d, "part").select("p_name").distinct().withColumn("i", F.row_number().over(Window.orderBy("p_name")) - 1)  # one row a name: a few dozen
@@ -569,7 +569,7 @@ def pending_extractions(spark, d):
     return ner.pending(rows, status="approved", limit=25).select("fingerprint")
 
 
-@query("""SELECT count(*) AS processed, count(*) FILTER (NOT ok) AS skipped, count(*) FILTER (ok) AS upserted, (SELECT count(*) FROM documents WHERE lang = 'en') AS cached FROM (SELECT len(list_filter(list_transform(regexp_split_to_array(text, '[;,]'), x -> trim(regexp_replace(x, '\\s+', ' ', 'g'))), x -> length(x) >= 3)) > 0 AS ok FROM documents)""")
+@query("""SELECT count(*) AS processed, count(*) FILTER (NOT ok) AS skipped, count(*) FILTER (ok) AS upserted, (SELECT count(*) FROM documents WHERE lang = 'en') AS cached FROM (SELECT len(list_filter(list_transform(regexp_split_to_array(text, '[;,]'), lambda x: trim(regexp_replace(x, '\\s+', ' ', 'g'))), lambda x: length(x) >= 3)) > 0 AS ok FROM documents)""")
 def extraction_counters(spark, d):
     docs = read_table(spark, d, "documents")
     inputs = docs.select(F.col("source").alias("dataset"), F.concat(F.lit("doc-"), "doc_id").alias("entity_id"), F.lit("name").alias("property_name"), S.fingerprint("text").alias("fingerprint"), F.col("text").alias("source_text"), "lang")
@@ -585,7 +585,7 @@ def _canon(spark, d):
     return N.canonicalise(V.actor_statements(spark, d), V.supplier_linker(spark, d))
 
 
-@query("WITH " + V.CANON + _VIEW + " SELECT id, display_name, schema, names_text, len(list_filter(regexp_split_to_array(lower(names_text), '[^a-z0-9]+'), x -> x <> ''))::INT AS n_tokens FROM view")
+@query("WITH " + V.CANON + _VIEW + " SELECT id, display_name, schema, names_text, len(list_filter(regexp_split_to_array(lower(names_text), '[^a-z0-9]+'), lambda x: x <> ''))::INT AS n_tokens FROM view")
 def search_view(spark, d):
     return search.search_view(_canon(spark, d)).select("id", "display_name", "schema", "names_text", F.size("tokens").alias("n_tokens"))
 

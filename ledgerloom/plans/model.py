@@ -66,10 +66,7 @@ class Ontology:
         known = [s for s, _ in self.tree]
         if not names:
             return known
-        out: list[str] = []
-        for n in names:
-            out += [x for x in [n, *(s for s in known if n in self.ancestors(s))] if x not in out]
-        return out
+        return list(dict.fromkeys(x for n in names for x in [n, *(s for s in known if n in self.ancestors(s))]))
 
     def schema_rows(self) -> list[tuple]:
         return [(s, self.ancestors(s), self.depth(s), s in self.edges, *(self.edges.get(s) or (None, None, None))) for s, _ in self.tree]

@@ -112,8 +112,8 @@ def ledger_events(spark: SparkSession, d: str) -> DataFrame:
 
 
 LEDGER = """ledger AS (SELECT event_id, user_id::VARCHAR || '-' || strftime(ts, '%Y%m%d') AS run_id, 'set-' || (user_id % 25)::VARCHAR AS dataset_name,
-  CASE WHEN event_type = 'error' THEN 'failed' WHEN event_type IN ('purchase', 'signup') THEN 'succeeded' ELSE 'running' END AS status, ts AS at, CASE WHEN event_type = 'error' THEN props END AS error_message, props AS stats FROM events),
-runs AS (SELECT run_id AS id, min(dataset_name) AS dataset_name, min(at) AS started_at, arg_max(status, (at, event_id)) AS status, max(at) FILTER (status IN ('succeeded', 'failed')) AS last_final, arg_max(error_message, (at, event_id)) FILTER (true) AS err, arg_max(stats, (at, event_id)) AS stats FROM ledger GROUP BY run_id)"""
+  CASE WHEN event_type = 'error' THEN 'failed' WHEN event_type IN ('purchase', 'signup') THEN 'succeeded' ELSE 'running' END AS status, ts AS t, CASE WHEN event_type = 'error' THEN props END AS error_message, props AS stats FROM events),
+runs AS (SELECT run_id AS id, min(dataset_name) AS dataset_name, min(t) AS started_at, arg_max(status, (t, event_id)) AS status, max(t) FILTER (status IN ('succeeded', 'failed')) AS last_final, arg_max(stats, (t, event_id)) AS stats FROM ledger GROUP BY run_id)"""
 
 
 def part_candidates(spark: SparkSession, d: str) -> DataFrame:

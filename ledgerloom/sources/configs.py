@@ -45,6 +45,6 @@ def dataset_dim(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             rows = [r for t in frame["value"] if (r := parse_config(t))]
-            yield pd.DataFrame(rows, columns=["name", "prefix", "title", "summary", "description", "url", "tags", "publisher", "coverage", "licence"])
+            yield pd.DataFrame(rows, columns=["name", "prefix", "title", "summary", "description", "url", "tags", "publisher", "coverage", "licence"], dtype=object)
 
     return spark.read.text(paths, wholetext=True).mapInPandas(run, SCHEMA)

@@ -97,7 +97,7 @@ def directory_fields(pages: DataFrame) -> DataFrame:
                 parser = _Directory()
                 parser.feed(html or "")
                 rows.append({"url": url, **parser.done()})
-            yield pd.DataFrame(rows, columns=["url", "title", "subtitle", "description", "facts", "items"])
+            yield pd.DataFrame(rows, columns=["url", "title", "subtitle", "description", "facts", "items"], dtype=object)
 
     return pages.select("url", "html").mapInPandas(run, f"url string, {PAGE}")
 
@@ -147,6 +147,6 @@ def extract_links(pages: DataFrame, text: str | None = None, within: str | None
                     for a, b, c, inner in _ANCHOR.findall(part):
                         if text is None or " ".join(re.sub(r"<[^>]*>", " ", inner).split()) == text:
                             out.add(urljoin(url or "", (a or b or c).strip()))
-            yield pd.DataFrame({"link": sorted(out)})
+            yield pd.DataFrame({"link": sorted(out)}, dtype=object)
 
     return pages.select("url", "html").mapInPandas(run, "link string").distinct()
