@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.tokens import CACHE_ENTRIES, TokenCache, batches, flatten, gather, spans, tokenizer_path
+from ledgerloom.llm.tokens import CACHE_ENTRIES, TokenCache, batches, flatten, gather, spans, tokenizer_path, young_text
 
 _NONE = np.int32(2**31 - 1)
 
@@ -64,6 +64,7 @@ class WordBpe:
         for s, i in [*vocab.items(), *self.special.items()]:
             self.names[i] = s
         self.cache = TokenCache(entries)
+        self.path, self.library = path, None
 
     def merge(self, sym: np.ndarray, lens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all words in order and their counts, from byte symbols; lens: symbols of each word, 1 or more."""
@@ -108,9 +109,15 @@ class WordBpe:
         sym[ends] = self.last[raw[ends]]
         return self.merge(sym, lens)
 
-    @staticmethod
-    def normal(text: str) -> str:
-        text = unicodedata.normalize("NFC", text)
+    def normal(self, text: str) -> str:
+        """Composed and lower case; a text that must be composed, or with characters younger than Python's tables, goes to the library's own normaliser, whose tables are other than Python's."""
+        if text.isascii():
+            return text.lower()
+        if not unicodedata.is_normalized("NFC", text) or young_text().search(text):
+            from tokenizers import Tokenizer
+
+            self.library = self.library or Tokenizer.from_file(self.path).normalizer
+            return self.library.normalize_str(text)
         return (text.replace("Σ", "σ") if "Σ" in text else text).lower()
 
     def encode(self, texts: Sequence[str]) -> list[np.ndarray]:

@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import functools
 import os
+import re
 import unicodedata
 from collections.abc import Callable, Sequence
 
@@ -45,9 +46,30 @@ def char_classes() -> np.ndarray:
     kinds = {"L": LETTER, "N": NUMBER}
     out = np.fromiter((kinds.get(unicodedata.category(chr(c))[0], MARK) for c in range(0x110000)), np.uint8, 0x110000)
     out[_SPACES] = SPACE
+    # Characters younger than Python's tables: as the library's patterns class them.
+    from tokenizers import Regex, normalizers
+
+    young = "".join(map(chr, unassigned()[unassigned() < 0x40000]))
+    for pattern, kind in ((r"\p{L}", LETTER), (r"\p{N}", NUMBER)):
+        shown = normalizers.Replace(Regex(pattern), "x").normalize_str(young)
+        out[[ord(a) for a, b in zip(young, shown) if a != b]] = kind
     return out
 
 
+@functools.cache
+def unassigned() -> np.ndarray:
+    """Code points that Python's tables don't know."""
+    return np.array([c for c in range(0x110000) if unicodedata.category(chr(c)) == "Cn"], np.int64)
+
+
+@functools.cache
+def young_text() -> re.Pattern:
+    """Finds a code point that Python's tables don't know."""
+    codes = unassigned()
+    starts, ends = codes[np.append(True, np.diff(codes) > 1)], codes[np.append(np.diff(codes) > 1, True)]
+    return re.compile("[" + "".join(f"\\U{a:08x}-\\U{b:08x}" for a, b in zip(starts.tolist(), ends.tolist())) + "]")
+
+
 @functools.cache
 def _mixers() -> tuple[np.ndarray, int, int]:
     """A random odd number for each code point, the base of the polynomial and its inverse mod 2**64."""
