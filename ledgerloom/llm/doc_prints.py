@@ -53,7 +53,7 @@ def fingerprints(texts: DataFrame, keys: list[str], carried: list[str] | None =
     words = F.array_remove(F.split(F.lower("text"), r"[\x20\x09-\x0D]+"), "")
     terms = texts.select(*keys, *carried, words.alias("words")).select(*keys, *carried, F.explode_outer(F.arrays_zip(F.col("words").alias("a"), F.expr("slice(words, 2, greatest(size(words), 1))").alias("b"))).alias("t"))
     weight = F.least(F.length("t.a") + F.coalesce(F.length("t.b"), F.lit(0)), F.lit(MAX_WEIGHT))
-    terms = terms.select(*keys, *carried, F.xxhash64("t.a", "t.b").alias("h"), F.coalesce(weight, F.lit(0)).cast("long").alias("w"))
+    terms = terms.select(*keys, *carried, F.xxhash64("t.a", "t.b").alias("h"), F.when(F.col("t.a").isNull(), 0).otherwise(weight).cast("long").alias("w"))
     sums = terms.groupBy(*keys, *carried).agg(*vote_sums(F.col("h"), F.col("w")), F.sum("w").alias("weight"))
     return sums.select(*keys, *carried, voted().alias("fp"))
 
