@@ -13,7 +13,7 @@ Layout of a token-file folder (all through Spark's writers, so any store works):
 A reader that wants one short document reads one block and decompresses one frame.
 
 Defined cases: null text is empty (its ids: the end id); null doc_ids come first;
-rows with equal doc_id are ordered by text; an empty table gives no blocks; other
+rows with equal doc_id are ordered by their text's hash, then text; an empty table gives no blocks; other
 columns are ignored.
 """
 
@@ -31,6 +31,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ledgerloom.llm.folds import by_hash
 from ledgerloom.llm.tokens import batches, byte_encoder, tokenizer_path
 
 BLOCKS = "shard int, block int, first_doc long, last_doc long, doc_ids array<long>, token_counts array<long>, first_token long, offsets array<long>, frames binary, width int, dictionary_hash string"
@@ -68,8 +69,9 @@ def write_token_files(
             ids, offs, width = ids_of(frame.column(1).to_pylist())
             yield pa.RecordBatch.from_arrays([pa.array([np.append(ids[a : min(b, a + sample_ids)], end_id).astype(f"<u{width}").tobytes() for a, b in zip(offs[:-1], offs[1:])], pa.binary())], ["data"])
 
-    picked = rows.orderBy(F.xxhash64("doc_id"), "doc_id", "text").limit(sample_docs)
-    data = train_dictionary([r.data for r in picked.mapInArrow(sample, "data binary").collect()], dictionary_bytes)
+    # The sample is chosen by ids alone, and at most sample_docs of them are broadcast.
+    picked = rows.join(F.broadcast(by_hash(rows.where("doc_id is not null").select("doc_id").distinct(), sample_docs)), "doc_id").select("doc_id", "text").dropDuplicates(["doc_id"])
+    data = train_dictionary(sorted(bytes(r.data) for r in picked.mapInArrow(sample, "data binary").collect()), dictionary_bytes)
     digest = hashlib.sha256(data).hexdigest()
     spark.createDataFrame([(digest, bytearray(data))], "dictionary_hash string, data binary").coalesce(1).write.parquet(f"{folder}/dictionary")
     shared = spark.sparkContext.broadcast(data)
@@ -105,7 +107,9 @@ def write_token_files(
             yield flush()
 
     arrow = pa.schema([("shard", pa.int32()), ("block", pa.int32()), ("first_doc", pa.int64()), ("last_doc", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("token_counts", pa.list_(pa.int64())), ("first_token", pa.int64()), ("offsets", pa.list_(pa.int64())), ("frames", pa.binary()), ("width", pa.int32()), ("dictionary_hash", pa.string())])
-    rows.repartitionByRange(shards, "doc_id", "text").sortWithinPartitions("doc_id", "text").mapInArrow(blocks, BLOCKS).write.option("compression", "none").parquet(f"{folder}/blocks")
+    # Range bounds come from sampled keys, which go to the driver: so a text's hash, not the text.
+    placed = rows.withColumn("h", F.xxhash64("text")).repartitionByRange(shards, "doc_id", "h").sortWithinPartitions("doc_id", "h", "text").drop("h")
+    placed.mapInArrow(blocks, BLOCKS).write.option("compression", "none").parquet(f"{folder}/blocks")
     return folder
 
 

@@ -140,7 +140,7 @@ def spans(cp: np.ndarray, docs: np.ndarray, keep_spaces: bool) -> tuple[np.ndarr
 
 
 def hashes(cp: np.ndarray, s: np.ndarray, e: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each span, never zero; two of ten million distinct pre-tokens meet with a chance of about 1 in 400,000."""
+    """A 64-bit hash of each span, never zero; two of ten million distinct pre-tokens meet with a chance of about 1 in 180,000."""
     table, _, _ = _mixers()
     size = 1 << max(12, int(len(cp)).bit_length())
     up, down = _powers(size)
@@ -227,7 +227,7 @@ class TokenCache:
         return self.ids[gather(self.offs[entry], lens)], lens
 
 
-def batches(texts: Sequence[str], chars: int = 1 << 21):
+def batches(texts: Sequence[str], chars: int = 1 << 20):
     """Slices of texts of about so many characters, one text at least."""
     at, size = 0, 0
     for i, t in enumerate(texts):
