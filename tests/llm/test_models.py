@@ -44,9 +44,9 @@ def test_noisy_or_locates_sentences():
         rows.append((". ".join(sents) + ".", int(i % 5 == 0)))
     model = toxicity.fit(rows, 0.2)
     scorer = toxicity.Scorer(model)
-    text = "Al be ce. Be vile! De ef."
+    text = "Al be ce. Be vile thing! De ef."
     s, p = scorer.score(text)
-    assert s > 0.5 and [text[o["start"] : o["end"]] for o in scorer.offending(text, p, 0.5)] == [" Be vile!"]
+    assert s > 0.5 and [text[o["start"] : o["end"]] for o in scorer.offending(text, p, 0.5)] == [" Be vile thing!"]
     assert scorer.score("Al be ce. De.")[0] < 0.5 and scorer.score("")[0] < 0.5 and scorer.score("... !")[0] < 0.5 and plain
     brute = 1 - np.prod([1 - 1 / (1 + np.exp(-(model.bias + sum(model.weights.get(f, 0) for w in sent for f in toxicity.features(w))))) for sent in toxicity.sentences(text)])
     assert s == pytest.approx(brute)
