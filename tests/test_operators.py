@@ -1,6 +1,7 @@
 """Operators against brute force and hand-written cases."""
 
 import random
+import re
 from collections import defaultdict
 from datetime import date, datetime, timedelta
 
@@ -244,6 +245,22 @@ def test_xref(spark):
         xref.xref(stmt, none, algorithm="none")
 
 
+def test_xref_frequent_tokens(spark):
+    """Names that hundreds share, and a token in every name, still give all their pairs."""
+    same = [(f"s{i:03}", "Company", "d1", props(name="Acme Widgets")) for i in range(205)]
+    out = xref.xref(statements(spark, same), spark.createDataFrame([], EDGES))
+    assert {(r.source, r.target) for r in out.collect()} == {(a[0], b[0]) for a in same for b in same if a[0] < b[0]}
+    names = ["Acme Widgets"] * 5 + ["widgets, ACME"] + [f"Acme n{i} {'abc' if i % 3 else 'de'}" for i in range(40)] + ["Other abc", "de", "x y", "de"]
+    rows = [(f"e{(i * 37) % 101:03}", "Company", n, None, ["d"]) for i, n in enumerate(names)]
+    entities_ = spark.createDataFrame(rows, "id string, schema string, name string, country string, datasets array<string>")
+    tokens = {r[0]: {t for t in re.split("[^a-z0-9]+", r[2].lower()) if len(t) >= 3} for r in rows}
+    want = sorted((a, b) for a in tokens for b in tokens if a < b and tokens[a] & tokens[b])
+    for chunk_rows in (1024, 7):
+        got = xref.block_pairs(entities_, chunk_rows=chunk_rows).collect()
+        assert sorted((r.left_id, r.right_id) for r in got) == want
+        assert all((r.left_name, r.right_name) == (dict((x[0], x[2]) for x in rows)[r.left_id], dict((x[0], x[2]) for x in rows)[r.right_id]) for r in got[:50])
+
+
 def test_writes(spark):
     spec = spark.createDataFrame(
         [("Company", "test", "source-1", None, ["acme-inc"], None, ["name=ACME Inc", "country=us"]), ("Person", "test", "s", "person-1", None, None, ["name=Alice Example", "notes=Updated"]), ("Person", "test", "s", None, None, None, ["notARealProp=x"]), ("Person", "test", "s", None, None, None, ["name"])],
