@@ -386,6 +386,24 @@ def xref_candidates(spark, d):
     return out.select("source", "target", "judgement", F.round("score", 6).alias("score"))
 
 
+_XREF_ALL = V.STMT + """, names AS (SELECT entity_id AS id, max(value) FILTER (prop = 'name') AS name, max(value) FILTER (prop = 'country') AS country FROM stmt WHERE dataset IN ('customers', 'suppliers', 'parts') GROUP BY 1),
+  tok AS (SELECT *, list_sort(list_distinct(list_filter(regexp_split_to_array(lower(name), '[^a-z0-9]+'), lambda x: x <> ''))) AS ts FROM names),
+  ex AS (SELECT id, t FROM (SELECT id, unnest(ts) AS t FROM tok) WHERE length(t) >= 3), pr AS (SELECT DISTINCT a.id AS l, b.id AS r FROM ex a JOIN ex b USING (t) WHERE a.id < b.id),
+  neg AS (SELECT 'cust-' || sha1(s_suppkey::VARCHAR) AS l, 'supp-' || sha1(s_suppkey::VARCHAR) AS r FROM supplier WHERE s_suppkey % 3 = 0),
+  tx AS (SELECT *, array_to_string(ts, ' ') AS txt FROM tok),
+  sc AS (SELECT l, r, 0.5::DOUBLE * (len(list_intersect(a.ts, b.ts))::DOUBLE / len(list_distinct(list_concat(a.ts, b.ts)))) + 0.4::DOUBLE * (1::DOUBLE - levenshtein(a.txt, b.txt)::DOUBLE / greatest(length(a.txt), length(b.txt)))
+  + 0.1::DOUBLE * CASE WHEN a.country = b.country THEN 1 ELSE 0 END AS score FROM pr ANTI JOIN neg USING (l, r) JOIN tx a ON a.id = l JOIN tx b ON b.id = r)"""
+
+
+@query("WITH " + _XREF_ALL + """ SELECT l AS source, r AS target, CASE WHEN score >= 0.8 THEN 'positive' ELSE 'no_judgement' END AS judgement, round(score, 6) AS score FROM sc ORDER BY sc.score DESC, l || '::' || r LIMIT 50000""")
+def xref_all_candidates(spark, d):
+    """Customers, suppliers and parts, whatever the frequency of their tokens; a third of the customers and suppliers of one key differ."""
+    stmt = V.actor_statements(spark, d).where("dataset in ('customers', 'suppliers', 'parts')").withColumn("canonical_id", F.col("entity_id"))
+    s = read_table(spark, d, "supplier").where("s_suppkey % 3 = 0")
+    judged = resolver.new_edges(s.select(S.make_id("cust", "s_suppkey").alias("source"), S.make_id("supp", "s_suppkey").alias("target")), "negative")
+    return xref.xref(stmt, judged, limit=50000, threshold=0.8).select("source", "target", "judgement", F.round("score", 6).alias("score"))
+
+
 @query("WITH " + V.PART_EDGES + " SELECT least(source, target) || '::' || greatest(source, target) AS pair_key, score FROM edges WHERE judgement = 'no_judgement' AND NOT deleted ORDER BY score DESC, pair_key LIMIT 200")
 def candidate_queue(spark, d):
     return xref.candidate_queue(V.part_edges(spark, d), 200).select("pair_key", "score")
