@@ -14,9 +14,9 @@ The depth follows the number of fingerprints; subtrees with more than
 is a task of its own, so no task holds more than twice that, however hot a prefix is.
 
 Defined cases: null text is empty (fingerprint 0); documents with equal text or
-equal fingerprint are one component; null doc_ids get a fingerprint but no
-component of their own (the smallest other doc_id of the component, else null);
-an empty table gives no rows; other columns are ignored.
+equal fingerprint are one component; a component's name is its smallest doc_id that
+isn't null (null if it has none); rows of one doc_id with different texts are members of
+their own fingerprints' components; an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -27,7 +27,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.forest import Forest
@@ -54,15 +54,18 @@ def fingerprint(text: str, shingle: int = SHINGLE, seed: int = SEED) -> int:
     return int(np.packbits(votes * 2 > len(h), bitorder="little").view(np.uint64)[0])
 
 
-def fingerprints(docs: DataFrame) -> DataFrame:
-    """(doc_id, fp) with the fingerprint's 64 bits as a long."""
+def fingerprints(docs: DataFrame, identity: dict[str, Column] | None = None) -> DataFrame:
+    """(doc_id, fp), with the fingerprint's 64 bits as a long, and the long columns of identity by name."""
+    identity = identity or {}
+    names = ["doc_id", "fp", *identity]
 
     def run(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for frame in frames:
             fp = np.fromiter((fingerprint(t.as_py()) for t in frame.column(1)), np.uint64, frame.num_rows)
-            yield pa.RecordBatch.from_arrays([frame.column(0), pa.array(fp.view(np.int64))], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([frame.column(0), pa.array(fp.view(np.int64)), *frame.columns[2:]], names)
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")).mapInArrow(run, "doc_id long, fp long")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"), *[c.alias(n) for n, c in identity.items()])
+    return rows.mapInArrow(run, ", ".join(f"{n} long" for n in names))
 
 
 def join_subtries(a: np.ndarray, b: np.ndarray, first: int, radius: int, found, portion: int = 1 << 18) -> None:
@@ -156,12 +159,18 @@ def _masks(depth: int, errors: int) -> list[int]:
     return sorted(out)
 
 
+def _components(prints: DataFrame, radius: int) -> DataFrame:
+    """(fp, rep, component): each fingerprint, its smallest doc_id, and the smallest fingerprint reachable over links."""
+    classes = staged(prints.groupBy("fp").agg(F.min("doc_id").alias("rep")), "classes")
+    found = connected_components(links(classes.select("fp", F.col("fp").alias("rep")), radius))
+    return classes.join(found, F.col("fp") == F.col("id"), "left").select("fp", "rep", F.coalesce("component", "fp").alias("component"))
+
+
 def near_duplicates(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
     """One row for each document: doc_id, fp, component_id (the smallest doc_id reachable over links)."""
     prints = staged(fingerprints(docs), "fingerprints")
-    classes = staged(prints.groupBy("fp").agg(F.min("doc_id").alias("rep")), "classes")
-    found = connected_components(links(classes, radius))
-    named = classes.join(found, F.col("rep") == F.col("id"), "left").select("fp", F.coalesce("component", "rep").alias("component_id"))
+    found = staged(_components(prints, radius), "components")
+    named = found.join(found.groupBy("component").agg(F.min("rep").alias("component_id")), "component").select("fp", "component_id")
     return prints.join(named, "fp").select("doc_id", "fp", "component_id")
 
 
@@ -169,7 +178,18 @@ def hex_fingerprint(fp: str):
     return F.lpad(F.lower(F.hex(fp)), 16, "0")
 
 
-def keep_first(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """The columns of docs; of each near-duplicate component the document with the smallest doc_id (one row of repeated rows). Rows with a null doc_id can't be named as the one that stays, and go."""
-    kept = near_duplicates(docs, radius).where("doc_id = component_id").select("doc_id").distinct()
-    return docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+def keep_first(docs: DataFrame, radius: int = RADIUS, null_ids: bool = False) -> DataFrame:
+    """The columns of docs; one row of each near-duplicate component: the smallest doc_id, then the smallest hash of the row (one of repeated rows).
+
+    null_ids: rows with a null doc_id are members too and come after all others; else they go.
+    """
+    if not null_ids:
+        docs = docs.where("doc_id is not null")
+    # 128 bits name a row by its contents: rows that share them are repeated rows.
+    identity = {"__h1": F.xxhash64(*docs.columns), "__h2": F.xxhash64(F.lit(SEED), *docs.columns)}
+    prints = staged(fingerprints(docs, identity), "fingerprints")
+    order = F.min(F.struct(F.col("doc_id").isNull().alias("late"), "doc_id", "__h1", "__h2"))
+    best = prints.groupBy("fp").agg(order.alias("best"))
+    kept = best.join(_components(prints, radius), "fp").groupBy("component").agg(F.min("best").alias("best")).select("best.__h1", "best.__h2")
+    rows = docs.select("*", *[c.alias(n) for n, c in identity.items()])
+    return rows.join(kept, ["__h1", "__h2"], "left_semi").dropDuplicates(["__h1", "__h2"]).select(*docs.columns)

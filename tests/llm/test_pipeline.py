@@ -61,3 +61,17 @@ def test_stages_on_nothing(spark, no_documents):
     for name, stage in corpus_pipeline.STAGES:
         docs = stage(spark, docs, SMALL)
         assert docs.count() == 0
+
+
+def test_near_duplicates_keep_rows_of_hot_and_null_ids(spark):
+    """Different texts under one doc_id, or none, are different documents; which row stays doesn't depend on partitions."""
+    long = [f"{w} " * 30 + f"only {w} here" for w in ("alpha", "bravo", "carol", "delta", "echoes", "foxtrot")]
+    rows = [(1, long[0]), (1, long[1]), (1, long[2]), (None, long[3]), (None, long[4]), (None, long[0]), (2, long[0]), (3, long[5]), (3, long[5]), (3, long[5]), (None, long[4])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    want = sorted([(1, long[0]), (1, long[1]), (1, long[2]), (None, long[3]), (None, long[4]), (3, long[5])], key=str)
+    stages = dict(corpus_pipeline.STAGES)
+    for parts in (1, 5):
+        once = stages["simhash"](spark, docs.repartition(parts), SMALL)
+        assert once.columns == docs.columns and sorted((tuple(r) for r in once.collect()), key=str) == want
+    packed = stages["packing"](spark, once, SMALL).groupBy("doc_id").count().collect()
+    assert {r.doc_id: r["count"] >= n for r, n in ((r, {1: 3, None: 2, 3: 1}[r.doc_id]) for r in packed)} == {1: True, None: True, 3: True}
