@@ -19,8 +19,10 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All rows stay where no model could be fitted (no document labelled good is left)."""
     labels = read_table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("label"))
-    return quality.keep_good(docs, quality.train(docs, labels), GOOD)
+    model = quality.train(docs, labels)
+    return quality.keep_good(docs, model, GOOD) if model.edges is not None else docs
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -155,7 +155,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
 
 
 def keep_good(docs: DataFrame, model: Model, least: float = 0.7) -> DataFrame:
-    """The rows of docs with a score of least or more."""
+    """The rows of docs with a score of least or more. Without a fitted model (model.edges null) every score is 0.5, so a caller who filters should keep all rows itself."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def make():

@@ -190,7 +190,9 @@ def score(docs: DataFrame, model: Model, sentence_least: float = 0.5) -> DataFra
 
 
 def keep_clean(docs: DataFrame, model: Model, least: float = 0.5) -> DataFrame:
-    """The rows of docs with a score below least."""
+    """The rows of docs with a score below least; all of them where no model could be fitted (the score is a constant that says nothing of a text)."""
+    if model.constant is not None:
+        return docs
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def make():

@@ -75,3 +75,12 @@ def test_near_duplicates_keep_rows_of_hot_and_null_ids(spark):
         assert once.columns == docs.columns and sorted((tuple(r) for r in once.collect()), key=str) == want
     packed = stages["packing"](spark, once, SMALL).groupBy("doc_id").count().collect()
     assert {r.doc_id: r["count"] >= n for r, n in ((r, {1: 3, None: 2, 3: 1}[r.doc_id]) for r in packed)} == {1: True, None: True, 3: True}
+
+
+def test_unfitted_models_drop_nothing(spark, monkeypatch):
+    docs = spark.createDataFrame([(1, "one text"), (2, "other text"), (None, None)], "doc_id long, text string")
+    for labels in ([], [(1, 0, 1), (2, 0, 1)], [(9, 1, 1)]):
+        frame = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+        monkeypatch.setattr(corpus_pipeline, "read_table", lambda *a, frame=frame: frame)
+        for stage in (corpus_pipeline.drop_toxic, corpus_pipeline.keep_good):
+            assert sorted(map(tuple, stage(spark, docs, SMALL).collect()), key=str) == [(1, "one text"), (2, "other text"), (None, None)]
