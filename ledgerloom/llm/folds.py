@@ -19,11 +19,11 @@ def by_hash(ids: DataFrame, rows: int) -> DataFrame:
     return ids.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
 
 
-def texts(docs: DataFrame, picked: DataFrame) -> list:
-    """Rows (doc_id, label, text) of the picked (doc_id, label), whose number the caller has bounded; repeated rows once."""
+def texts(docs: DataFrame, picked: DataFrame) -> DataFrame:
+    """(doc_id, label, text): for each picked (doc_id, label), whose number the caller has bounded, one text of the doc_id: the first by hash, then by text."""
     whole = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    got = whole.join(F.broadcast(picked), "doc_id").select("doc_id", "label", "text").dropDuplicates(["doc_id", "text"])
-    return sorted(got.collect(), key=lambda r: (r.doc_id, r.text))
+    first = F.min(F.struct(F.xxhash64("text").alias("h"), "text")).alias("first")
+    return whole.join(F.broadcast(picked), "doc_id").groupBy("doc_id", "label").agg(first).select("doc_id", "label", "first.text")
 
 
 def keep_rows(docs: DataFrame, make: Callable[[], Callable[[list[str]], list[bool]]]) -> DataFrame:

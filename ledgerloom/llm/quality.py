@@ -10,7 +10,7 @@ half, and the other half gives the least ratio of unlabelled to positive mass ab
 a threshold.  The weights then minimise the non-negative unbiased risk  pi R_p(+) + max(0, R_u(-) - pi R_p(-)).
 
 Fitting uses bounded samples by hash order (``max_positive``, ``max_unlabelled``
-documents); scoring reads every text whole.
+documents, one text of a repeated doc_id); scoring reads every text whole.
 
 Defined cases: null text is empty; an empty text has all rates zero; without positives
 every score is 0.5; repeated rows are scored each; a document with several labels
@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.folds import by_hash, keep_rows
+from ledgerloom.llm.folds import by_hash, keep_rows, texts
 
 NAMES = [
     "log_chars", "letters", "upper", "digits", "marks", "symbols", "exclaims", "bars", "stops", "spaces",
@@ -135,8 +135,7 @@ def train(docs: DataFrame, labels: DataFrame, max_positive: int = 6000, max_unla
         for frame in frames:
             yield pa.RecordBatch.from_arrays([frame.column(0), frame.column(1), pa.array([describe(t.as_py()) for t in frame.column(2)], pa.list_(pa.float64()))], ["doc_id", "label", "x"])
 
-    whole = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    rows = whole.join(F.broadcast(picked), "doc_id").select("doc_id", "label", "text").mapInArrow(run, "doc_id long, label int, x array<double>").dropDuplicates().collect()
+    rows = texts(docs, picked).mapInArrow(run, "doc_id long, label int, x array<double>").collect()
     rows = sorted(rows, key=lambda r: (r.doc_id, r.label, r.x))
     side = lambda y: np.array([r.x for r in rows if r.label == y], float).reshape(-1, len(NAMES))
     return fit(side(1), side(0), prior)

@@ -7,7 +7,7 @@ sentences, 1 - prod(1 - p).  Weights are fitted on document labels alone, by
 gradient descent through the noisy-or, and then locate the offending sentences.
 
 Fitting uses a bounded sample: ``max_toxic`` and ``max_clean`` labelled documents by
-hash order, weighted back to the share they have among all labels.  Scoring reads
+hash order, one text of a repeated doc_id, weighted back to the share they have among all labels.  Scoring reads
 every text whole.
 
 Defined cases: null text is empty; an empty text is one empty sentence and gets
@@ -166,7 +166,7 @@ def train(docs: DataFrame, labels: DataFrame, max_toxic: int = 3000, max_clean:
     labels = labels.where("doc_id is not null and label is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("label").cast("int").alias("label"))
     shares = {r.label: r.n for r in labels.groupBy("label").agg(F.count("*").alias("n")).collect()}  # two rows
     picked = by_hash(labels.where("label = 1"), max_toxic).unionByName(by_hash(labels.where("label = 0"), max_clean))
-    rows = [(r.text, r.label) for r in texts(docs, picked)]
+    rows = [(r.text, r.label) for r in sorted(texts(docs, picked).collect(), key=lambda r: r.doc_id)]
     return fit(rows, shares.get(1, 0) / max(1, sum(shares.values())))
 
 

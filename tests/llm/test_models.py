@@ -10,7 +10,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import chat, html_extract, quality, queries, toxicity
+from ledgerloom.llm import chat, folds, html_extract, quality, queries, toxicity
 from ledgerloom.llm.html_blocks import leaf_blocks
 from ledgerloom.plans.shared import read_table
 
@@ -179,3 +179,18 @@ def test_article_of_every_page(spark):
         inner = re.search(r"(?s)<article>(.*?)(</article>|$)", r.html)[1]
         blocks = [" ".join(h.unescape(re.sub(r"<[^>]+>", "", b.replace("<br>", " "))).split()) for b in re.split(r"</?(?:p|h1)>", inner)]
         assert got[r.page_id] == "\n".join(b for b in blocks if b)
+
+
+def test_samples_take_one_text_of_an_id(spark):
+    """A doc_id with many texts sends one of them to the driver, the same one however the rows lie."""
+    docs = spark.createDataFrame([(1, f"text {i} " * 3) for i in range(200)] + [(2, "two"), (2, "two"), (3, None)], "doc_id long, text string")
+    picked = spark.createDataFrame([(1, 1), (1, 0), (2, 1), (3, 0)], "doc_id long, label int")
+    got = [sorted(map(tuple, folds.texts(docs.repartition(n), picked).collect())) for n in (1, 7)]
+    assert got[0] == got[1] and [r[:2] for r in got[0]] == [(1, 0), (1, 1), (2, 1), (3, 0)] and got[0][0][2] == got[0][1][2] and got[0][3][2] == ""
+    seen, fit = [], quality.fit
+    quality.fit = lambda good, some, *a: seen.append((len(good), len(some))) or fit(good, some, *a)
+    try:
+        quality.train(docs, spark.createDataFrame([(1, 1)], "doc_id long, label int"))
+    finally:
+        quality.fit = fit
+    assert seen == [(1, 3)]
