@@ -13,7 +13,7 @@ BLOCK = set(
 )
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 #: Their content is no text of the page.
-UNSEEN = set("script style template noscript iframe object svg math canvas audio video textarea select datalist head title noframes map".split())
+UNSEEN = set("script style template noscript iframe svg textarea select datalist head title noframes map".split())
 HEAD = set("title meta link script style base noscript template head".split())
 #: An opening tag of the key closes an open tag of the values, up to the stops.
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}, "tbody": {"tr", "td", "th", "thead", "tbody"}, "tfoot": {"tr", "td", "th", "thead", "tbody"}}
@@ -21,6 +21,9 @@ STOPS = {"ul", "ol", "dl", "table", "menu", "select"}
 NO_P = BLOCK - {"button", "option", "optgroup", "caption", "legend", "li", "dd", "dt", "tr", "td", "th", "tbody", "thead", "tfoot", "html", "body", "summary"} | {"li", "dd", "dt"}
 #: Their content is text only, up to their closing tag.
 RAW = set("script style textarea title noscript iframe noframes xmp".split())
+#: Elements of other languages, which a slash at the end of the tag closes; as the end of a value without quotes it doesn't.
+FOREIGN = {"svg", "math"}
+_UNQUOTED_END = re.compile(r"""=\s*[^\s"']+/$""")
 _TOKEN = re.compile(r"[a-z]+|[A-Z][a-z]*")
 #: A comment, a declaration, or a tag with its attributes (quotes that don't close are taken as they are).
 _MARKUP = re.compile(r"""<!--(?:>|->|.*?(?:-->|--!>|\Z))|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)(?:((?:[^>"']|"[^"]*"|'[^']*')*+)>|([^>]*)>)""", re.S)
@@ -124,7 +127,7 @@ class Blocks:
             self.text.append(" ")
         elif tag == "a" and self.links:
             self.close_open({"a"}, BLOCK)
-        if tag in VOID:
+        if tag in VOID or tag in FOREIGN and attributes.endswith("/") and not _UNQUOTED_END.search(attributes):
             return
         self.stack.append((tag, _named(attributes) if "=" in attributes or "hidden" in attributes else _NO_NAMES))
         self.unseen += tag in UNSEEN

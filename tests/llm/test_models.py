@@ -194,3 +194,10 @@ def test_samples_take_one_text_of_an_id(spark):
     finally:
         quality.fit = fit
     assert seen == [(1, 3)]
+
+
+def test_foreign_and_fallback_content():
+    for tag in ("<svg/>", '<svg class="i" />', "<math/>", '<svg href="?a=b"/>', "<svg hidden/>"):
+        assert [b.text for b in leaf_blocks(f"<article>a{tag}b<p>c</p></article><p>d")] == ["ab", "c", "d"]
+    assert [b.text for b in leaf_blocks("<article><svg width=5/><text>no</text></svg><p>c</p></article>")] == ["c"]
+    assert [b.text for b in leaf_blocks("<article><p>let <math><mi>x</mi></math> be</p><object>o</object><video>v</video></article>")] == ["let x be", "ov"]
