@@ -156,11 +156,11 @@ def page_headings(spark, d):
 
 @query()
 def pages_extract(spark, d):
-    """The pages dressed as directory pages: their heading, and facts made from their address."""
+    """The pages dressed as directory pages: their heading, and facts made from their address, before the whole page."""
     p = read_table(spark, d, "pages")
     body = F.concat(
         F.lit('<h1 class="c-single-header__title">'), F.regexp_extract("html", "(?s)<h1>(.*?)</h1>", 1), F.lit('</h1><dl class="c-single--directory__section-data-dl"><dt>Website</dt><dd><a href="'), "url",
-        F.lit('">site</a></dd></dl><div class="c-single--directory__section-data-item"><div class="c-single--directory__section-sub-title">Founded by</div><div class="c-single--directory__section-sub-data">Founders: Ann '), F.col("page_id"), F.lit(", n/a</div></div>"),
+        F.lit('">site</a></dd></dl><div class="c-single--directory__section-data-item"><div class="c-single--directory__section-sub-title">Founded by</div><div class="c-single--directory__section-sub-data">Founders: Ann '), F.col("page_id"), F.lit(", n/a</div></div>"), F.coalesce("html", F.lit("")),
     )
     return P.pages_to_statements(p.select("url", body.alias("html")), "directory", "dir").select("id", "entity_id", "schema", "prop", "value")
 

@@ -27,3 +27,11 @@ def test_partitions_do_not_matter(spark):
         assert rows(catalog.QUERIES["edge_chains"](spark, SMALL).toPandas()) == before
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", "4")
+
+
+def test_pages_are_parsed_whole(spark, monkeypatch):
+    seen, parse = [], catalog.P.pages_to_statements
+    monkeypatch.setattr(catalog.P, "pages_to_statements", lambda pages, *a: seen.append(pages) or parse(pages, *a))
+    assert catalog.QUERIES["pages_extract"](spark, SMALL).count() > 0
+    whole = catalog.read_table(spark, SMALL, "pages").selectExpr("url", "html as page")
+    assert seen[0].join(whole, "url").where("not endswith(html, page)").count() == 0
