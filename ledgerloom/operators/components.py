@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.plans.shared import staged
+from ledgerloom.plans.shared import fresh_path, staged
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -27,14 +27,17 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b", max_round
     Loops, nulls and repeated edges do no harm; nodes without an edge to another node
     have no row.  The minimum of a node's neighbours is aggregated before the shuffle and
     joined back, so a hub with a third of all edges is split by adaptive execution.  Each
-    round is written to the shared folder.  Not converged after max_rounds: an error.
+    round is written to the shared folder, over the one before the last, so two copies of
+    the edges are there at a time.  Not converged after max_rounds: an error.
     """
     pairs = edges.select(F.greatest(a, b).alias("a"), F.least(a, b).alias("b")).where("a > b").distinct()
-    now, before = staged(pairs, "edges"), None
-    for _ in range(max_rounds):
+    spark = edges.sparkSession
+    places = fresh_path(spark, "edges"), fresh_path(spark, "edges")
+    now, before = staged(pairs, "edges", places[0]), None
+    for turn in range(max_rounds):
         mark = now.agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("a", "b")).alias("x")).first()
         if mark.n == 0 or mark == before:
             return now.select(F.col("a").alias("id"), F.col("b").alias("component")).unionByName(now.select(F.col("b").alias("id"), F.col("b").alias("component"))).distinct()
         before = mark
-        now = staged(_small_star(_large_star(now).distinct()).distinct(), "edges")
+        now = staged(_small_star(_large_star(now).distinct()).distinct(), "edges", places[(turn + 1) % 2])
     raise RuntimeError(f"components didn't converge in {max_rounds} rounds")

@@ -11,26 +11,57 @@ _own: dict[str, str] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir; a temporary one of this application only where that is unset (tests)."""
+    """The folder in spark.checkpoint.dir. Where that is unset, a temporary one of this application, but only with a local master: executors of a cluster wouldn't see it, so there it is an error."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
     app = spark.sparkContext.applicationId
     if app not in _own:
         _own[app] = tempfile.mkdtemp(prefix="spark-ledgerloom-")
     return f"file://{_own[app]}"
 
 
+def job_dir(spark: SparkSession) -> str:
+    """This application's part of the shared folder."""
+    return f"{shared_dir(spark)}/ledgerloom/{spark.sparkContext.applicationId}"
+
+
 def fresh_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/ledgerloom/{name}-{uuid.uuid4().hex}"
+    return f"{job_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
 
+def staged(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
+    """df, written as Parquet in the shared folder and read again: later jobs neither repeat its work nor depend on the executors that did it.
 
-def staged(df: DataFrame, name: str) -> DataFrame:
-    """df, written as Parquet in the shared folder and read again: later jobs neither repeat its work nor depend on the executors that did it."""
-    path = fresh_path(df.sparkSession, name)
-    df.write.option("compression", "zstd").parquet(path)
+    path: a folder to write over, which df mustn't read. What is staged lasts until ``clear``.
+    """
+    path = path or fresh_path(df.sparkSession, name)
+    df.write.mode("overwrite").option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def _at(spark: SparkSession, path: str):
+    """The store and its form of the path, through Hadoop's file systems: Spark has no DataFrame call that asks for or removes a folder."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    store, p = _at(spark, path)
+    return store.exists(p)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    store, p = _at(spark, path)
+    store.delete(p, True)
+
+
+def clear(spark: SparkSession) -> None:
+    """Removes all that this application has staged; to be called when its results have been written elsewhere."""
+    remove(spark, job_dir(spark))
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

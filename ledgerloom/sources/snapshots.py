@@ -11,17 +11,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.plans.model import STMT, conform
+from ledgerloom.plans.shared import exists
 
 log = logging.getLogger(__name__)
 
 
-def exists(spark: SparkSession, path: str) -> bool:
-    """Through Spark's own file systems, so any store works."""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
-
-
 def write_snapshot(stmt: DataFrame, root: str, dataset: str, run_id: str) -> str:
     """S-02: an immutable snapshot of one run; it is the dataset's latest once its run is recorded as succeeded."""
     path = f"{root}/dataset-runs/dataset={dataset}/run_id={run_id}"
