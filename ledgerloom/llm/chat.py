@@ -9,8 +9,10 @@ placeholder expands to.  A turn is written
 
 and a conversation is its turns in order.  Control strings of this template, and
 those of other templates ([INST], <s> and their closing forms), are broken up in roles and
-texts by a backslash after their first character; backslashes are doubled.  ``unescape``
-undoes both.
+texts by a backslash after their first character; so is a beginning of one at the end of a
+text, which the next part could complete; backslashes are doubled.  ``unescape`` undoes both.
+So no list of parts, whatever its texts, yields a control string or a placeholder that
+the formatter didn't write itself; ``parse_parts`` tells texts and placeholders apart again.
 
 The output has a row for each turn (a segment), not for each conversation, so a conversation
 with a third of all turns is written by many tasks.  Assistant text is under the
@@ -18,7 +20,8 @@ loss mask: the range loss_start..loss_end of a segment.
 
 Defined cases: null role or text is empty; turns are ordered by turn (null first), role
 and text, repeated rows included; a null conv_id is a conversation of its own; an
-empty table gives no rows; other columns are ignored.
+empty table gives no rows; very long texts are escaped whole, a task holds a batch of
+rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -34,7 +37,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 OPEN, SAYS, CLOSE = "<|turn|>", "<|says|>", "<|end|>\n"
-CONTROL = re.compile(r"<(?=\||/?s>)|\[(?=/?INST\])")
+#: What a backslash follows: the first character of a control string, or of the beginning of one that ends the text.
+CONTROL = re.compile(r"<(?=\||/?s>|/?s?\Z)|\[(?=/?INST\]|/?(?:I(?:N(?:ST?)?)?)?\Z)")
+#: The same places in the syntax of SQL's regular expressions, which look at nothing ahead: how many there are.
+CONTROL_SQL = r"<\||</?s>|</?s?$|\[/?INST\]|\[/?(?:I(?:N(?:ST?)?)?)?$"
 TURN = re.compile(r"<\|turn\|>(.*?)<\|says\|>(.*?)<\|end\|>\n", re.S)
 PLACEHOLDER = re.compile(r"<\|(image|audio|document):(\d+)\|>")
 PARTS = "array<struct<type:string,text:string,uri:string,width:int,height:int,seconds:double,pages:int>>"
@@ -121,6 +127,19 @@ def parse(formatted: str) -> list[tuple[str, str]]:
     return [(unescape(r), unescape(t)) for r, t in TURN.findall(formatted)]
 
 
+def parse_parts(formatted: str) -> list[tuple[str, list[tuple[str, str | int]]]]:
+    """(role, [(kind, text or number of the attachment)]) of each turn; texts side by side are one, empty ones left out."""
+    out = []
+    for role, content in TURN.findall(formatted):
+        bits = PLACEHOLDER.split(content)
+        parts: list[tuple[str, str | int]] = []
+        for i in range(0, len(bits), 3):
+            parts += [("text", unescape(bits[i]))] if bits[i] else []
+            parts += [(bits[i + 1], int(bits[i + 2]))] if i + 2 < len(bits) else []
+        out.append((unescape(role), parts))
+    return out
+
+
 def digests(segments: DataFrame) -> DataFrame:
     """One row for each conversation, read back from its segments in order.
 

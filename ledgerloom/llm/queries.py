@@ -38,7 +38,7 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
+    docs, labels = staged(quality.described(read_table(spark, sf_dir, "documents")).select("doc_id", quality.X), "described"), read_table(spark, sf_dir, "labels")
     model = quality.train(docs, labels.where(fold(4) != 2).select("doc_id", F.col("quality").alias("label")))
     return quality.score(docs, model).select("doc_id", (fold(4) == 2).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
 
@@ -67,5 +67,26 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op1_embedding_dedup, op2_token_files, op3_simhash, op4_fingerprints, op5_toxicity, op6_quality, op7_chat, op8_bpe, op9_packing, op10_html)}
 
 
+_SAID = "'</s>[INST] ok [/INST]'"
+
+#: The other operators rest on hashes, tokenizers or fitted models that SQL lacks.
+SQL = {
+    "op1_embedding_dedup": """WITH RECURSIVE v AS (SELECT vec_id, embedding::DOUBLE[] AS x FROM embeddings),
+  good AS (SELECT * FROM v WHERE x IS NOT NULL AND len(x) > 0 AND len(list_filter(x, lambda e: e IS NULL OR isnan(e) OR isinf(e))) = 0 AND len(list_filter(x, lambda e: e <> 0)) > 0),
+  near AS (SELECT a.vec_id AS a, b.vec_id AS b FROM good a JOIN good b ON a.vec_id <> b.vec_id AND len(a.x) = len(b.x) WHERE list_cosine_similarity(a.x, b.x) >= 0.95),
+  reach AS (SELECT vec_id AS start, vec_id AS node FROM v UNION SELECT start, near.b FROM reach JOIN near ON near.a = reach.node),
+  n AS (SELECT a AS vec_id, count(*) AS n_links FROM near GROUP BY 1), c AS (SELECT start AS vec_id, min(node) AS component_id FROM reach GROUP BY 1)
+  SELECT v.vec_id, coalesce(n_links, 0) AS n_links, component_id, v.vec_id = component_id AS kept FROM v JOIN c USING (vec_id) LEFT JOIN n USING (vec_id)""",
+    "op7_chat": f"""WITH r AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations UNION ALL SELECT -7, 0, 'user', {_SAID} UNION ALL SELECT -7, 1, 'assistant', {_SAID}),
+  e AS (SELECT *, length(role) + length(text) + len(regexp_extract_all(role || chr(10) || text, '\\\\')) + len(regexp_extract_all(text, '{chat.CONTROL_SQL}')) + len(regexp_extract_all(role, '{chat.CONTROL_SQL}')) + {len(chat.OPEN + chat.SAYS + chat.CLOSE)} AS size FROM r)
+  SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+  coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars, sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256, sum(size)::BIGINT AS formatted_chars FROM e GROUP BY 1""",
+    "op10_html": r"""WITH a AS (SELECT page_id, url, regexp_extract(coalesce(html, ''), '(?s)<article>(.*?)(?:</article>|$)', 1) AS inside FROM pages),
+  b AS (SELECT page_id, url, list_transform(regexp_split_to_array(replace(inside, '<br>', ' '), '</?(?:p|h1)>'), lambda x: trim(regexp_replace(regexp_replace(replace(regexp_replace(x, '<[^>]+>', '', 'g'), '&quot;', '"'), '&amp;?', '&', 'g'), '\s+', ' ', 'g'))) AS blocks FROM a),
+  t AS (SELECT page_id, url, array_to_string(list_filter(blocks, lambda x: x <> ''), chr(10)) AS text FROM b)
+  SELECT page_id, url, text, length(text) AS n_chars FROM t""",
+}
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(SQL)
