@@ -1,8 +1,8 @@
 """Main text of web pages by a linear-chain conditional random field over leaf blocks.
 
 A page is a sequence of leaf blocks; each has features of its ancestors (tags, and
-groups of words in class, id and role) and of its text (length, links, marks, typical
-phrases).  The field scores labels (main text or not) by block and by neighbouring pair; it
+groups of words in class, id and role), of its text (length, links, marks, typical
+phrases), and of whether anything on the page marks its main text at all.  The field scores labels (main text or not) by block and by neighbouring pair; it
 is fitted on labelled pages by gradient ascent on the conditional likelihood and
 decoded by Viterbi.
 
@@ -11,12 +11,14 @@ and plain ones, with every kind of surroundings, nested and unclosed tags), boun
 its ``pages`` parameter.  Other labelled pages can be given to ``train`` instead.
 
 Defined cases: null or empty html gives an empty text; a page without blocks of main text
-too; repeated rows are extracted each; a null page_id passes through; an empty table gives
+too; very long pages, deep nesting and unclosed tags take time and memory linear in the page;
+repeated rows are extracted each; a null page_id passes through; an empty table gives
 no rows; other columns are ignored.
 """
 
 from __future__ import annotations
 
+import functools
 import re
 from collections.abc import Iterator
 from typing import NamedTuple
@@ -26,49 +28,30 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.html_blocks import Block, leaf_blocks
-
-#: Words of class, id and role by what they mark (fixed values).
-GROUPS = {
-    "menu": "nav navi navbar navigation menu menus breadcrumb breadcrumbs crumbs pagination pager tabs toc skip sitemap hamburger",
-    "head": "header masthead topbar logo branding site hero",
-    "foot": "footer foot copyright colophon legal bottom imprint",
-    "side": "sidebar side aside rail widget widgets related recommended recommendations popular trending teaser teasers tags complementary readmore",
-    "advert": "ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion promoted adsense affiliate dfp outbrain taboola",
-    "notice": "notice notices cookie cookies consent gdpr alert alerts popup modal overlay toast warning banner disclaimer paywall announcement message",
-    "form": "form search login signin signup register newsletter subscribe subscription contact input",
-    "comment": "comment comments commentlist reply replies disqus discussion respond feedback responses reviews guestbook",
-    "social": "share sharing social follow like likes tweet facebook twitter print",
-    "hidden": "hidden invisible sr screenreader visuallyhidden",
-    "main": "article content post entry story body text main prose page articlebody maincontent blog",
-}
-_GROUP = {w: g for g, words in GROUPS.items() for w in words.split()}
+from ledgerloom.llm.html_blocks import GROUPS, Block, Place, leaf_blocks
+
 PHRASES = re.compile(r"cookie|copyright|©|all rights reserved|subscribe|sign up|log ?in|advert|sponsored|share this|read more|click here|newsletter|privacy|terms of|comments?\b|reply|related|follow us|menu|home\b|search", re.I)
 
 
-def place_features(b: Block) -> list[str]:
-    """Of the block's ancestors."""
-    out = ["bias", f"tag:{b.tags[-1] if b.tags else ''}"]
-    tags = set(b.tags)
-    out += [f"in:{t}" for t in tags & {"nav", "header", "footer", "aside", "form", "article", "main", "section", "ul", "ol", "table", "figure", "blockquote", "button", "dialog", "menu", "address", "details", "search", "fieldset", "label"}]
-    if "article" not in tags and "main" not in tags:
-        out.append("outside")
-    seen, near = set(), ""
-    for t, words in zip(b.tags, b.names):
-        groups = {_GROUP[w] for w in words if w in _GROUP}
-        if t in ("nav", "header", "footer", "aside", "form", "article", "main", "menu", "dialog"):
-            groups.add({"nav": "menu", "header": "head", "footer": "foot", "aside": "side", "article": "main", "menu": "menu", "dialog": "notice"}.get(t, t))
-        if len(groups) > 1:
-            groups.discard("main")
-        if groups and t not in ("html", "body"):
-            seen |= groups
-            near = min(groups)
-    out += [f"group:{g}" for g in seen]
-    inside = "inside" if tags & {"article", "main"} else "outside"
-    kind = near if near in ("", "main", "head") else "other"
-    out += [f"near kind:{kind}", f"near kind:{kind} {inside}", f"near:{near}", f"near:{near} {inside}", f"tag:{b.tags[-1] if b.tags else ''} {inside}"]
-    if "article" in tags and "header" in tags:
-        out.append("header of " + ("article" if b.tags.index("header") > b.tags.index("article") else "page"))
+def is_marked(blocks: list[Block]) -> bool:
+    """Whether an element or a name of the page says where its main text is."""
+    return any(b.place.near == "main" or not b.place.inside.isdisjoint(("article", "main")) for b in blocks)
+
+
+def place_features(p: Place, marked: bool) -> list[str]:
+    """Of a block's surroundings, on a page that marks its main text or doesn't."""
+    out = ["bias", f"tag:{p.tag}"]
+    out += [f"in:{t}" for t in p.inside]
+    inside = "outside" if p.inside.isdisjoint(("article", "main")) else "inside"
+    if inside == "outside":
+        out += ["outside", f"outside, {'marked' if marked else 'unmarked'} page"]
+    out += [f"group:{g}" for g in p.groups]
+    kind = p.near if p.near in ("", "main", "head") else "other"
+    out += [f"near kind:{kind}", f"near kind:{kind} {inside}", f"near:{p.near}", f"near:{p.near} {inside}", f"tag:{p.tag} {inside}"]
+    if inside == "outside":
+        out += [f"near kind:{kind}, {'marked' if marked else 'unmarked'} page", f"tag:{p.tag}, {'marked' if marked else 'unmarked'} page"]
+    if p.header and "article" in p.inside:
+        out.append(f"header of {p.header}")
     return out
 
 
@@ -161,13 +144,13 @@ class Extractor:
         blocks = leaf_blocks(html)
         if not blocks:
             return []
-        n, scores = len(blocks), []
+        n, scores, marked = len(blocks), [], is_marked(blocks)
         for t, b in enumerate(blocks):
-            place = self.places.get((b.tags, b.names))
+            place = self.places.get((b.place, marked))
             if place is None:
                 if len(self.places) > 50_000:
                     self.places.clear()
-                place = self.places[b.tags, b.names] = self.total(place_features(b))
+                place = self.places[b.place, marked] = self.total(place_features(b.place, marked))
             text = self.total(text_features(b, t, n))
             scores.append((place[0] + text[0], place[1] + text[1]))
         return [b.text for b, y in zip(blocks, viterbi(scores, self.moves)) if y]
@@ -255,7 +238,7 @@ def labelled_pages(pages: int = 400, seed: int = 11) -> list[tuple[str, list[tup
         for kind in ("notice", "head", "menu", "advert", "side", "form"):
             if chance(0.4 if kind != "menu" else 0.7):
                 box(kind)
-        opening = pick("<article>", "<article>", "<main>", "<main><article>", '<div class="content">', '<div id="main">', '<div class="post entry">', '<div class="article-body">', '<section class="story">', '<div role="main">')
+        opening = pick("<div>", "<div>", "", "<section>", "<div><div>", "<table><tr><td>") if chance(0.2) else pick("<article>", "<article>", "<main>", "<main><article>", '<div class="content">', '<div id="main">', '<div class="post entry">', '<div class="article-body">', '<section class="story">', '<div role="main">')
         html.append(opening)
         header = chance(0.25)
         html.append("<header>" if header else "")
@@ -283,7 +266,7 @@ def labelled_pages(pages: int = 400, seed: int = 11) -> list[tuple[str, list[tup
                 box(pick("advert", "social", "side", "notice", "form"))
         if chance(0.15):
             box("comment")
-        html.append({"<main><article>": "</article></main>"}.get(opening, f"</{opening[1:].split(' ')[0].rstrip('>')}>"))
+        html.append({"<main><article>": "</article></main>", "": "", "<div><div>": "</div></div>", "<table><tr><td>": "</td></tr></table>"}.get(opening, f"</{opening[1:].split(' ')[0].rstrip('>')}>"))
         for kind in ("comment", "side", "advert", "social", "form", "notice"):
             if chance(0.3):
                 box(kind)
@@ -306,13 +289,20 @@ def fitted(pages: list[tuple[str, list[tuple[str, int]]]] | None = None) -> Mode
             labels.append(gold[at][1] if at < len(gold) else 0)
             at += 1
         if blocks:
-            rows.append(([place_features(b) + text_features(b, t, len(blocks)) for t, b in enumerate(blocks)], labels))
+            marked = is_marked(blocks)
+            rows.append(([place_features(b.place, marked) + text_features(b, t, len(blocks)) for t, b in enumerate(blocks)], labels))
     return train(rows)
 
 
+@functools.cache
+def default_model() -> Model:
+    """The field fitted on the generated pages; it depends on no input, so a process fits it once."""
+    return fitted()
+
+
 def extract(pages: DataFrame, model: Model | None = None) -> DataFrame:
     """page_id, url, text: blocks of main text joined by a line feed."""
-    shared = pages.sparkSession.sparkContext.broadcast(model or fitted())
+    shared = pages.sparkSession.sparkContext.broadcast(model or default_model())
 
     def run(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         extractor = Extractor(shared.value)
