@@ -9,8 +9,12 @@ Counts are rounded down, the tails they take are placed by arithmetic on their
 number within their length, and the residual tails are packed greedily: end to
 end in windows, cut where a window ends.  So only the last sequence is padded.
 
-Defined cases: null text is empty (one id, the end id); repeated rows are packed
-each; an empty table gives no rows; other columns are ignored.
+Tails of one length are numbered in salted groups of about ``salt_rows``, so a length
+that a third of all documents have (empty ones have the end id alone) is many tasks.
+
+Defined cases: null text is empty (one id, the end id); a very long text is many whole
+windows and one tail; repeated rows are packed each; equal tails are ordered by id, digest and
+start; an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -20,6 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -28,7 +33,7 @@ from ledgerloom.llm.tokens import batches, byte_encoder, tokenizer_path
 from ledgerloom.plans.shared import staged
 
 WINDOW = 1024
-PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, tail binary"
+PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, tail binary, dealt long"
 RESULT = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
 
@@ -89,11 +94,11 @@ def plan(counts: np.ndarray, window: int = WINDOW, step: int = 16) -> tuple[np.n
 
 
 def pieces(docs: DataFrame, tokenizer: str | None = None, end_id: int = 0, window: int = WINDOW) -> DataFrame:
-    """Whole windows (tail null) and the tail of each document, with its ids as unsigned 32-bit integers."""
+    """Whole windows (tail null) and the tail of each document, with its ids as unsigned 32-bit integers; dealt numbers the documents of a task."""
     path = tokenizer or tokenizer_path("byte_bpe_50k.json")
 
     def run(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = byte_encoder(path)
+        encoder, dealt = byte_encoder(path), TaskContext.get().partitionId()
         for frame in frames:
             doc_ids, texts = frame.column(0).to_pylist(), frame.column(1).to_pylist()
             for a, b in batches(texts):
@@ -104,22 +109,26 @@ def pieces(docs: DataFrame, tokenizer: str | None = None, end_id: int = 0, windo
                     for s in range(0, len(own), window):
                         part = own[s : s + window].tobytes()
                         n = len(part) // 4
-                        out.append((doc_ids[a + i], s, n, zlib.crc32(part), len(own), part if n < window else None))
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), (*[pa.int64()] * 5, pa.binary()))], ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "tail"])
+                        out.append((doc_ids[a + i], s, n, zlib.crc32(part), len(own), part if n < window else None, dealt))
+                    dealt += 1
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), (*[pa.int64()] * 5, pa.binary(), pa.int64()))], ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "tail", "dealt"])
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")).mapInArrow(run, PIECES)
 
 
-def pack(docs: DataFrame, tokenizer: str | None = None, end_id: int = 0, window: int = WINDOW, salts: int = 64) -> DataFrame:
+def pack(docs: DataFrame, tokenizer: str | None = None, end_id: int = 0, window: int = WINDOW, salt_rows: int = 1 << 17) -> DataFrame:
     """One row for each piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset."""
     spark = docs.sparkSession
     cut = staged(pieces(docs, tokenizer, end_id, window), "pieces")  # encoded once; the plan needs all lengths
-    tails = cut.where("tail is not null").withColumn("salt", F.pmod(F.xxhash64("doc_id", "ids_crc32"), F.lit(salts)))
-    by = tails.groupBy("length", "salt").agg(F.count("*").alias("n"))  # at most window * salts rows
-    base = by.select("length", "salt", (F.sum("n").over(Window.partitionBy("length").orderBy("salt")) - F.col("n")).alias("base"))
+    tails = cut.where("tail is not null")
     counts = np.zeros(window, np.int64)
-    for r in by.groupBy("length").agg(F.sum("n").alias("n")).collect():  # one row a length
+    for r in tails.groupBy("length").agg(F.count("*").alias("n")).collect():  # one row a length
         counts[r.length] = r.n
+    # As many salts as keep about salt_rows tails in each; a tail's number in its task deals it, so even rows that agree in everything are spread.
+    salts = F.get(F.lit([max(1, -(-int(n) // salt_rows)) for n in counts]), F.col("length").cast("int"))
+    tails = tails.withColumn("salt", (F.col("dealt") % salts).cast("int"))
+    by = tails.groupBy("length", "salt").agg(F.count("*").alias("n"))  # a row for each salt_rows tails, and for each length
+    base = by.select("length", "salt", (F.sum("n").over(Window.partitionBy("length").orderBy("salt")) - F.col("n")).alias("base"))
     rows, used = plan(counts, window)
     rows = rows[np.lexsort((rows[:, 1], rows[:, 0]))]
     placed = spark.sparkContext.broadcast((rows, rows[:, 0] * (1 << 40) + rows[:, 1]))

@@ -13,7 +13,7 @@ The depth follows the number of fingerprints; subtrees with more than
 ``subtree_rows`` fingerprints are split into chunks by hash, and each pair of chunks
 is a task of its own, so no task holds more than twice that, however hot a prefix is.
 
-Defined cases: null text is empty (fingerprint 0); documents with equal text or
+Defined cases: null text is empty (fingerprint 0); a very long text is fingerprinted whole, one at a time; documents with equal text or
 equal fingerprint are one component; a component's name is its smallest doc_id that
 isn't null (null if it has none); rows of one doc_id with different texts are members of
 their own fingerprints' components; an empty table gives no rows; other columns are ignored.
@@ -178,13 +178,11 @@ def hex_fingerprint(fp: str):
     return F.lpad(F.lower(F.hex(fp)), 16, "0")
 
 
-def keep_first(docs: DataFrame, radius: int = RADIUS, null_ids: bool = False) -> DataFrame:
+def keep_first(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
     """The columns of docs; one row of each near-duplicate component: the smallest doc_id, then the smallest hash of the row (one of repeated rows).
 
-    null_ids: rows with a null doc_id are members too and come after all others; else they go.
+    Rows without a doc_id are members too and come after all others.
     """
-    if not null_ids:
-        docs = docs.where("doc_id is not null")
     # 128 bits name a row by its contents: rows that share them are repeated rows.
     identity = {"__h1": F.xxhash64(*docs.columns), "__h2": F.xxhash64(F.lit(SEED), *docs.columns)}
     prints = staged(fingerprints(docs, identity), "fingerprints")
