@@ -1,4 +1,11 @@
-"""Documents to packed training sequences: toxicity, quality, near-duplicates, packing."""
+"""Documents to packed training sequences: toxicity, quality, near-duplicates, packing.
+
+Defined cases, for the stages as for the whole: null text is empty; very long texts are scored, compared
+and packed whole; repeated rows are near-duplicates of each other, so one stays; rows
+without doc_id or with a doc_id that others have too are documents of their own by their texts;
+where no model can be fitted (no labels, or none of one kind left) a filter keeps all rows; an empty table gives
+no rows; other columns, whatever their names, pass through to the last stage, which returns pieces.
+"""
 
 from __future__ import annotations
 
@@ -21,12 +28,13 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All rows stay where no model could be fitted (no document labelled good is left)."""
     labels = read_table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("label"))
-    model = quality.train(docs, labels)
-    return quality.keep_good(docs, model, GOOD) if model.edges is not None else docs
+    rows = staged(quality.described(docs), "described")
+    model = quality.train(rows, labels)
+    return quality.keep_good(rows, model, GOOD) if model.edges is not None else docs
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return simhash.keep_first(docs, null_ids=True)
+    return simhash.keep_first(docs)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
