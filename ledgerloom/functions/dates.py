@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from ledgerloom.functions.scalars import clean_string, normalize_ws
+from ledgerloom.functions.scalars import clean_string, normalize_ws, strip
 
 # Month names and the misspellings that are understood.
 MONTHS = {
@@ -33,6 +33,24 @@ FORMATS = [
     (rf"{_WEEKDAY}, {_D} {_B} {_Y4}", "dbY"), (rf"{_WEEKDAY}, {_D} {_B} {_Y2}", "dby"), (rf"{_Y4}/{_D}/{_D}", "Ymd"),
 ]
 
+_SEP, _M = r"(?:\s*[-_]\s*|\s+to\s+)", "([A-Za-z]+)"
+# The forms of months, ranges, partial and mistyped dates. The forms of ranges are tried in their order.
+FORMS = {
+    "month day": r"(\d{4})-(\d{1,2})-(\d{1,2})",
+    "month": r"(\d{4})-(\d{1,2})",
+    "month name": rf"{_M}(?:[\s,-]+(\d{{2,4}}))?",
+    "range slashes": r"(\d{1,2})/(\d{1,2})/(\d{2,4})-(\d{1,2})/(\d{1,2})/(\d{2,4})",
+    "range iso": r"(\d{4})[/-](\d{1,2})-(\d{1,2})\D+(\d{4})-(\d{1,2})-(\d{1,2})",
+    "range within": rf"{_D}{_SEP}{_D}\s+{_M}(?:\s+(\d{{2,4}}))?",
+    "range pair": rf"{_D}/{_D}\s+{_M}\s+(\d{{2,4}})",
+    "range cross": rf"{_D}\s+{_M}(?:\s+(\d{{2,4}}))?\s*[-_]\s*{_D}\s+{_M}\s+(\d{{2,4}})",
+    "range open": rf"{_D}\s+{_M}{_SEP}{_D}\s+{_M}(?:\s+(\d{{2,4}}))?",
+    "wrong slashes": rf"{_D}/{_D}/{_Y4}",
+    "wrong iso": rf"{_Y4}-{_Y2}-{_Y2}",
+    "wrong short": rf"(\d{{3}})-{_Y2}-{_Y2}",
+    "partial": rf"{_D}[\s/-]+{_M}(?:[\s,-]+(\d{{2,4}}))?",
+}
+
 
 def _let(c: Column, body: Callable[[Column], Column]) -> Column:
     """body(c) with c worked out once: without it the texts nest into each other, and plans grow beyond all bounds."""
@@ -72,7 +90,7 @@ def _span(start: Column, end: Column) -> Column:
 
 def month_number(c: Column) -> Column:
     """P-05: every name that is understood begins with its month's three letters."""
-    t = F.lower(F.trim(c))
+    t = F.lower(strip(c))
     return F.when(t.rlike("^(?:" + "|".join(MONTHS) + ")$"), ((F.instr(F.lit("".join(_ABBR)), F.substring(t, 1, 3)) + 2) / 3).cast("int"))
 
 
@@ -160,7 +178,7 @@ def parse_month_value(c: Column, start: Column | None = None, end: Column | None
 
 
 def _month(t: Column, start: Column | None, end: Column | None) -> Column:
-    day, iso, name = r"(\d{4})-(\d{1,2})-(\d{1,2})", r"(\d{4})-(\d{1,2})", r"([A-Za-z]+)(?:[\s,-]+(\d{2,4}))?"
+    day, iso, name = (FORMS[k] for k in ("month day", "month", "month name"))
     month = month_number(_group(t, name, 1))
     year = F.coalesce(_short(_number(t, name, 2)), infer_year(month, start, end))
     return F.when(_fits(t, day), _whole_month(_number(t, day, 1), _number(t, day, 2))).when(_fits(t, iso), _whole_month(_number(t, iso, 1), _number(t, iso, 2))).when(_fits(t, name), _whole_month(year, month))
@@ -175,13 +193,7 @@ def _range(t: Column, start: Column | None, end: Column | None) -> Column:
     n = lambda p, k: _number(t, p, k)
     m = lambda p, k: month_number(_group(t, p, k))
     two = lambda y: F.when(F.length(y) == 2, y.try_cast("int") + 2000).otherwise(y.try_cast("int"))
-    sep = r"(?:\s*[-_]\s*|\s+to\s+)"
-    slashes = r"(\d{1,2})/(\d{1,2})/(\d{2,4})-(\d{1,2})/(\d{1,2})/(\d{2,4})"
-    iso = r"(\d{4})[/-](\d{1,2})-(\d{1,2})\D+(\d{4})-(\d{1,2})-(\d{1,2})"
-    within = rf"(\d{{1,2}}){sep}(\d{{1,2}})\s+([A-Za-z]+)(?:\s+(\d{{2,4}}))?"
-    pair = r"(\d{1,2})/(\d{1,2})\s+([A-Za-z]+)\s+(\d{2,4})"
-    cross = r"(\d{1,2})\s+([A-Za-z]+)(?:\s+(\d{2,4}))?\s*[-_]\s*(\d{1,2})\s+([A-Za-z]+)\s+(\d{2,4})"
-    open_ = rf"(\d{{1,2}})\s+([A-Za-z]+){sep}(\d{{1,2}})\s+([A-Za-z]+)(?:\s+(\d{{2,4}}))?"
+    slashes, iso, within, pair, cross, open_ = (FORMS[f"range {k}"] for k in ("slashes", "iso", "within", "pair", "cross", "open"))
     within_year = F.coalesce(two(_group(t, within, 4)), infer_year(m(within, 3), start, end))
     pair_year = _short(n(pair, 4))
     cross_end = _short(n(cross, 6))
@@ -209,7 +221,7 @@ def parse_year_hint_date(c: Column, start: Column | None = None, end: Column | N
 
 def _repaired(t: Column, start: Column | None, end: Column | None) -> Column:
     start, end = _hint(start), _hint(end)
-    slash, iso, short = r"(\d{1,2})/(\d{1,2})/(\d{4})", r"(\d{4})-(\d{2})-(\d{2})", r"(\d{3})-(\d{2})-(\d{2})"
+    slash, iso, short = (FORMS[f"wrong {k}"] for k in ("slashes", "iso", "short"))
     first = lambda years, month, day: F.coalesce(*[iso_date(_in_years(y, start, end), month, day) for y in years])
     y = _number(t, slash, 3)
     by_slash = first([y, F.when(y >= 1000, y - 1000)], _number(t, slash, 2), _number(t, slash, 1))
@@ -226,7 +238,7 @@ def parse_partial_date(c: Column, start: Column | None = None, end: Column | Non
 
 
 def _partial(t: Column, start: Column | None, end: Column | None) -> Column:
-    p = r"(\d{1,2})[\s/-]+([A-Za-z]+)(?:[\s,-]+(\d{2,4}))?"
+    p = FORMS["partial"]
     month, text = month_number(_group(t, p, 2)), _group(t, p, 3)
     year = F.when(text.isNull(), infer_year(month, start, end)).when(F.length(text) == 2, text.try_cast("int") + 2000).otherwise(text.try_cast("int"))
     return F.coalesce(_date(t), _repaired(t, start, end), iso_date(year, month, _number(t, p, 1)))

@@ -10,26 +10,35 @@ def _c(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+#: White space of Unicode, with the four separators U+001C to U+001F, as a class of a pattern.
+SPACE = r"[\x{9}-\x{D}\x{1C}-\x{20}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
+
+
+def strip(c: Column | str) -> Column:
+    """Without white space at its ends; F.trim knows U+0020 only."""
+    return F.regexp_replace(_c(c), f"^{SPACE}+|{SPACE}+$", "")
+
+
 def clean_string(c: Column | str) -> Column:
     """P-01: trimmed; null for an empty text, nan, none and n/a in any case."""
-    t = F.trim(F.regexp_replace(_c(c).cast("string"), r"^\s+|\s+$", ""))
+    t = strip(_c(c).cast("string"))
     return F.when(~F.lower(t).isin("", "nan", "none", "n/a"), t)
 
 
 def normalize_ws(c: Column | str) -> Column:
     """P-02: runs of white space become one space; trimmed."""
-    return F.trim(F.regexp_replace(_c(c), r"\s+", " "))
+    return F.trim(F.regexp_replace(_c(c), f"{SPACE}+", " "))
 
 
 def parse_amount(c: Column | str) -> Column:
     """P-14: a number without currency signs and thousands separators, else null."""
-    t = F.trim(F.translate(clean_string(c), "£$€,", ""))
+    t = strip(F.translate(clean_string(c), "£$€,", ""))
     return F.when(t.rlike(r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"), t.try_cast("double"))
 
 
 def parse_thousands(c: Column | str) -> Column:
     """P-15: thousands of pounds as a whole number of pounds (cut, not rounded), else null."""
-    t = F.trim(F.translate(_c(c).cast("string"), ",£$", ""))
+    t = strip(F.translate(_c(c).cast("string"), ",£$", ""))
     return F.when(t.rlike(r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"), (t.try_cast("double") * 1000).cast("bigint"))
 
 
@@ -38,19 +47,18 @@ def thousands_currency(c: Column | str) -> Column:
     return F.when(parse_thousands(c).isNotNull(), F.lit("GBP"))
 
 
-# Prefixes of company numbers that six digits follow.
-COH_PREFIXES = "AC CE CS FC FE GE GS IC LP NC NF NI NL NO NP OC OE PC R0 RC SA SC SE SF SG SI SL SO SR SZ ZC".split()
-_COH = "^(((" + "|".join(COH_PREFIXES) + r"|[0-9]{2})[0-9]{6})|((IP|SP|RS)[A-Z0-9]{6})|(SL[0-9]{5}[0-9A])|(RS007853Z))$"
+# Fixed value: the pattern of company numbers.
+COH = r"^(((AC|CE|CS|FC|FE|GE|GS|IC|LP|NC|NF|NI|NL|NO|NP|OC|OE|PC|R0|RC|SA|SC|SE|SF|SG|SI|SL|SO|SR|SZ|ZC|\d{2})\d{6})|((IP|SP|RS)[A-Z\d]{6})|(SL\d{5}[\dA])|(RS007853Z))$"
 
 
 def is_gb_coh(c: Column | str) -> Column:
     """P-16: a valid company number as it stands; null and empty are not."""
-    return F.coalesce(_c(c).rlike(_COH), F.lit(False))
+    return F.coalesce(_c(c).rlike(COH), F.lit(False))
 
 
 def normalize_gb_coh(c: Column | str) -> Column:
     """P-16: trimmed, upper case, digits padded to eight; null if not valid then."""
-    t = F.upper(F.trim(_c(c).cast("string")))
+    t = F.upper(strip(_c(c).cast("string")))
     t = F.when(t.rlike("^[0-9]{1,7}$"), F.lpad(t, 8, "0")).otherwise(t)
     return F.when(is_gb_coh(t), t)
 
@@ -88,7 +96,7 @@ def fingerprint(c: Column | str) -> Column:
 
 def is_complex(c: Column | str) -> Column:
     """P-20: 20 characters or more after trimming, and a sign that several names are in it."""
-    t = F.trim(_c(c))
+    t = strip(_c(c))
     return F.coalesce((F.length(t) >= 20) & F.lower(t).rlike(r"[,;():]| and | & "), F.lit(False))
 
 
@@ -98,7 +106,7 @@ ROLES = {"consultant lobbyist": "lobbyist"}
 
 def normalize_role(c: Column | str) -> Column:
     """P-21"""
-    t = F.lower(F.trim(_c(c)))
+    t = F.lower(strip(_c(c)))
     out = F.when(t == "", F.lit(None).cast("string"))
     for role, same in ROLES.items():
         out = out.when(t == role, F.lit(same))
@@ -111,13 +119,26 @@ def pair_key(a: Column | str, b: Column | str) -> Column:
 
 
 # Character references that tags' texts use most; numbers are decoded by rule.
-ENTITIES = {"&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "'", "&apos;": "'", "&nbsp;": " ", "&pound;": "£", "&euro;": "€", "&copy;": "©", "&middot;": "·", "&ndash;": "–", "&mdash;": "—", "&hellip;": "…", "&rsquo;": "’", "&lsquo;": "‘", "&ldquo;": "“", "&rdquo;": "”", "&amp;": "&"}
+ENTITIES = {"&lt;": "<", "&gt;": ">", "&quot;": '"', "&apos;": "'", "&nbsp;": " ", "&pound;": "£", "&euro;": "€", "&copy;": "©", "&middot;": "·", "&ndash;": "–", "&mdash;": "—", "&hellip;": "…", "&rsquo;": "’", "&lsquo;": "‘", "&ldquo;": "“", "&rdquo;": "”", "&amp;": "&"}
+_NUMBER = r"(?i)^(x[0-9a-f]{1,6}|[0-9]{1,7});?"
+
+
+def _numbered(piece: Column) -> Column:
+    """What follows "&#": the character of its number and the rest; as it is where no number of a character stands there."""
+    digits = F.regexp_extract(piece, _NUMBER, 1)
+    code = F.when(F.lower(digits).startswith("x"), F.conv(F.substring(digits, 2, 6), 16, 10)).when(digits != "", digits).cast("long")
+    known = code.between(1, 0x10FFFF) & ~code.between(0xD800, 0xDFFF)
+    char = F.decode(F.unhex(F.lpad(F.hex(F.when(known, code).otherwise(0xFFFD)), 8, "0")), "UTF-32")
+    char = F.when(code == 38, "&amp;").otherwise(char)  # is decoded with the names, which come after
+    return F.when(digits == "", F.concat(F.lit("&#"), piece)).otherwise(F.concat(char, F.regexp_replace(piece, _NUMBER, "")))
 
 
 def strip_html(c: Column | str) -> Column:
-    """P-23: as it is without < and &; else the text with one space where tags were."""
+    """P-23: as it is without < and &; else the text with one space where tags were, references decoded once."""
     c = _c(c)
     t = F.regexp_replace(c, r"(?s)<!--.*?-->|<[^>]*>", " ")
+    pieces = F.split(t, "&#", -1)
+    t = F.array_join(F.concat(F.slice(pieces, 1, 1), F.transform(F.slice(pieces, 2, 1 << 30), _numbered)), "")
     for name, char in ENTITIES.items():
         t = F.replace(t, F.lit(name), F.lit(char))
     return F.when(c.rlike("[<&]"), normalize_ws(t)).otherwise(c)
@@ -129,7 +150,7 @@ def parse_properties(items: Column | str) -> Column:
     Split at the first =, both sides trimmed; a missing =, an empty key or no items is an error.
     """
     items = _c(items)
-    pairs = F.transform(items, lambda i: F.struct(F.trim(F.regexp_extract(i, "(?s)^([^=]*)=", 1)).alias("k"), F.trim(F.regexp_extract(i, "(?s)^[^=]*=(.*)$", 1)).alias("v"), F.contains(i, F.lit("=")).alias("fine")))
+    pairs = F.transform(items, lambda i: F.struct(strip(F.regexp_extract(i, "(?s)^([^=]*)=", 1)).alias("k"), strip(F.regexp_extract(i, "(?s)^[^=]*=(.*)$", 1)).alias("v"), F.contains(i, F.lit("=")).alias("fine")))
     error = F.when(items.isNull() | (F.size(items) == 0), "no properties").when(F.exists(pairs, lambda p: ~F.coalesce(p["fine"], F.lit(False))), "missing =").when(F.exists(pairs, lambda p: p["k"] == ""), "empty key")
     keys = F.array_distinct(F.transform(pairs, lambda p: p["k"]))
     grouped = F.map_from_arrays(keys, F.transform(keys, lambda k: F.transform(F.filter(pairs, lambda p: p["k"] == k), lambda p: p["v"])))
@@ -138,8 +159,8 @@ def parse_properties(items: Column | str) -> Column:
 
 def lookup(df: DataFrame, table: DataFrame, col: str, name: str, out: str = "looked_up") -> DataFrame:
     """P-25: left join with a lookup table (lookup, match, value) on the trimmed lower-cased value; no match: null."""
-    found = table.where(F.col("lookup") == name).groupBy(F.lower(F.trim("match")).alias("__match")).agg(F.min("value").alias(out))
-    return df.join(found, F.lower(F.trim(F.col(col))) == F.col("__match"), "left").drop("__match")
+    found = table.where(F.col("lookup") == name).groupBy(F.lower(strip("match")).alias("__match")).agg(F.min("value").alias(out))
+    return df.join(found, F.lower(strip(F.col(col))) == F.col("__match"), "left").drop("__match")
 
 
 def user_label(user_id: Column | str, name: Column | str | None = None, prefix: str = "reviewer") -> Column:
@@ -147,5 +168,5 @@ def user_label(user_id: Column | str, name: Column | str | None = None, prefix:
     user = _c(user_id).cast("string")
     if name is None:
         return F.concat_ws(":", F.lit(prefix), user)
-    n = F.trim(_c(name))
+    n = strip(_c(name))
     return F.concat_ws(":", F.lit(prefix), user, F.when(n != "", n))

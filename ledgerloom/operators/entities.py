@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.plans.model import ONTOLOGY, Ontology
@@ -19,44 +19,61 @@ def canonicalise(stmt: DataFrame, linker: DataFrame, values: bool = False) -> Da
     return out.select(*stmt.columns) if "canonical_id" in stmt.columns else out
 
 
+def schema_of(schemas: Column, ontology: Ontology = ONTOLOGY) -> Column:
+    """Of a list of schemata struct<schema,schema_conflict>: the deepest (of equals the smallest name), and whether two are on different lines of descent."""
+    depth = F.create_map(*[F.lit(x) for s, _ in ontology.tree for x in (s, ontology.depth(s))])
+    above = F.create_map(*[x for s, _ in ontology.tree for x in (F.lit(s), F.lit(ontology.ancestors(s)))])
+    top = F.array_min(F.transform(schemas, lambda s: F.struct((-F.coalesce(depth[s], F.lit(-1))).alias("d"), s.alias("s"))))["s"]
+    apart = lambda t: F.exists(schemas, lambda s: ~F.coalesce(F.array_contains(above[t], s), F.lit(True)))
+    return F.element_at(F.transform(F.array(top), lambda t: F.struct(t.alias("schema"), apart(t).alias("schema_conflict"))), 1)
+
+
 def entity_schemas(stmt: DataFrame, ontology: Ontology = ONTOLOGY) -> DataFrame:
     """canonical_id, schema (the deepest; of equals the smallest name), schema_conflict (two schemata on different lines of descent)."""
-    dim = F.broadcast(ontology.schema_dim(stmt.sparkSession).select("schema", "depth", "ancestors"))
-    kinds = stmt.groupBy("canonical_id", "schema").agg(F.lit(1).alias("one")).join(dim, "schema", "left").withColumn("depth", F.coalesce("depth", F.lit(-1)))
-    ranked = kinds.groupBy("canonical_id").agg(F.array_sort(F.collect_list(F.struct((-F.col("depth")).alias("d"), "schema", "ancestors"))).alias("s"))
-    top = F.col("s")[0]
-    return ranked.select("canonical_id", top["schema"].alias("schema"), F.exists("s", lambda x: ~F.coalesce(F.array_contains(top["ancestors"], x["schema"]), F.lit(True))).alias("schema_conflict"))
+    return stmt.groupBy("canonical_id").agg(F.collect_set("schema").alias("s")).select("canonical_id", schema_of(F.col("s"), ontology).alias("s")).select("canonical_id", "s.*")
 
 
 def assemble_entities(stmt: DataFrame, datasets: Sequence[str] | None = None, ontology: Ontology = ONTOLOGY) -> DataFrame:
     """A-01: one row for each canonical id with its distinct values by property, datasets, schema and caption.
 
-    Values are made distinct before they are gathered (partial aggregation on canonical id, property and value), so a hub's repeated
-    values don't travel.
+    One pass: dataset and schema count as two more properties of a statement. Values are made distinct (in a hash table, before
+    they are shuffled) by canonical id, property and value, so a hub's repeated values don't travel; then they are gathered by canonical id.
     """
     if datasets is not None:
         stmt = stmt.where(F.col("dataset").isin(*datasets))
-    values = stmt.where("prop <> 'id'").groupBy("canonical_id", "prop", "value").agg(F.lit(1).alias("one"))
-    props = values.groupBy("canonical_id", "prop").agg(F.sort_array(F.collect_list("value")).alias("values"))
-    props = props.groupBy("canonical_id").agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct("prop", "values")))).alias("properties"))
-    sets = stmt.groupBy("canonical_id").agg(F.sort_array(F.collect_set("dataset")).alias("datasets"))
-    empty = F.create_map().cast("map<string,array<string>>")
-    out = sets.join(entity_schemas(stmt, ontology), "canonical_id").join(props, "canonical_id", "left").withColumn("properties", F.coalesce("properties", empty))
+    pair = lambda p, v: F.struct(p.alias("prop"), v.alias("value"))
+    own = F.when(F.col("prop") != "id", pair(F.col("prop"), F.col("value")))
+    # The names of a dataset's and a schema's entry are no property's.
+    rows = stmt.select("canonical_id", F.inline(F.array_compact(F.array(pair(F.lit(" dataset"), F.col("dataset")), pair(F.lit(" schema"), F.col("schema")), own))))
+    rows = rows.distinct().groupBy("canonical_id").agg(F.array_sort(F.collect_list(F.struct("prop", "value"))).alias("all"))
+    values = lambda p: F.transform(F.filter("all", lambda x: x["prop"] == p), lambda x: x["value"])
+    names = F.filter(F.array_distinct(F.transform("all", lambda x: x["prop"])), lambda p: ~p.startswith(" "))
+    properties = F.map_from_entries(F.transform(names, lambda p: F.struct(p.alias("prop"), values(p).alias("values"))))
+    out = rows.select("canonical_id", properties.alias("properties"), F.array_compact(values(F.lit(" dataset"))).alias("datasets"), schema_of(values(F.lit(" schema")), ontology).alias("s"))
     first = lambda p: F.col("properties")[p][0]
-    return out.select(F.col("canonical_id").alias("id"), "canonical_id", "schema", F.coalesce(first("name"), first("title"), first("alias"), F.col("canonical_id")).alias("caption"), "datasets", "properties", "schema_conflict")
+    return out.select(F.col("canonical_id").alias("id"), "canonical_id", "s.schema", F.coalesce(first("name"), first("title"), first("alias"), F.col("canonical_id")).alias("caption"), "datasets", "properties", "s.schema_conflict")
 
 
 def captions(stmt: DataFrame, ontology: Ontology = ONTOLOGY) -> DataFrame:
     """id, caption, schema of each entity, without its other properties."""
     least = lambda p: F.min(F.when(F.col("prop") == p, F.col("value")))
-    named = stmt.groupBy("canonical_id").agg(F.coalesce(least("name"), least("title"), least("alias"), F.col("canonical_id")).alias("caption"))
-    return named.join(entity_schemas(stmt, ontology), "canonical_id").select(F.col("canonical_id").alias("id"), "caption", "schema")
+    named = stmt.groupBy("canonical_id").agg(F.coalesce(least("name"), least("title"), least("alias"), F.col("canonical_id")).alias("caption"), F.collect_set("schema").alias("s"))
+    return named.select(F.col("canonical_id").alias("id"), "caption", schema_of(F.col("s"), ontology)["schema"].alias("schema"))
+
+
+def references(stmt: DataFrame) -> DataFrame:
+    """(id, prop, ref): the distinct entity-typed values of each canonical id, straight from its statements."""
+    return stmt.where("prop_type = 'entity'").select(F.col("canonical_id").alias("id"), "prop", F.col("value").alias("ref")).distinct()
+
+
+def entity_references(entities: DataFrame, ontology: Ontology = ONTOLOGY) -> DataFrame:
+    """(id, prop, ref) of assembled entities."""
+    names = sorted({p for _, p, k, _ in ontology.prop_rows() if k == "entity"})
+    return entities.select("id", F.explode("properties").alias("prop", "values")).where(F.col("prop").isin(*names)).select("id", "prop", F.explode("values").alias("ref"))
 
 
-def enrich_references(entities: DataFrame, captions: DataFrame, ontology: Ontology = ONTOLOGY) -> DataFrame:
-    """J-07: (id, prop, ref, ref_caption, ref_schema) for each entity-typed value; what isn't known has its id as caption and schema Entity."""
-    entity_props = sorted({p for _, p, k, _ in ontology.prop_rows() if k == "entity"})
-    refs = entities.select("id", F.explode("properties").alias("prop", "values")).where(F.col("prop").isin(*entity_props)).select("id", "prop", F.explode("values").alias("ref"))
+def enrich_references(refs: DataFrame, captions: DataFrame) -> DataFrame:
+    """J-07: (id, prop, ref, ref_caption, ref_schema) for each reference (id, prop, ref); what isn't known has its id as caption and schema Entity."""
     known = captions.select(F.col("id").alias("ref"), F.col("caption").alias("ref_caption"), F.col("schema").alias("ref_schema"))
     return refs.join(known, "ref", "left").select("id", "prop", "ref", F.coalesce("ref_caption", "ref").alias("ref_caption"), F.coalesce("ref_schema", F.lit("Entity")).alias("ref_schema"))
 

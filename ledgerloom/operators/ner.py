@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ledgerloom.functions.dates import parse_date
-from ledgerloom.functions.scalars import fingerprint, is_complex, normalize_ws, parse_amount
+from ledgerloom.functions.scalars import fingerprint, is_complex, normalize_ws, parse_amount, strip
 from ledgerloom.plans.model import COLUMNS, FRAGMENTS, ONTOLOGY, Ontology, conform, statement_id, to_statements
 from ledgerloom.plans.shared import staged
 
@@ -20,7 +20,7 @@ KEY = ["dataset", "entity_id", "property_name", "fingerprint", "extractor", "ext
 
 def distinct_texts(stmt: DataFrame) -> DataFrame:
     """A-10"""
-    return stmt.select("dataset", "entity_id", "schema", F.col("prop").alias("property_name"), F.trim("value").alias("source_text")).dropDuplicates(["dataset", "entity_id", "property_name", "source_text"])
+    return stmt.select("dataset", "entity_id", "schema", F.col("prop").alias("property_name"), strip("value").alias("source_text")).dropDuplicates(["dataset", "entity_id", "property_name", "source_text"])
 
 
 def skip_extracted(inputs: DataFrame, stored: DataFrame, extractor: str, version: str) -> DataFrame:
@@ -36,7 +36,7 @@ def extraction_budget(inputs: DataFrame, limit: int | None) -> DataFrame:
 
 def ner_inputs(stmt: DataFrame, existing: DataFrame | None = None, limit: int | None = None, extractor: str = "delimiter", version: str = "1", entity_ids: Sequence[str] | None = None) -> DataFrame:
     """N-01: composite names that aren't extracted yet: dataset, entity_id, schema, property_name, source_text, fingerprint."""
-    rows = stmt.where(F.col("schema").isin(*NER_SCHEMATA) & (F.col("prop") == "name") & (F.trim("value") != "") & is_complex("value"))
+    rows = stmt.where(F.col("schema").isin(*NER_SCHEMATA) & (F.col("prop") == "name") & (strip("value") != "") & is_complex("value"))
     if entity_ids is not None:
         rows = rows.where(F.col("entity_id").isin(*entity_ids))
     inputs = distinct_texts(rows).withColumn("fingerprint", fingerprint("source_text"))
@@ -107,7 +107,7 @@ def validate_fragments(cands: DataFrame, key: str = "id", ontology: Ontology = O
         F.when(~F.col("schema").isin(*known) | F.col("schema").isNull(), "unknown schema")
         .when(F.col("prop").isNull(), "no properties")
         .when(F.col("type").isNull(), "unknown property")
-        .when(F.col("value").isNull() | (F.trim("value") == ""), "empty value")
+        .when(F.col("value").isNull() | (strip("value") == ""), "empty value")
         .when(ref & (F.col("type") != "entity"), "reference in a plain property")
         .when(ref & F.col("ref_schema").isNull(), "unknown reference")
         .when(ref & F.col("range").isNotNull() & ~fits, "reference out of range")
@@ -129,7 +129,7 @@ def match_extractions(stmt: DataFrame, approved: DataFrame) -> DataFrame:
 
     The trimmed value is hashed, as extraction does.
     """
-    names = stmt.where("prop = 'name'").select("entity_id", "dataset", "id", "value", fingerprint(F.trim("value")).alias("fingerprint"), F.lit("name").alias("property_name"))
+    names = stmt.where("prop = 'name'").select("entity_id", "dataset", "id", "value", fingerprint(strip("value")).alias("fingerprint"), F.lit("name").alias("property_name"))
     hits = names.join(approved.where("size(extraction) > 0"), ["property_name", "fingerprint"])
     return hits.groupBy("entity_id").agg(F.max_by(F.struct("dataset", "extraction"), F.struct("value", "id")).alias("m")).select("entity_id", "m.dataset", "m.extraction")
 
@@ -174,15 +174,15 @@ def drop_replaced(stmt: DataFrame, replacements: DataFrame) -> DataFrame:
 
 
 def rewrite_references(stmt: DataFrame, replacements: DataFrame, ontology: Ontology = ONTOLOGY) -> tuple[DataFrame, DataFrame]:
-    """J-05: the statements that don't point at a replaced entity, and a clone for each fragment whose schema fits the property's range."""
+    """J-05: the statements that don't point at a replaced entity, and a clone for each fragment whose schema fits the property's range. stmt is read twice, the second time for its entity-typed rows alone."""
     dim = F.broadcast(ontology.schema_dim(stmt.sparkSession).select("schema", "ancestors"))
     targets = replacements.select("entity_id", "fragment_id", "schema").distinct().join(dim, "schema").groupBy(F.col("entity_id").alias("__old")).agg(F.collect_list(F.struct("fragment_id", "ancestors")).alias("__targets"))
-    rows = stmt.join(targets, (F.col("prop_type") == "entity") & (F.col("value") == F.col("__old")), "left")
+    points = (F.col("prop_type") == "entity") & (F.col("value") == F.col("__old"))
     ranges = F.broadcast(ontology.prop_dim(stmt.sparkSession).select("schema", "prop", "range"))
     fits = F.filter("__targets", lambda t: F.col("range").isNull() | F.array_contains(t["ancestors"], F.col("range")))
-    hits = rows.where("__targets is not null").join(ranges, ["schema", "prop"], "left").withColumn("__t", F.explode(fits))
+    hits = stmt.where("prop_type = 'entity'").join(targets, points).join(ranges, ["schema", "prop"], "left").withColumn("__t", F.explode(fits))
     clones = hits.withColumn("value", F.col("__t.fragment_id")).select(*stmt.columns).withColumn("id", statement_id())
-    return rows.where("__targets is null").select(*stmt.columns), clones.dropDuplicates(["id"])
+    return stmt.join(targets.select("__old"), points, "left_anti").select(*stmt.columns), clones.dropDuplicates(["id"])
 
 
 def union_replaced(kept: DataFrame, rewritten: DataFrame, created: DataFrame) -> DataFrame:
@@ -199,7 +199,7 @@ def fragment_statements(frags: DataFrame, ontology: Ontology = ONTOLOGY) -> Data
 
 def apply_ner(stmt: DataFrame, cands: DataFrame, ontology: Ontology = ONTOLOGY) -> DataFrame:
     """N-05: statements after approved extractions have replaced the entities they matched."""
-    stmt = conform(stmt)
+    stmt = staged(conform(stmt), "statements")  # used three times
     frags = staged(resolve_refs(fragments(match_extractions(stmt, latest_approved(cands)), ontology)), "fragments")  # used three times
     kept, rewritten = rewrite_references(drop_replaced(stmt, frags), frags, ontology)
     return union_replaced(kept, rewritten, fragment_statements(frags, ontology)).select(*COLUMNS)
@@ -249,12 +249,19 @@ def pending(cands: DataFrame, dataset: str | None = None, status: str = "pending
 
 
 def evidence_spans(cands: DataFrame, key: str = "id") -> DataFrame:
-    """P-28: (key, start, end): places of extracted names, aliases and abbreviations in the source text, case ignored; spans that overlap or touch are one."""
-    terms = F.array_distinct(F.flatten(F.transform("extraction", lambda f: F.flatten(F.transform(F.array(*[F.lit(p) for p in ("name", "alias", "abbreviation")]), lambda p: F.coalesce(f["properties"][p], F.array().cast("array<string>")))))))
-    rows = cands.select(key, F.lower("source_text").alias("text"), F.explode(terms).alias("term")).where("term <> ''").withColumn("term", F.lower("term"))
-    starts = F.filter(F.sequence(F.lit(1), F.greatest(F.lit(1), F.length("text") - F.length("term") + 1)), lambda i: F.substring(F.col("text"), i, F.length("term")) == F.col("term"))
-    spans = rows.select(key, F.explode(starts).alias("at"), F.length("term").alias("n")).select(key, (F.col("at") - 1).alias("start"), (F.col("at") - 1 + F.col("n")).alias("end"))
+    """P-28: (key, start, end): places of extracted names, aliases and abbreviations in the source text, case ignored; spans that overlap or touch are one.
+
+    Places count characters of the source text itself. It is split at each term once, so the work grows with the text, not with its square.
+    """
+    terms = F.flatten(F.transform("extraction", lambda f: F.flatten(F.transform(F.array(*[F.lit(p) for p in ("name", "alias", "abbreviation")]), lambda p: F.coalesce(f["properties"][p], F.array().cast("array<string>"))))))
+    rows = cands.select(key, "source_text", F.explode(F.array_distinct(F.transform(terms, lambda t: strip(t)))).alias("term")).where("term <> ''")
+    # Java compares letter by letter, so what is found is as long as the term.
+    pattern = F.concat(F.lit(r"(?iu)\Q"), F.replace("term", F.lit(r"\E"), F.lit(r"\E\\E\Q")), F.lit(r"\E"))
+    gaps = F.transform(F.split("source_text", pattern, -1), F.length)
+    found = rows.select(key, "term", F.length("term").alias("n"), gaps.alias("gaps")).select(key, "term", "n", F.posexplode(F.slice("gaps", 1, F.size("gaps") - 1)).alias("k", "gap")).repartition(key)
+    so_far = F.sum("gap").over(Window.partitionBy(key, "term").orderBy("k").rowsBetween(Window.unboundedPreceding, 0)) + F.col("k") * F.col("n")
+    spans = found.select(key, so_far.cast("int").alias("start"), (so_far + F.col("n")).cast("int").alias("end"))
     w = Window.partitionBy(key).orderBy("start", "end")
-    so_far = F.max("end").over(w.rowsBetween(Window.unboundedPreceding, -1))
-    marked = spans.withColumn("island", F.when(F.coalesce(F.col("start") <= so_far, F.lit(False)), 0).otherwise(1)).withColumn("island", F.sum("island").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    reached = F.max("end").over(w.rowsBetween(Window.unboundedPreceding, -1))
+    marked = spans.withColumn("island", F.when(F.coalesce(F.col("start") <= reached, F.lit(False)), 0).otherwise(1)).withColumn("island", F.sum("island").over(w.rowsBetween(Window.unboundedPreceding, 0)))
     return marked.groupBy(key, "island").agg(F.min("start").alias("start"), F.max("end").alias("end")).drop("island")

@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from ledgerloom.operators.entities import canonicalise
 from ledgerloom.operators.ner import apply_ner
 from ledgerloom.operators.resolver import linker
 from ledgerloom.operators.search import search_view
+from ledgerloom.plans.shared import exists, remove
+from ledgerloom.sources.ledger import latest_artifacts, latest_per_type, latest_runs  # noqa: F401 (part of this module's interface)
 from ledgerloom.sources.snapshots import content_manifest, publish_tables, read_statements
 
 FINAL = ("succeeded", "failed")
@@ -24,26 +26,6 @@ def run_ledger(events: DataFrame) -> DataFrame:
     return rows.select("run_id", "dataset_name", F.col("e.status").alias("status"), "started_at", F.when(F.col("e.status").isin(*FINAL), F.col("finished_at")).alias("finished_at"), F.when(F.col("e.status") == "failed", F.col("e.error_message")).alias("error_message"), F.col("e.stats").alias("stats"))
 
 
-def latest_runs(runs: DataFrame) -> DataFrame:
-    """W-03: the newest succeeded run of each dataset, by start, then id."""
-    best = runs.where("status = 'succeeded'").groupBy("dataset_name").agg(F.max(F.struct("started_at", "id")).alias("m"))
-    return best.select("dataset_name", F.col("m.id").alias("id"), F.col("m.started_at").alias("started_at"))
-
-
-def latest_per_type(artifacts: DataFrame, owner: str = "dataset_run_id") -> DataFrame:
-    """W-04: the artifact with the highest id of each run (or release) and type."""
-    w = Window.partitionBy(owner, "artifact_type").orderBy(F.col("id").desc())
-    return artifacts.withColumn("__n", F.row_number().over(w)).where("__n = 1").drop("__n")
-
-
-def latest_artifacts(runs: DataFrame, artifacts: DataFrame, type: str = "statements_pack") -> DataFrame:
-    """J-13: of each dataset the newest artifact of the type among its succeeded runs: by the run's start and id, then the artifact's id."""
-    good = runs.where("status = 'succeeded'").select(F.col("id").alias("dataset_run_id"), "dataset_name", "started_at")
-    rows = artifacts.where(F.col("artifact_type") == type).join(good, "dataset_run_id")
-    best = rows.groupBy("dataset_name").agg(F.max(F.struct("started_at", "dataset_run_id", "id", "storage_key")).alias("m"))
-    return best.select("dataset_name", F.col("m.dataset_run_id").alias("dataset_run_id"), F.col("m.id").alias("artifact_id"), F.col("m.storage_key").alias("storage_key"))
-
-
 def supersede(releases: DataFrame) -> DataFrame:
     """W-06: of published releases only the one published last stays so."""
     published = F.when(F.col("status") == "published", F.struct("published_at", "id"))
@@ -74,14 +56,43 @@ def release_inputs(runs: DataFrame, artifacts: DataFrame, datasets: Sequence[str
     return found
 
 
+RELEASE_EVENTS = "event_id string, release_id string, status string, at timestamp, error_message string"
+
+
+def record_release(spark: SparkSession, root: str, release: str, status: str, error: str | None = None, now: Column | None = None) -> None:
+    """One more event of a release in the store's ledger."""
+    row = spark.createDataFrame([(uuid.uuid4().hex, release, status, error)], "event_id string, release_id string, status string, error_message string")
+    row.withColumn("at", F.current_timestamp() if now is None else now).select("event_id", "release_id", "status", "at", "error_message").coalesce(1).write.mode("append").parquet(f"{root}/release-events")
+
+
+def release_events(spark: SparkSession, root: str) -> DataFrame:
+    """What ``release_status`` reads."""
+    path = f"{root}/release-events"
+    return spark.read.schema(RELEASE_EVENTS).parquet(path) if exists(spark, path) else spark.createDataFrame([], RELEASE_EVENTS)
+
+
 def build_release(spark: SparkSession, root: str, runs: DataFrame, artifacts: DataFrame, cands: DataFrame, datasets: Sequence[str], release: str) -> tuple[str, DataFrame, DataFrame]:
-    """R-02: the statements of the newest runs after replacements, written under the release; gives the path, its inputs and its manifest."""
-    inputs = release_inputs(runs, artifacts, datasets)
-    keys = F.broadcast(inputs.select(F.col("dataset_name").alias("dataset"), F.col("dataset_run_id").cast("string").alias("run_id")))
-    stmt = read_statements(spark, root, datasets).join(keys, ["dataset", "run_id"], "left_semi").drop("run_id")
-    path = f"{root}/releases/{release}"
-    apply_ner(stmt, cands).write.mode("errorifexists").partitionBy("dataset").parquet(path)
-    return path, inputs, content_manifest(spark.read.parquet(path))
+    """R-02: the statements of the newest runs after replacements, written under the release; gives the path, its inputs and its manifest.
+
+    Inputs and manifest are written beside the statements, and the release is recorded as building, then built.
+    A build that fails removes what it wrote, is recorded as failed with its error, and can be run again.
+    """
+    path, about = f"{root}/releases/{release}", f"{root}/release-records/{release}"
+    if exists(spark, path):
+        raise ValueError(f"release {release} has been built")
+    record_release(spark, root, release, "building")
+    try:
+        release_inputs(runs, artifacts, datasets).write.mode("overwrite").parquet(f"{about}/inputs")
+        stmt = read_statements(spark, root, datasets, runs=runs, artifacts=artifacts).drop("run_id")
+        apply_ner(stmt, cands).write.mode("errorifexists").partitionBy("dataset").parquet(path)
+        content_manifest(spark.read.parquet(path)).write.mode("overwrite").parquet(f"{about}/manifest")
+    except Exception as e:
+        remove(spark, path)
+        remove(spark, about)
+        record_release(spark, root, release, "failed", str(e)[:2000])
+        raise
+    record_release(spark, root, release, "built")
+    return path, spark.read.parquet(f"{about}/inputs"), spark.read.parquet(f"{about}/manifest")
 
 
 PUBLISHABLE = ("built", "published", "superseded")

@@ -47,10 +47,13 @@ def review_clusters(pairs: DataFrame, max_members: int = 8) -> DataFrame:
     """G-07: (seed, member, step) for each pair (pair_key, left_id, right_id, score) as a seed.
 
     Each round adds, to every seed at once, the outside neighbour reached by the best-scoring edge (null counts 0; of
-    equals the smaller id), until max_members members or no neighbour.
+    equals the smaller id), until max_members members or no neighbour. Only the best max_members neighbours of each node are
+    kept: the others can't be reached, since fewer than max_members are inside already. So a hub costs each seed a few rows.
     """
     both = pairs.select(F.col("left_id").alias("a"), F.col("right_id").alias("b"), F.coalesce("score", F.lit(0.0)).alias("score"))
-    both = staged(both.unionByName(both.select(F.col("b").alias("a"), F.col("a").alias("b"), "score")).groupBy("a", "b").agg(F.max("score").alias("score")), "neighbours")
+    both = both.unionByName(both.select(F.col("b").alias("a"), F.col("a").alias("b"), "score")).groupBy("a", "b").agg(F.max("score").alias("score"))
+    best = Window.partitionBy("a").orderBy(F.col("score").desc(), "b")
+    both = staged(both.withColumn("n", F.row_number().over(best)).where(F.col("n") <= max_members).drop("n"), "neighbours")
     members = pairs.select(F.col("pair_key").alias("seed"), F.explode(F.array("left_id", "right_id")).alias("member")).distinct().withColumn("step", F.lit(0))
     for step in range(1, max_members - 1):
         reach = members.join(both, F.col("member") == F.col("a")).select("seed", F.col("b").alias("member"), "score")
@@ -96,28 +99,41 @@ def validate_decisions(decisions: DataFrame, pairs: DataFrame) -> DataFrame:
     return rows.select(*decisions.columns, reason.alias("reason"))
 
 
+def _judgement() -> Column:
+    """The column judgement; an unknown one is an error."""
+    return F.when(F.col("judgement").isin(*JUDGEMENTS), F.col("judgement")).otherwise(F.raise_error(F.concat(F.lit("unknown judgement "), F.coalesce("judgement", F.lit("null")))))
+
+
+def _apart(pairs: DataFrame, edges: DataFrame) -> DataFrame:
+    """The pairs (left_id, right_id, ...) that aren't in one cluster yet."""
+    link = linker(edges)
+    of = lambda name, out: link.select(F.col("entity_id").alias(name), F.col("canonical_id").alias(out))
+    return pairs.join(of("left_id", "__a"), "left_id", "left").join(of("right_id", "__b"), "right_id", "left").where("coalesce(__a, left_id) <> coalesce(__b, right_id)").select(*pairs.columns)
+
+
+def _decided(rows: DataFrame, now: Column | None, columns: list[str]) -> DataFrame:
+    """Edges of (left_id, right_id, judgement, user_id), each once for a judgement, by the first of its users."""
+    one = rows.groupBy(F.col("left_id").alias("source"), F.col("right_id").alias("target"), "judgement").agg(F.min("user_id").alias("user"))
+    return new_edges(one, F.col("judgement"), now=now).drop("user").join(one, ["source", "target", "judgement"]).select(*columns)
+
+
 def apply_decisions(edges: DataFrame, decisions: DataFrame, now: Column | None = None) -> DataFrame:
     """G-10: judgement edges for open pairs with both ends selected by a decision (selected_ids, judgement, user_id), except those already in one cluster.
 
     An unknown judgement is an error.
     """
-    mark = F.when(F.col("judgement").isin(*JUDGEMENTS), F.col("judgement")).otherwise(F.raise_error(F.concat(F.lit("unknown judgement "), F.coalesce("judgement", F.lit("null")))))
-    chosen = decisions.select("decision_id", mark.alias("judgement"), "user_id", F.explode(F.array_distinct("selected_ids")).alias("member"))
-    e = best_scores(open_edges(edges)).select("left_id", "right_id", "score")
+    chosen = decisions.select("decision_id", _judgement().alias("judgement"), "user_id", F.explode(F.array_distinct("selected_ids")).alias("member"))
+    e = best_scores(open_edges(edges)).select("left_id", "right_id")
     hits = e.join(chosen.withColumnRenamed("member", "left_id"), "left_id").join(chosen.select("decision_id", F.col("member").alias("right_id")), ["decision_id", "right_id"])
-    link = linker(edges)
-    of = lambda name, out: link.select(F.col("entity_id").alias(name), F.col("canonical_id").alias(out))
-    rows = hits.join(of("left_id", "__a"), "left_id", "left").join(of("right_id", "__b"), "right_id", "left").where("coalesce(__a, left_id) <> coalesce(__b, right_id)")
-    out = new_edges(rows.select(F.col("left_id").alias("source"), F.col("right_id").alias("target"), "judgement", "user_id"), F.col("judgement"), now=now)
-    users = rows.groupBy(F.col("left_id").alias("source"), F.col("right_id").alias("target"), "judgement").agg(F.min("user_id").alias("user"))
-    return out.drop("user").dropDuplicates(["source", "target", "judgement"]).join(users, ["source", "target", "judgement"]).select(*edges.columns)
+    return _decided(_apart(hits, edges), now, edges.columns)
 
 
 def decide_pairs(edges: DataFrame, decisions: DataFrame, now: Column | None = None) -> DataFrame:
-    """G-10 by pair (left_id, right_id, judgement, user_id): only pairs that are still undecided."""
+    """G-10 by pair (left_id, right_id, judgement, user_id): only pairs that are still undecided and not in one cluster. An unknown judgement is an error."""
     judged = edges.where("deleted_at is null and judgement <> 'no_judgement'").select(pair_key("source", "target").alias("k")).distinct()
-    open_ = decisions.join(judged, pair_key("left_id", "right_id") == F.col("k"), "left_anti")
-    return new_edges(open_.select(F.col("left_id").alias("source"), F.col("right_id").alias("target"), "judgement"), F.col("judgement"), now=now)
+    checked = decisions.select("left_id", "right_id", _judgement().alias("judgement"), "user_id")
+    open_ = checked.join(judged, pair_key("left_id", "right_id") == F.col("k"), "left_anti")
+    return _decided(_apart(open_, edges), now, edges.columns)
 
 
 def pair_payload(pairs: DataFrame, entities: DataFrame, ontology: Ontology = ONTOLOGY) -> DataFrame:

@@ -2,19 +2,35 @@
 
 from __future__ import annotations
 
+import functools
+import unicodedata
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.plans.model import NAME_PROPS, ONTOLOGY, Ontology
+from ledgerloom.plans.shared import staged
 
-# Letters and the plain ones they fold to.
-ACCENTED, PLAIN = "àáâãäåçèéêëìíîïñòóôõöøùúûüýÿšž", "aaaaaaceeeeiiiinoooooouuuuyysz"
+# Letters that aren't a plain one with a mark, and what they fold to.
+LIGATURES = {"æ": "ae", "œ": "oe", "ß": "ss", "þ": "th", "ĳ": "ij"}
+STROKES = {"ø": "o", "ł": "l", "đ": "d", "ð": "d", "ħ": "h", "ŧ": "t", "ı": "i", "ƀ": "b", "ɨ": "i", "ŀ": "l", "ŋ": "n", "ĸ": "q", "ſ": "s"}
+
+
+@functools.cache
+def plain_letters() -> dict[str, str]:
+    """Small Latin letters with marks, by the rule that their decomposition begins with a plain letter, and those of STROKES."""
+    found = {chr(c): unicodedata.normalize("NFKD", chr(c)) for c in (*range(0xC0, 0x250), *range(0x1E00, 0x1F00))}
+    return {c: d[0] for c, d in found.items() if c.islower() and d[0].isascii() and d[0].isalpha() and len(d) > 1 and all(map(unicodedata.combining, d[1:]))} | STROKES
 
 
 def fold(c: Column) -> Column:
-    return F.translate(F.lower(c), ACCENTED, PLAIN)
+    """Lower case, Latin letters without their marks, and no marks of their own."""
+    pairs = plain_letters()
+    c = F.translate(F.lower(c), "".join(pairs), "".join(pairs.values()))
+    for letter, plain in LIGATURES.items():
+        c = F.replace(c, F.lit(letter), F.lit(plain))
+    return F.regexp_replace(c, r"\p{Mn}", "")
 
 
 def words(c: Column) -> Column:
@@ -49,18 +65,16 @@ def substring_groups(stmt: DataFrame, query: str, schemas: Sequence[str] = (), o
 
 
 def _page(rows: DataFrame, order: list[Column], limit: int, offset: int) -> DataFrame:
-    """The page with total and has_next; the total is one counted row."""
-    limit, offset = page_bounds(limit, offset)
-    page = rows.orderBy(*order).offset(offset).limit(limit)
-    shown = page.agg(F.count("*").alias("__n"))
-    total = rows.agg(F.count("*").alias("total"))
-    return page.join(F.broadcast(total.join(shown, F.lit(True)).select("total", (F.lit(offset) + F.col("__n") < F.col("total")).alias("has_next"))), F.lit(True))
+    """The page with total and has_next. rows are staged, so that the page and the one counted row read them without working them out twice."""
+    rows = staged(rows, "hits")
+    total = rows.agg(F.count("*").alias("total")).withColumn("has_next", F.lit(limit + offset) < F.col("total"))
+    return rows.orderBy(*order).offset(offset).limit(limit).join(F.broadcast(total), F.lit(True))
 
 
 def search_substring(stmt: DataFrame, query: str, schemas: Sequence[str] = (), limit: int = 20, offset: int = 0, ontology: Ontology = ONTOLOGY) -> DataFrame:
     """L-01"""
     rows = substring_groups(stmt, query, schemas, ontology).withColumn("label", F.coalesce("name", "title", "id"))
-    return _page(rows, [F.col("exact_score").desc(), F.col("label"), F.col("id")], limit, offset)
+    return _page(rows, [F.col("exact_score").desc(), F.col("label"), F.col("id")], *page_bounds(limit, offset))
 
 
 def trigrams(c: Column) -> Column:
@@ -104,13 +118,13 @@ def search_fuzzy(view: DataFrame, query: str, schemas: Sequence[str] = (), limit
     name = F.lower(F.coalesce("display_name", F.lit("")))
     rows = rows.withColumn("__exact", (name == low).cast("int")).withColumn("__prefix", name.startswith(low).cast("int"))
     order = [F.col("__exact").desc(), F.col("__prefix").desc(), F.col("__rank").desc(), F.greatest("__sim", "__word").desc(), F.length(name), F.col("id")]
-    return _page(rows, order, limit, offset).drop("__all", "__rank", "__sim", "__word", "__exact", "__prefix")
+    return _page(rows, order, *page_bounds(limit, offset)).drop("__all", "__rank", "__sim", "__word", "__exact", "__prefix")
 
 
 def sitemap_page(view: DataFrame, schemas: Sequence[str] = (), limit: int = 100, offset: int = 0, ontology: Ontology = ONTOLOGY) -> DataFrame:
-    """L-03: ids in order and their paths; has_next as in other pages."""
+    """L-03: ids in order and their paths; total and has_next as in other pages."""
     rows = schema_filter(view, schemas, ontology) if schemas else view
-    return rows.orderBy("id").offset(max(0, offset)).limit(max(1, limit)).select("id", F.concat(F.lit("/profile/"), "id").alias("path"))
+    return _page(rows.select("id", F.concat(F.lit("/profile/"), "id").alias("path")), [F.col("id")], max(1, limit), max(0, offset))
 
 
 def actor_counts(view: DataFrame, schemas: Sequence[str]) -> DataFrame:

@@ -114,17 +114,25 @@ def statement_id() -> Column:
     return F.sha1(F.concat_ws("|", "dataset", "entity_id", "prop", "value"))
 
 
-def to_statements(rows: DataFrame, ontology: Ontology = ONTOLOGY) -> DataFrame:
+def to_statements(rows: DataFrame, ontology: Ontology = ONTOLOGY, unique: bool = False) -> DataFrame:
     """From rows (entity_id, schema, dataset, and props: array<struct<prop,value>>) the statement columns.
 
-    Each entity gets its marker (prop id); null and empty values are left out; equal statements of an entity collapse.
+    Each entity gets its marker (prop id); null and empty values are left out; equal statements of an entity collapse: within a row
+    before it is unfolded, across rows by grouping, which ``unique`` (a dataset and entity_id are one row) spares. Of schemata that
+    rows of one entity give, the first of the ontology is kept.
     """
     carried = [c for c in ("origin", "lang", "original_value", "external", "first_seen", "last_seen") if c in rows.columns]
     marker = F.array(F.struct(F.lit("id").alias("prop"), F.col("entity_id").alias("value")))
-    props = F.filter(F.col("props"), lambda p: p["value"].isNotNull() & (p["value"] != ""))
-    long = rows.where("entity_id is not null").select("entity_id", "schema", "dataset", *carried, F.inline(F.concat(marker, props)).alias("prop", "value"))
+    props = F.array_distinct(F.concat(marker, F.filter(F.col("props"), lambda p: p["value"].isNotNull() & (p["value"] != ""))))
+    long = rows.where("entity_id is not null").select("entity_id", "schema", "dataset", *carried, F.inline(props).alias("prop", "value"))
+    if not unique and not carried:
+        # Numbers are kept in a hash table; a text (schema) would make Spark sort all statements.
+        names = F.lit([s for s, _ in ontology.tree])
+        known = F.array_position(names, F.col("schema"))
+        long = long.groupBy("dataset", "entity_id", "prop", "value", F.when(known > 0, F.lit(None)).otherwise(F.col("schema")).alias("other")).agg(F.min(F.nullif(known, F.lit(0).cast("long"))).alias("known"))
+        long = long.select("entity_id", F.coalesce("other", F.get(names, F.col("known").cast("int") - 1)).alias("schema"), "dataset", "prop", "value")
     long = long.withColumn("prop_type", ontology.prop_type(F.col("schema"), F.col("prop"))).withColumn("canonical_id", F.col("entity_id")).withColumn("id", statement_id())
-    return conform(long.dropDuplicates(["id"]))
+    return conform(long if unique or not carried else long.dropDuplicates(["id"]))
 
 
 def conform(df: DataFrame) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ledgerloom.functions.scalars import make_id
+from ledgerloom.functions.scalars import make_id, strip
 from ledgerloom.operators.ner import split_entities
 from ledgerloom.plans.model import EDGES, FRAGMENTS, prop_struct, to_statements
 from ledgerloom.plans.shared import read_table
@@ -37,7 +37,7 @@ ACTORS = """actors AS (
 
 def actor_statements(spark: SparkSession, d: str) -> DataFrame:
     a = actors(spark, d)
-    return to_statements(a.select("entity_id", "schema", "dataset", F.array(*[prop_struct(p, F.col(p)) for p in ("name", "alias", "country")]).alias("props")))
+    return to_statements(a.select("entity_id", "schema", "dataset", F.array(*[prop_struct(p, F.col(p)) for p in ("name", "alias", "country")]).alias("props")), unique=True)
 
 
 STMT = (
@@ -120,7 +120,7 @@ def part_candidates(spark: SparkSession, d: str) -> DataFrame:
     """Approved splits of the parts' composite names; blue ones are rejected."""
     p = read_table(spark, d, "part").select(F.concat_ws(", ", "p_name", "p_brand").alias("source_text")).distinct()
     return p.select(
-        F.xxhash64("source_text").alias("id"), F.lit("parts").alias("dataset"), F.lit("any").alias("entity_id"), F.lit("Company").alias("schema"), F.lit("name").alias("property_name"), "source_text", F.sha1(F.trim("source_text")).alias("fingerprint"),
+        F.xxhash64("source_text").alias("id"), F.lit("parts").alias("dataset"), F.lit("any").alias("entity_id"), F.lit("Company").alias("schema"), F.lit("name").alias("property_name"), "source_text", F.sha1(strip("source_text")).alias("fingerprint"),
         F.lit("delimiter").alias("extractor"), F.lit("1").alias("extractor_version"), F.when(F.col("source_text").startswith("blue"), "rejected").otherwise("approved").alias("status"),
         F.lit(None).cast("string").alias("reviewer"), F.lit(None).cast("timestamp").alias("reviewed_at"), split_entities(F.col("source_text")).cast(FRAGMENTS).alias("extraction"), F.lit("2024-01-01").cast("timestamp").alias("created_at"), F.lit("2024-01-01").cast("timestamp").alias("updated_at"),
     )

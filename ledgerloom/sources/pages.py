@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from html.parser import HTMLParser
 from urllib.parse import urljoin
@@ -11,8 +10,9 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.functions.scalars import make_id, normalize_ws
+from ledgerloom.functions.scalars import make_id, normalize_ws, strip
 from ledgerloom.plans.model import prop_list, prop_struct, to_statements
+from ledgerloom.plans.shared import staged
 
 # Where the directory's pages keep their facts (tag, class).
 FIELDS = {"title": ("h1", "c-single-header__title"), "subtitle": ("div", "c-single-header__subtitle"), "description": ("div", "c-single--directory__description")}
@@ -104,7 +104,7 @@ def directory_fields(pages: DataFrame) -> DataFrame:
 
 def pages_to_statements(pages: DataFrame, dataset: str, prefix: str) -> DataFrame:
     """S-06: organisations with their contact facts, founders (Directorship) and leaders (Employment)."""
-    p = directory_fields(pages).where("title is not null").withColumn("org", make_id(prefix, F.lit("thinktank"), "title"))
+    p = staged(directory_fields(pages).where("title is not null"), "directory").withColumn("org", make_id(prefix, F.lit("thinktank"), "title"))  # parsed once, read three times
     fact = lambda label, take: F.transform(F.filter("facts", lambda f: F.contains(f["label"], F.lit(label)) & f["text"].isNotNull()), take)
     item = lambda label: F.filter("items", lambda i: F.contains(i["title"], F.lit(label)))
     year = F.transform(item("Year founded"), lambda i: F.nullif(F.regexp_extract(i["data"], r"(\d{4})", 1), F.lit("")))
@@ -132,21 +132,25 @@ def pages_to_statements(pages: DataFrame, dataset: str, prefix: str) -> DataFram
     return to_statements(org.unionByName(people).unionByName(directors).unionByName(jobs))
 
 
-_ANCHOR = re.compile(r"""(?is)<a\b[^>]*?\bhref\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))[^>]*>(.*?)</a>""")
+_ANCHOR = r"""(?is)<a\b[^>]*?\bhref\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))[^>]*>(.*?)</a>"""
 
 
 def extract_links(pages: DataFrame, text: str | None = None, within: str | None = None) -> DataFrame:
-    """S-07: distinct absolute link targets of all pages; text: only links with this text; within: only inside blocks of this tag."""
+    """S-07: distinct absolute link targets of all pages; text: only links with this text; within: only inside blocks of this tag.
+
+    Links are found and made distinct natively; only relative ones go to Python, to be joined to their page's address.
+    """
+    html = F.coalesce("html", F.lit(""))
+    parts = F.regexp_extract_all(html, F.lit(rf"(?is)<{within}\b[^>]*>(.*?)</{within}>"), 1) if within else F.array(html)
+    found = pages.select("url", F.explode(parts).alias("part")).select("url", F.explode(F.regexp_extract_all("part", F.lit(_ANCHOR), 0)).alias("a"))
+    if text is not None:
+        found = found.where(normalize_ws(F.regexp_replace(F.regexp_extract("a", _ANCHOR, 4), "<[^>]*>", " ")) == text)
+    group = lambda k: F.nullif(F.regexp_extract("a", _ANCHOR, k), F.lit(""))
+    found = found.select(F.coalesce("url", F.lit("")).alias("url"), strip(F.coalesce(group(1), group(2), group(3), F.lit(""))).alias("href")).distinct()
+    whole = F.col("href").rlike(r"^https?://[^/?#.\s]+[^?#\s]*$") & ~F.contains("href", F.lit("/."))
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        block = re.compile(rf"(?is)<{within}\b[^>]*>(.*?)</{within}>") if within else None
         for frame in frames:
-            out: set[str] = set()
-            for url, html in zip(frame["url"], frame["html"]):
-                for part in block.findall(html or "") if block else [html or ""]:
-                    for a, b, c, inner in _ANCHOR.findall(part):
-                        if text is None or " ".join(re.sub(r"<[^>]*>", " ", inner).split()) == text:
-                            out.add(urljoin(url or "", (a or b or c).strip()))
-            yield pd.DataFrame({"link": sorted(out)}, dtype=object)
+            yield pd.DataFrame({"link": [urljoin(url, href) for url, href in zip(frame["url"], frame["href"])]}, dtype=object)
 
-    return pages.select("url", "html").mapInPandas(run, "link string").distinct()
+    return found.where(whole).select(F.col("href").alias("link")).unionByName(found.where(~whole).mapInPandas(run, "link string")).distinct()

@@ -11,7 +11,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.plans.model import STMT, conform
-from ledgerloom.plans.shared import exists
+from ledgerloom.plans.shared import exists, remove
+from ledgerloom.sources.ledger import latest_artifacts
 
 log = logging.getLogger(__name__)
 
@@ -23,25 +24,43 @@ def write_snapshot(stmt: DataFrame, root: str, dataset: str, run_id: str) -> str
     return path
 
 
-def read_statements(spark: SparkSession, root: str, datasets: Sequence[str] | None = None, run_id: str | None = None) -> DataFrame:
-    """S-01: snapshots of the datasets (all, if None); a dataset without one is left out with a warning; run_id needs one dataset."""
-    if run_id is not None and (datasets is None or len(datasets) != 1):
-        raise ValueError("run_id needs exactly one dataset")
+def read_runs(spark: SparkSession, root: str, datasets: Sequence[str] | None = None) -> DataFrame:
+    """The snapshots of all runs of the datasets (all, if None), failed and older ones too, with run_id; a dataset without one is left out with a warning."""
     base = f"{root}/dataset-runs"
     if not exists(spark, base):
         log.warning("no snapshots in %s", root)
-        return conform(spark.createDataFrame([], STMT))
+        return conform(spark.createDataFrame([], STMT)).select(F.lit(None).cast("string").alias("run_id"), *STMT.fieldNames())
     rows = spark.read.schema("run_id string, dataset string, " + ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in STMT if f.name != "dataset")).option("basePath", base).parquet(base)
     if datasets is not None:
         for d in datasets:
             if not exists(spark, f"{base}/dataset={d}"):
                 log.warning("no snapshot of %s", d)
         rows = rows.where(F.col("dataset").isin(*datasets))
-    if run_id is not None:
-        rows = rows.where(F.col("run_id") == run_id)
     return rows.select("run_id", *STMT.fieldNames())
 
 
+def read_statements(spark: SparkSession, root: str, datasets: Sequence[str] | None = None, run_id: str | None = None, runs: DataFrame | None = None, artifacts: DataFrame | None = None) -> DataFrame:
+    """S-01: the latest snapshot of each dataset (all, if None), with run_id; run_id asks for that run of one dataset instead.
+
+    The ledger decides which is the latest: runs (id, dataset_name, status, started_at) and artifacts (id, dataset_run_id, artifact_type,
+    storage_key), as in J-13; a dataset without a succeeded run that has statements is left out. Without a ledger a dataset with
+    several runs is an error.
+    """
+    if run_id is not None and (datasets is None or len(datasets) != 1):
+        raise ValueError("run_id needs exactly one dataset")
+    rows = read_runs(spark, root, datasets)
+    if run_id is not None:
+        return rows.where(F.col("run_id") == run_id)
+    if runs is None or artifacts is None:
+        several = rows.groupBy("dataset").agg(F.count_distinct("run_id").alias("n")).where("n > 1").first()
+        if several:
+            raise ValueError(f"{several.dataset} has {several.n} runs, and no ledger says which is the latest")
+        return rows
+    latest = latest_artifacts(runs, artifacts).select(F.col("dataset_name").alias("dataset"), F.col("dataset_run_id").cast("string").alias("run_id"))
+    # One row a dataset; both columns are partitions of the store, so the others aren't read.
+    return rows.join(F.broadcast(latest), ["dataset", "run_id"], "left_semi").select("run_id", *STMT.fieldNames())
+
+
 def combine(*stmts: DataFrame) -> DataFrame:
     """U-01: bag union."""
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), stmts)
@@ -58,7 +77,8 @@ def carry_first_seen(new: DataFrame, previous: DataFrame | None, run_time: Colum
 def load_statements(stmt: DataFrame, target: str, datasets: Sequence[str], run_id: str | None = None, known: Sequence[str] | None = None) -> list[str]:
     """S-10: replace the statements of the datasets in the target, leaving others untouched; gives the datasets that were loaded.
 
-    An unknown dataset is logged and left out; a run_id needs one dataset, and stmt must hold rows of that run.
+    A dataset without statements has none in the target then. An unknown dataset is logged and left out; a run_id needs one dataset, and
+    stmt must hold rows of that run. A load that dies midway is run again with the same result.
     """
     if run_id is not None:
         if len(datasets) != 1:
@@ -72,6 +92,10 @@ def load_statements(stmt: DataFrame, target: str, datasets: Sequence[str], run_i
     if wanted:
         rows = conform(stmt.where(F.col("dataset").isin(*wanted)))
         rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("dataset").parquet(target)
+        # The write replaces the partitions it has rows for; those of the other datasets asked for go.
+        there = {r.dataset for r in rows.select("dataset").distinct().collect()}  # at most as many as asked for
+        for d in set(wanted) - there:
+            remove(rows.sparkSession, f"{target}/dataset={d}")
     return wanted
 
 

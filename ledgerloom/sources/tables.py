@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.functions.scalars import make_id, parse_thousands, strip_html, thousands_currency
+from ledgerloom.functions.scalars import make_id, parse_thousands, strip, strip_html, thousands_currency
 from ledgerloom.plans.model import conform, prop_list, prop_struct, to_statements
 
 # Kinds of people and bodies in the source and the schema and topic they mean. The first list that has the kind decides.
@@ -82,7 +82,7 @@ def json_records_to_statements(df: DataFrame, dataset: str, prefix: str, json: s
             F.array(prop_struct("name", F.col("title")), prop_struct("summary", F.col("description")), prop_struct("website", F.col("website")), prop_struct("opencorporatesUrl", F.col("openCorporatesId")), prop_struct("country", F.lit("gb"))),
             prop_list("alias", F.col("alternativeNames")),
             prop_list("notes", F.transform(evidence, lambda e: e["description"])),
-            prop_list("keywords", F.array_distinct(F.transform(categories, lambda c: F.trim(c)))),
+            prop_list("keywords", F.array_distinct(F.transform(categories, strip))),
         ).alias("props"),
     )
     return to_statements(rows)

@@ -89,3 +89,27 @@ def test_ids_and_properties(spark):
     items = spark.createDataFrame([(["name= A=B ", "alias=x", "alias=y"],), (["name"],), (["=x"],), ([],)], "i array<string>")
     got = [r.p for r in items.select(S.parse_properties("i").alias("p")).collect()]
     assert got[0].properties == {"name": ["A=B"], "alias": ["x", "y"]} and [g.error for g in got] == [None, "missing =", "empty key", "no properties"]
+
+
+@pytest.mark.parametrize(
+    "value, f, expected",
+    [
+        ("\u00a0N/A\u2003", S.clean_string, None), ("\x1c x\u3000y\u2028", S.clean_string, "x\u3000y"), ("a\u00a0\u2003b\x85", S.normalize_ws, "a b"), ("\u00a0£1,5\u2009", S.parse_amount, 15.0), ("\u00a0sc123456\u00a0", S.normalize_gb_coh, "SC123456"),
+        ("\u2003Consultant Lobbyist\u00a0", S.normalize_role, "lobbyist"), ("\u00a0" * 20 + "a, b", S.is_complex, False), ("x&#8217;s &#x1F600;&#X41", S.strip_html, "x’s 😀A"), ("&#38;lt; &amp;#65; &#; &#x; &#0; &#1114112; &#55296;", S.strip_html, "&lt; &#65; &#; &#x; \ufffd \ufffd \ufffd"),
+        ("<p>&nbsp;a&#160;</p>", S.strip_html, "a"),
+    ],
+)
+def test_white_space_and_references(spark, value, f, expected):
+    assert one(spark, value, f) == expected
+
+
+def test_dates_between_odd_spaces(spark):
+    assert one(spark, "1\u00a0January\u20032020\u3000", D.parse_date) == "2020-01-01"
+    assert one(spark, "\u00a0March\u00a0", D.month_number) == 3
+
+
+def test_folding(spark):
+    from ledgerloom.operators.search import fold, plain_letters
+
+    assert one(spark, "ŁÓDŹ Őrség ĀāĞğ İstanbul Weißæ Þór Ångström é ŉ", fold) == "lodz orseg aagg istanbul weissae thor angstrom e ŉ"
+    assert plain_letters()["ș"] == "s" and plain_letters()["ế"] == "e" and "ß" not in plain_letters()

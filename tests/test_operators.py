@@ -116,6 +116,8 @@ def test_edge_dedupe(spark):
     ents = entities.assemble_entities(stmt)
     assert sorted((r.source, r.target) for r in edges.dedupe_edges(ents, link).collect()) == [("e1", "e2"), ("e1", "e6")]
     assert edges.dedupe_edges(ents, link, dry_run=True).first() == (1, 3)
+    short = edges.edge_entities(stmt)
+    assert sorted((r.source, r.target) for r in edges.dedupe_edges(short, link).collect()) == [("e1", "e2"), ("e1", "e6")] and short.count() == 6
 
 
 def test_extent(spark):
@@ -130,6 +132,27 @@ def test_entities(spark):
     got = {r.id: r for r in entities.assemble_entities(entities.canonicalise(stmt, link)).collect()}
     assert got["a"].schema == "Person" and got["a"].caption == "A" and got["a"].datasets == ["d1", "d2"] and not got["a"].schema_conflict
     assert got["x"].caption == "x" and got["x"].properties == {}
+    apart = entities.assemble_entities(entities.canonicalise(statements(spark, [("a", "Person", "d1", props(name="A")), ("b", "Company", "d2", props(name="A"))]), link)).first()
+    assert apart.schema == "Company" and apart.schema_conflict and apart.properties == {"name": ["A"]} and apart.datasets == ["d1", "d2"]
+
+
+def test_statements_collapse(spark):
+    """Equal values of a row, of rows of one entity, and of rows whose schemata differ (the first of the ontology stays)."""
+    rows = [("a", "Company", "d", props(name=["A", "A", ""])), ("a", "Person", "d", props(name=["A", "B"])), ("a", "Planet", "e", props(name="A")), (None, "Person", "d", props(name="X"))]
+    got = statements(spark, rows).collect()
+    assert sorted((r.schema, r.dataset, r.prop, r.value) for r in got) == [("Person", "d", "id", "a"), ("Person", "d", "name", "A"), ("Person", "d", "name", "B"), ("Planet", "e", "id", "a"), ("Planet", "e", "name", "A")]
+    assert len({r.id for r in got}) == 5
+    plan = statements(spark, rows)._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan and "Sort " not in plan
+
+
+def test_references_of_entities(spark):
+    stmt = statements(spark, [("e", "Employment", "d", props(employee="p", employer=["c", "z"])), ("p", "Person", "d", props(name="Ann")), ("c", "Company", "d", props(name="Co"))])
+    ents = entities.assemble_entities(stmt)
+    refs = entities.enrich_references(entities.references(stmt), entities.captions(stmt))
+    assert sorted(map(tuple, refs.collect())) == sorted(map(tuple, entities.enrich_references(entities.entity_references(ents), entities.captions(stmt)).collect()))
+    got = {r.id: r.references for r in entities.with_references(ents, refs).collect()}
+    assert got["p"] is None and {p: [tuple(x) for x in v] for p, v in got["e"].items()} == {"employee": [("p", "Ann", "Person")], "employer": [("c", "Co", "Company"), ("z", "z", "Entity")]}
 
 
 def candidates(spark, rows):
@@ -161,6 +184,8 @@ def test_validate_and_spans(spark):
     got = {r.id: r.reasons for r in ner.validate_fragments(cands).collect()}
     assert got == {1: ["no fragments"], 2: [], 3: ["no properties"]}
     assert sorted((r.start, r.end) for r in ner.evidence_spans(cands.where("id = 2")).collect()) == [(0, 7), (12, 15), (20, 23)]
+    odd = candidates(spark, [(1, "İİ Élan (a.b) élan A.B aaaa", "pending", [{"key": None, "schema": "Person", "properties": {"name": [" élan ", "a.b", "aa", "\\E."]}}], 1)])
+    assert sorted((r.start, r.end) for r in ner.evidence_spans(odd).collect()) == [(3, 7), (9, 12), (14, 18), (19, 22), (23, 27)]
 
 
 def test_store_and_review(spark):
@@ -220,6 +245,60 @@ def test_decisions(spark):
         review.apply_decisions(e, d.where("decision_id = '6'")).collect()
     done = review.decide_pairs(e, spark.createDataFrame([("a", "b", "negative", "u"), ("d", "c", "negative", "u")], "left_id string, right_id string, judgement string, user_id string"))
     assert [(r.source, r.target) for r in done.collect()] == [("a", "b")]
+    pair = "left_id string, right_id string, judgement string, user_id string"
+    joined = edge_rows(spark, [("a", "b", "positive", None), ("b", "c", "positive", None)])
+    assert [(r.source, r.target) for r in review.decide_pairs(joined, spark.createDataFrame([("a", "c", "negative", "u"), ("a", "x", "negative", "u")], pair)).collect()] == [("a", "x")]
+    with pytest.raises(Exception, match="unknown judgement"):
+        review.decide_pairs(e, spark.createDataFrame([("a", "b", "nonsense", "u")], pair)).collect()
+
+
+def test_review_clusters_of_a_hub(spark):
+    """A node with hundreds of neighbours: the same clusters, from a few of them."""
+    rng = random.Random(5)
+    pairs = [("hub", f"n{i:03}", round(rng.random(), 2)) for i in range(200)] + [(f"n{i:03}", f"n{i + 1:03}", round(rng.random(), 2)) for i in range(0, 60, 2)]
+    df = spark.createDataFrame(pairs, "left_id string, right_id string, score double").withColumn("pair_key", pair_key("left_id", "right_id"))
+    assert {(r.seed, r.member) for r in review.review_clusters(df, 4).collect()} == brute_clusters(pairs, 4)
+
+
+def test_release_that_fails_leaves_nothing(spark, tmp_path):
+    root = f"file://{tmp_path}"
+    stmt = statements(spark, [("a", "Company", "d1", props(name="A"))])
+    SN.write_snapshot(stmt, root, "d1", "r1")
+    runs = spark.createDataFrame([("r1", "d1", "succeeded", datetime(2024, 1, 1))], "id string, dataset_name string, status string, started_at timestamp")
+    arts = spark.createDataFrame([(1, "r1", "statements_pack", "k")], "id long, dataset_run_id string, artifact_type string, storage_key string")
+    cands = candidates(spark, [(1, "x", "approved", [{"key": None, "schema": "Person", "properties": {"name": ["X"]}}], 1)])
+    bad = cands.withColumn("updated_at", F.raise_error(F.lit("broken")).cast("timestamp"))
+    with pytest.raises(Exception, match="broken"):
+        releases.build_release(spark, root, runs, arts, bad, ["d1"], "v1")
+    assert not (tmp_path / "releases" / "v1").exists() and not (tmp_path / "release-records" / "v1").exists()
+    path, inputs, made = releases.build_release(spark, root, runs, arts, cands, ["d1"], "v1")
+    assert inputs.first().dataset_run_id == "r1" and made.first().n_statements == 2 and spark.read.parquet(path).count() == 2
+    with pytest.raises(ValueError, match="built"):
+        releases.build_release(spark, root, runs, arts, cands, ["d1"], "v1")
+    events = releases.release_events(spark, root)
+    assert [r.status for r in events.orderBy("at").collect()] == ["building", "failed", "building", "built"] and releases.release_status(events).first().status == "built"
+
+
+def test_shared_folder(spark, monkeypatch):
+    from ledgerloom.plans import shared
+
+    class Cluster:
+        master = "spark://host:7077"
+
+    class Unset:
+        def get(self, key, default=None):
+            return default
+
+    class Session:
+        conf, sparkContext = Unset(), Cluster()
+
+    with pytest.raises(ValueError, match="checkpoint"):
+        shared.shared_dir(Session())
+    path = shared.fresh_path(spark, "x")
+    spark.range(3).write.parquet(path)
+    assert shared.exists(spark, path)
+    shared.remove(spark, path)
+    assert not shared.exists(spark, path)
 
 
 def test_search(spark):
@@ -243,6 +322,8 @@ def test_xref(spark):
     assert {(r.source, r.target) for r in xref.xref(stmt, none, focus_dataset="d1").collect()} == {("a", "b"), ("a", "e")}
     with pytest.raises(ValueError):
         xref.xref(stmt, none, algorithm="none")
+    same = xref.xref(stmt.unionByName(statements(spark, [("z", "Company", "d9", props(name="ACME WIDGETS"))])), none, threshold=1.0, algorithm="exact-name")
+    assert {(r.source, r.target) for r in same.where("judgement = 'positive'").collect()} == {("a", "z")}
 
 
 def test_xref_frequent_tokens(spark):
@@ -288,6 +369,18 @@ def test_snapshots(spark, tmp_path):
         SN.load_statements(rows, f"{root}/t", ["d1"], run_id="r9")
     with pytest.raises(ValueError):
         SN.read_statements(spark, root, ["d1", "d2"], "r1")
+    SN.write_snapshot(stmt.where("entity_id = 'none'"), root, "d1", "r2")
+    SN.write_snapshot(stmt.where("dataset = 'd1' and prop = 'name'"), root, "d1", "r3")
+    with pytest.raises(ValueError, match="runs"):
+        SN.read_statements(spark, root, ["d1"])
+    assert SN.read_runs(spark, root, ["d1"]).count() == 3
+    runs = spark.createDataFrame([("r1", "d1", "succeeded", datetime(2024, 1, 1)), ("r3", "d1", "failed", datetime(2024, 1, 3))], "id string, dataset_name string, status string, started_at timestamp")
+    arts = spark.createDataFrame([(1, "r1", "statements_pack", "k"), (2, "r3", "statements_pack", "k")], "id long, dataset_run_id string, artifact_type string, storage_key string")
+    assert {r.run_id for r in SN.read_statements(spark, root, ["d1"], runs=runs, artifacts=arts).collect()} == {"r1"}
+    assert SN.read_statements(spark, root, runs=runs.where("id = 'r3'"), artifacts=arts).count() == 0
+    SN.load_statements(stmt.where("dataset = 'd2'"), f"{root}/t", ["d1", "d2"])
+    assert {r.dataset for r in SN.read_target(spark, f"{root}/t").collect()} == {"d2"}
+    SN.load_statements(stmt, f"{root}/t", ["d1", "d2"])
     again = SN.carry_first_seen(stmt, SN.carry_first_seen(stmt, None, F.lit("2024-01-01").cast("timestamp")), F.lit("2024-02-01").cast("timestamp"))
     assert {str(r.first_seen)[:10] for r in again.collect()} == {"2024-01-01"}
     assert SN.manifest(spark, f"{root}/t").where("length(sha256) = 64 and size_bytes > 0").count() > 0
@@ -341,3 +434,20 @@ def test_frontier(spark):
     assert {r.link for r in pages.extract_links(df).collect()} == {"http://a.example/x/z", "http://a.example/q"}
     assert {r.link for r in pages.extract_links(df, text="Go").collect()} == {"http://a.example/x/z"}
     assert {r.link for r in pages.extract_links(df, within="nav").collect()} == {"http://a.example/x/z"}
+
+
+def test_stream_without_its_last_version(spark, tmp_path):
+    """Where a version is missing, going on would lose every first_seen."""
+    import shutil
+
+    from ledgerloom.streaming.snapshots import carry_stream
+
+    stmt = statements(spark, [("a", "Company", "d1", props(name="A"))]).withColumn("last_seen", F.lit("2024-01-01").cast("timestamp"))
+    source, store = f"file://{tmp_path}/in", f"file://{tmp_path}/store"
+    run = lambda: carry_stream(spark.readStream.schema(stmt.schema).parquet(source), store, f"file://{tmp_path}/check").awaitTermination(60)
+    stmt.write.mode("append").parquet(source)
+    run()
+    shutil.move(tmp_path / "store" / "version=0", tmp_path / "gone")
+    stmt.write.mode("append").parquet(source)
+    with pytest.raises(Exception, match="version=0"):
+        run()
