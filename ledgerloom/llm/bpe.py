@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.tokens import CACHE_ENTRIES, TokenCache, batches, flatten, gather, spans, tokenizer_path, young_text
+from ledgerloom.llm.tokens import CACHE_ENTRIES, TokenCache, batches, flatten, gather, spans, tokenizer_path, young_texts
 
 _NONE = np.int32(2**31 - 1)
 
@@ -109,11 +109,11 @@ class WordBpe:
         sym[ends] = self.last[raw[ends]]
         return self.merge(sym, lens)
 
-    def normal(self, text: str) -> str:
+    def normal(self, text: str, young: bool) -> str:
         """Composed and lower case; a text that must be composed, or with characters younger than Python's tables, goes to the library's own normaliser, whose tables are other than Python's."""
         if text.isascii():
             return text.lower()
-        if not unicodedata.is_normalized("NFC", text) or young_text().search(text):
+        if young or not unicodedata.is_normalized("NFC", text):
             from tokenizers import Tokenizer
 
             self.library = self.library or Tokenizer.from_file(self.path).normalizer
@@ -133,7 +133,8 @@ class WordBpe:
                 parts.append(t)
         done: list[np.ndarray] = []
         for a, b in batches(parts):
-            cp, docs = flatten([self.normal(t) for t in parts[a:b]])
+            young = young_texts(*flatten(parts[a:b])).tolist()
+            cp, docs = flatten([self.normal(t, y) for t, y in zip(parts[a:b], young)])
             s, e = spans(cp, docs, keep_spaces=False)
             ids, lens = self.cache.encode(cp, s, e, lambda x, y, cp=cp: self._miss(cp, x, y)) if len(s) else (np.zeros(0, np.int32), np.zeros(0, np.int64))
             ends = np.concatenate([[0], np.cumsum(lens)])[np.searchsorted(s, docs)]

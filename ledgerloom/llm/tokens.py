@@ -6,8 +6,9 @@ expensive part is done once for each distinct pre-token a worker meets:
 
 * ``spans`` cuts a whole batch of texts into pre-tokens with a few numpy passes
   over code points (no per-character Python);
-* ``TokenCache`` maps a 64-bit hash of each pre-token to its ids, held in flat
-  arrays with an open-addressing table.  It is emptied when it reaches its
+* ``TokenCache`` maps a 64-bit hash of each pre-token to its code points and ids, held in flat
+  arrays with an open-addressing table.  Every hit is compared by its code points, so texts made
+  to collide get right ids all the same.  It is emptied when it reaches its
   documented bound, so memory doesn't grow with the corpus;
 * pre-tokens that the cache lacks go to an encoder: the tokenizers library for
   ``ByteEncoder``, batched numpy merges for the operator in ``bpe.py``.
@@ -17,7 +18,6 @@ from __future__ import annotations
 
 import functools
 import os
-import re
 import unicodedata
 from collections.abc import Callable, Sequence
 
@@ -63,11 +63,17 @@ def unassigned() -> np.ndarray:
 
 
 @functools.cache
-def young_text() -> re.Pattern:
-    """Finds a code point that Python's tables don't know."""
-    codes = unassigned()
-    starts, ends = codes[np.append(True, np.diff(codes) > 1)], codes[np.append(np.diff(codes) > 1, True)]
-    return re.compile("[" + "".join(f"\\U{a:08x}-\\U{b:08x}" for a, b in zip(starts.tolist(), ends.tolist())) + "]")
+def _young() -> np.ndarray:
+    """Of each code point: Python's tables don't know it."""
+    out = np.zeros(0x110000, bool)
+    out[unassigned()] = True
+    return out
+
+
+def young_texts(cp: np.ndarray, docs: np.ndarray) -> np.ndarray:
+    """Which of the texts (as ``flatten`` lays them) hold a code point that Python's tables don't know."""
+    seen = np.concatenate([[0], np.cumsum(_young()[cp])])
+    return seen[docs[1:]] > seen[docs[:-1]]
 
 
 @functools.cache
@@ -140,7 +146,7 @@ def spans(cp: np.ndarray, docs: np.ndarray, keep_spaces: bool) -> tuple[np.ndarr
 
 
 def hashes(cp: np.ndarray, s: np.ndarray, e: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each span, never zero; two of ten million distinct pre-tokens meet with a chance of about 1 in 180,000."""
+    """A 64-bit hash of each span, never zero."""
     table, _, _ = _mixers()
     size = 1 << max(12, int(len(cp)).bit_length())
     up, down = _powers(size)
@@ -173,8 +179,8 @@ class TokenCache:
         self.mask = (1 << max(10, (2 * self.entries).bit_length())) - 1
         self.keys = np.zeros(self.mask + 1, np.uint64)
         self.vals = np.zeros(self.mask + 1, np.int32)
-        self.ids = np.zeros(1 << 16, np.int32)
-        self.offs = np.zeros(1 << 14, np.int64)
+        self.ids, self.cps = np.zeros(1 << 16, np.int32), np.zeros(1 << 16, np.uint32)
+        self.offs, self.ends = np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int64)  # of ids and of code points
         self.n = 0
 
     def find(self, h: np.ndarray) -> np.ndarray:
@@ -189,16 +195,25 @@ class TokenCache:
             todo, at = todo[on], (at[on] + 1) & self.mask
         return out
 
-    def add(self, h: np.ndarray, ids: np.ndarray, lens: np.ndarray) -> None:
-        """h: distinct, and none of them there."""
-        m, used = len(h), int(self.offs[self.n])
-        while self.n + m + 1 > len(self.offs):
-            self.offs = np.concatenate([self.offs, np.zeros_like(self.offs)])
-        while used + len(ids) > len(self.ids):
-            self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
-        self.ids[used : used + len(ids)] = ids
-        self.offs[self.n + 1 : self.n + m + 1] = used + np.cumsum(lens)
-        vals = np.arange(self.n, self.n + m, dtype=np.int32)
+    @staticmethod
+    def _put(flat: np.ndarray, used: int, more: np.ndarray) -> np.ndarray:
+        """flat with more from its place used on, grown by doubling."""
+        size = len(flat)
+        while used + len(more) > size:
+            size *= 2
+        if size > len(flat):
+            flat = np.concatenate([flat, np.zeros(size - len(flat), flat.dtype)])
+        flat[used : used + len(more)] = more
+        return flat
+
+    def add(self, h: np.ndarray, ids: np.ndarray, lens: np.ndarray, cps: np.ndarray | None = None, sizes: np.ndarray | None = None) -> None:
+        """h: distinct, and none of them there; ids and code points (none by default) of all of them, and how many each has."""
+        cps, sizes = (np.zeros(0, np.uint32), np.zeros(len(h), np.int64)) if cps is None else (cps, sizes)
+        m, n = len(h), self.n
+        ids_used, cps_used = int(self.offs[n]), int(self.ends[n])
+        self.ids, self.cps = self._put(self.ids, ids_used, ids), self._put(self.cps, cps_used, cps)
+        self.offs, self.ends = self._put(self.offs, n + 1, ids_used + np.cumsum(lens)), self._put(self.ends, n + 1, cps_used + np.cumsum(sizes))
+        vals = np.arange(n, n + m, dtype=np.int32)
         todo, at = np.arange(m), (h >> np.uint64(7)).astype(np.int64) & self.mask
         while len(todo):
             free = self.keys[at] == 0
@@ -208,6 +223,17 @@ class TokenCache:
             todo, at = todo[~won], (at[~won] + 1) & self.mask
         self.n += m
 
+    def differing(self, entry: np.ndarray, cp: np.ndarray, s: np.ndarray, e: np.ndarray) -> np.ndarray:
+        """Indices of the spans whose code points aren't those of their entry."""
+        sizes, begin = e - s, self.ends[entry]
+        wrong = self.ends[entry + 1] - begin != sizes
+        same = np.flatnonzero(~wrong)
+        n = sizes[same]
+        odd = np.flatnonzero(cp[gather(s[same], n)] != self.cps[gather(begin[same], n)])
+        if len(odd):
+            wrong[same[np.searchsorted(np.cumsum(n), odd, side="right")]] = True
+        return np.flatnonzero(wrong)
+
     def encode(self, cp: np.ndarray, s: np.ndarray, e: np.ndarray, miss: Callable) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all pre-tokens in order, and how many each has. miss(starts, ends) -> ids, counts."""
         h = hashes(cp, s, e)
@@ -220,11 +246,20 @@ class TokenCache:
                 return self.encode(cp, s, e, miss)
             if len(new) > self.entries:  # one batch of more distinct pre-tokens than the bound: without the cache
                 return miss(s, e)
-            ids, lens = miss(s[lost[at]], e[lost[at]])
-            self.add(new, ids, lens)
+            a, b = s[lost[at]], e[lost[at]]
+            ids, lens = miss(a, b)
+            self.add(new, ids, lens, cp[gather(a, b - a)], b - a)
             entry[lost] = self.find(h[lost])
         lens = (self.offs[entry + 1] - self.offs[entry]).astype(np.int64)
-        return self.ids[gather(self.offs[entry], lens)], lens
+        out, wrong = self.ids[gather(self.offs[entry], lens)], self.differing(entry, cp, s, e)
+        if not len(wrong):
+            return out, lens
+        ids, n = miss(s[wrong], e[wrong])  # other pre-tokens of the same hash: without the cache
+        pieces, own = np.split(out, np.cumsum(lens)[:-1]), np.split(ids, np.cumsum(n)[:-1])
+        lens[wrong] = n
+        for i, piece in zip(wrong.tolist(), own):
+            pieces[i] = piece
+        return np.concatenate(pieces), lens
 
 
 def batches(texts: Sequence[str], chars: int = 1 << 20):
