@@ -126,7 +126,7 @@ def test_simhash_odd_rows(odd_documents, no_documents):
     got = sorted(((r.doc_id, r.component_id) for r in simhash.near_duplicates(odd_documents).collect()), key=str)
     assert got == sorted([(None, None), (5, 5), (6, 5), (7, 7), (8, 7), (8, 7), (9, 9), (10, 5), (11, 11)], key=str)
     kept = simhash.keep_first(odd_documents)
-    assert kept.columns == odd_documents.columns and sorted(r.doc_id for r in kept.collect()) == [5, 7, 9, 11]
+    assert kept.columns == odd_documents.columns and sorted((r.doc_id for r in kept.collect()), key=str) == [11, 5, 7, 9, None]
     assert simhash.near_duplicates(no_documents).count() == 0 and simhash.keep_first(no_documents).count() == 0
 
 
@@ -181,3 +181,73 @@ def test_block_tables(spark, radius, blocks):
     want = sorted((a, b) for a in signed for b in signed if a < b and ((a ^ b) & (2**64 - 1)).bit_count() <= radius)
     got = doc_prints.block_links(spark.createDataFrame([(p,) for p in signed * 2], "fp long"), radius, blocks)
     assert sorted((r.a, r.b) for r in got.collect()) == want
+
+
+def brute_doc_print(spark, texts):
+    """Fingerprints by plain arithmetic over the terms; Spark gives the terms' hashes alone."""
+    terms, weights = [], {}
+    for k, t in enumerate(texts):
+        words = [w for w in __import__("re").split("[\x20\x09-\x0d]+", t.lower()) if w]
+        terms += [(k, i, w, words[i + 1] if i + 1 < len(words) else None) for i, w in enumerate(words)]
+    for k, h, a, b in spark.createDataFrame(terms, "k int, i int, a string, b string").select("k", F.xxhash64("a", "b"), F.col("a"), F.col("b")).toLocalIterator():
+        total, bits = weights.setdefault(k, [0, [0] * 64])
+        w = min(16, len(a) + len(b or ""))
+        weights[k][0] = total + w
+        for bit in range(64):
+            bits[bit] += w * (h >> bit & 1)
+    return [sum(1 << bit for bit, v in enumerate(weights[k][1]) if 2 * v > weights[k][0]) if k in weights else 0 for k in range(len(texts))]
+
+
+def test_fingerprint_query(spark):
+    """Every column of the query over the whole small table."""
+    docs = sorted((r.doc_id, r.text or "") for r in read_table(spark, SMALL, "documents").select("doc_id", "text").collect())
+    edited = [t[: len(t) - len(t) // 2] + docs[(i + 1) % len(docs)][1][: len(t) // 2] for i, (_, t) in enumerate(docs)]
+    fp, other = brute_doc_print(spark, [t for _, t in docs]), brute_doc_print(spark, edited)
+    like = lambda a, b: 1 - (a ^ b).bit_count() / 64
+    kinds = set(fp)
+    near = {a: sum(1 for b in kinds if a != b and (a ^ b).bit_count() <= 3) for a in kinds}
+    want = [(d, len(t), f"{fp[i]:016x}", f"{other[i]:016x}", like(fp[i], other[i]), like(fp[i], fp[(i + 1) % len(docs)]), near[fp[i]]) for i, (d, t) in enumerate(docs)]
+    got = queries.op4_fingerprints(spark, SMALL).select("doc_id", "n_chars", "fingerprint", "edited_fingerprint", "near_edited", "near_next", "n_near").collect()
+    assert sorted(map(tuple, got)) == want
+
+
+def test_order_of_hot_ids(spark):
+    """A doc_id, or none, that a third of the rows have, and rows repeated often: many ranges, and the same order."""
+    rows = [(None, f"n{i % 50}") for i in range(100)] + [(7, f"t{i}") for i in range(100)] + [(i, f"x{i}") for i in range(20, 60)] + [(9, "same")] * 90
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    out = doc_prints.with_next(df, 16).collect()
+    follow = {(r.bucket, r.number): r for r in out}
+    assert len(follow) == len(rows) and len({r.bucket for r in out if r.doc_id == 7}) > 3 and len({r.bucket for r in out if r.doc_id is None}) > 3 and len({r.bucket for r in out if r.doc_id == 9}) > 3
+    at, seen = min(follow), []
+    for _ in rows:
+        seen.append(follow[at])
+        at = follow[at].next_bucket, follow[at].next_number
+        assert seen[-1].next_text == follow[at].text
+    assert at == min(follow) and len({(r.bucket, r.number) for r in seen}) == len(rows)
+    ids = [r.doc_id for r in seen]
+    assert ids[:100] == [None] * 100 and ids[100:] == sorted(ids[100:]) and sorted(map(str, (r.text for r in seen))) == sorted(t for _, t in rows)
+
+
+@pytest.mark.parametrize("chunk", [512, 7])
+def test_block_counts_of_a_dense_group(spark, chunk):
+    rng = random.Random(chunk)
+    centre = rng.getrandbits(64)
+    prints = {centre} | {rng.getrandbits(64) for _ in range(50)}
+    while len(prints) < 250:
+        x = centre
+        for _ in range(rng.randrange(1, 4)):
+            x ^= 1 << rng.randrange(64)
+        prints.add(x)
+    signed = {p: p - (1 << 64) if p >> 63 else p for p in prints}
+    want = {signed[a]: n for a in prints if (n := sum(1 for b in prints if a != b and (a ^ b).bit_count() <= 3))}
+    df = spark.createDataFrame([(x,) for x in signed.values()] * 2, "fp long")
+    assert {r.fp: r.n_near for r in doc_prints.block_counts(df, chunk_rows=chunk).collect()} == want
+
+
+def test_texts_that_share_an_id_stay(spark):
+    """Unlike texts stay, whatever their doc_id."""
+    words = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu".split()
+    unlike = [" ".join(random.Random(k).choices(words, k=60)) + f" w{k}" for k in range(4)]
+    rows = [(1, unlike[0]), (1, unlike[1]), (None, unlike[2]), (None, unlike[3]), (2, unlike[0]), (None, unlike[1])]
+    kept = simhash.keep_first(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(((r.doc_id, r.text) for r in kept), key=str) == sorted(rows[:4], key=str)

@@ -187,13 +187,6 @@ def test_samples_take_one_text_of_an_id(spark):
     picked = spark.createDataFrame([(1, 1), (1, 0), (2, 1), (3, 0)], "doc_id long, label int")
     got = [sorted(map(tuple, folds.texts(docs.repartition(n), picked).collect())) for n in (1, 7)]
     assert got[0] == got[1] and [r[:2] for r in got[0]] == [(1, 0), (1, 1), (2, 1), (3, 0)] and got[0][0][2] == got[0][1][2] and got[0][3][2] == ""
-    seen, fit = [], quality.fit
-    quality.fit = lambda good, some, *a: seen.append((len(good), len(some))) or fit(good, some, *a)
-    try:
-        quality.train(docs, spark.createDataFrame([(1, 1)], "doc_id long, label int"))
-    finally:
-        quality.fit = fit
-    assert seen == [(1, 3)]
 
 
 def test_foreign_and_fallback_content():
@@ -201,3 +194,147 @@ def test_foreign_and_fallback_content():
         assert [b.text for b in leaf_blocks(f"<article>a{tag}b<p>c</p></article><p>d")] == ["ab", "c", "d"]
     assert [b.text for b in leaf_blocks("<article><svg width=5/><text>no</text></svg><p>c</p></article>")] == ["c"]
     assert [b.text for b in leaf_blocks("<article><p>let <math><mi>x</mi></math> be</p><object>o</object><video>v</video></article>")] == ["let x be", "ov"]
+
+
+PART = st.one_of(
+    st.lists(st.sampled_from(["<", "|", "turn|>", "|end|>\n<", "<|", "says|>", "[", "INST]", "/INST]", "I", "NST]", "</", "/s>", "s>", "s", ">", "\\", "evil", "<|image:0|>"]), max_size=5).map(lambda x: {"type": "text", "text": "".join(x)}),
+    st.text(max_size=8).map(lambda x: {"type": "text", "text": x}),
+    st.just({"type": "image", "uri": "a.png", "width": 28, "height": 28}),
+)
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from(["user", "assistant", "a<", "[IN", ""]), st.lists(PART, max_size=6)), max_size=4))
+def test_parts_cannot_forge_turns(turns):
+    """Lists of parts are read back as they were, whatever they spell when they are joined."""
+    out, want = "", []
+    for role, parts in turns:
+        seen, content, images = chat.Flattener(), [], 0
+        for p in parts:
+            seen.visit(p)
+            if p["type"] == "image":
+                content.append(("image", images))
+                images += 1
+            elif p["text"]:
+                if content and content[-1][0] == "text":
+                    content[-1] = ("text", content[-1][1] + p["text"])
+                else:
+                    content.append(("text", p["text"]))
+        body = "".join(seen.out)
+        assert not any(c in chat.PLACEHOLDER.sub("", body) for c in ("<|", "</s>", "<s>", "[INST]", "[/INST]"))
+        out += chat.OPEN + chat.escape(role) + chat.SAYS + body + chat.CLOSE
+        want.append((role, content))
+    assert chat.parse_parts(out) == want
+
+
+@pytest.mark.parametrize("page", ["<a " * 350_000, "<div>x" * 170_000, "</div>" * 170_000, "<p>" + "<span>" * 80_000 + "<div>" * 80_000, "> <a" + "a" * 1_000_000, "<!--" * 250_000, "<a \"'>" * 160_000, "<ul><li>" * 60_000 + "<li>" * 100_000, "<b>x</i>" * 120_000])
+def test_odd_pages_take_linear_time_and_memory(page):
+    import time
+    import tracemalloc
+
+    began = time.perf_counter()
+    leaf_blocks(page)
+    assert time.perf_counter() - began < 6  # a fraction of a second to one alone; the machine may be shared
+    tracemalloc.start()
+    leaf_blocks(page[: len(page) // 4])
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 50e6
+
+
+def test_unmarked_layout(model):
+    extractor = html_extract.Extractor(model)
+    assert extractor.main_blocks("<body><div><p>prose</p><p>prose</p></div></body>") == ["prose", "prose"]
+    assert extractor.main_blocks('<body><nav><a href="/">Home</a></nav><div><p>It rained all day, and nobody left the house.</p><p>Then it stopped.</p></div><div class="footer">Copyright 2024</div></body>') == ["It rained all day, and nobody left the house.", "Then it stopped."]
+
+
+@pytest.mark.parametrize("name", sorted(queries.SQL))
+def test_same_rows_as_sql(spark, name):
+    from oracle import connect, rows
+
+    ours, theirs = queries.queries()[name](spark, SMALL).toPandas(), connect().execute(queries.SQL[name]).df()
+    assert sorted(ours.columns) == sorted(theirs.columns) and rows(ours) == rows(theirs)
+
+
+def captured(monkeypatch, module):
+    """The models that a query fits."""
+    seen, train = [], module.train
+    monkeypatch.setattr(module, "train", lambda *a, **k: seen.append(train(*a, **k)) or seen[-1])
+    return seen
+
+
+def test_toxicity_query_by_brute_force(spark, monkeypatch):
+    """Plain noisy-or of every whole text of the small table, from the weights that the query learnt."""
+    import math
+    import re
+
+    seen = captured(monkeypatch, toxicity)
+    got = {r.doc_id: (r.held_out, r.score, r.predicted) for r in queries.op5_toxicity(spark, SMALL).collect()}
+    (model,) = seen
+    docs = read_table(spark, SMALL, "documents").select("doc_id", "text").collect()
+    assert len(got) == len(docs) and model.constant is None and model.weights
+    for d, text in docs:
+        clean = 1.0
+        said = [s for s in re.split(r"[.!?\n]+", (text or "").lower()) if re.search(r"[^\W\d_]", s)] or [""]
+        for s in said:
+            z = model.bias
+            for w in re.findall(r"[^\W\d_]+", s):
+                z += sum(model.weights.get(f, 0.0) for f in [w] + [w[:k] + "-" for k in range(3, 7) if k < len(w)])
+            clean *= 1 - 1 / (1 + math.exp(-z))
+        held, score, predicted = got[d]
+        assert held == (zlib.crc32(str(d).encode()) % 5 == 0) and score == pytest.approx(1 - clean, abs=1e-9) and predicted == (score >= 0.5)
+
+
+def test_toxicity_in_tasks_equals_memory(spark):
+    docs, labels = read_table(spark, SMALL, "documents"), read_table(spark, SMALL, "labels").select("doc_id", F.col("toxic").alias("label"))
+    label = {r.doc_id: r.label for r in labels.collect()}
+    rows = [(r.text or "", label[r.doc_id]) for r in docs.orderBy("doc_id").collect() if r.doc_id in label]
+    there, here = toxicity.train(docs, labels), toxicity.fit(rows, np.mean([y for _, y in rows]))
+    assert there.weights.keys() == here.weights.keys() and all(there.weights[f] == pytest.approx(here.weights[f], abs=1e-6) for f in there.weights)
+    longer = docs.withColumn("text", F.when(F.col("doc_id") == 3, F.repeat(F.lit("word "), 100_000)).otherwise(F.col("text")))
+    assert toxicity.score(longer, toxicity.train(longer, labels)).count() == docs.count()
+
+
+def plain_risk(w, p, u, prior):
+    """Non-negative unbiased risk of the squared loss and the ridge, text by text."""
+    z = lambda rows: [w[-1] + sum(w[i] for i in r) for r in rows]
+    mean = lambda x: sum(x) / len(x)
+    plus, minus, all_ = mean([(1 - x) ** 2 / 4 for x in z(p)]), mean([(1 + x) ** 2 / 4 for x in z(p)]), mean([(1 + x) ** 2 / 4 for x in z(u)])
+    return prior * plus + max(0.0, all_ - prior * minus) + quality.L2 / 2 * sum(x * x for x in w[:-1])
+
+
+def test_quality_query_by_brute_force(spark, monkeypatch):
+    """Bins, scores and the least risk over every text of the small table, text by text; labels of bad texts make no difference."""
+    seen = captured(monkeypatch, quality)
+    got = {r.doc_id: (r.held_out, r.score, r.predicted) for r in queries.op6_quality(spark, SMALL).collect()}
+    (model,) = seen
+    docs = {r.doc_id: np.array(quality.describe(r.text or ""), np.float32).tolist() for r in read_table(spark, SMALL, "documents").collect()}
+    good = {r.doc_id for r in read_table(spark, SMALL, "labels").where("quality = 1").collect() if zlib.crc32(str(r.doc_id).encode()) % 4 != 2}
+    bins = {}
+    for d, x in docs.items():
+        bins[d] = [i * quality.BINS + sum(1 for e in model.edges[i].tolist() if e <= x[i]) for i in range(len(x))]
+        score = min(1.0, max(0.0, (1 + model.bias + sum(model.weights[b] for b in bins[d])) / 2))
+        assert got[d] == (zlib.crc32(str(d).encode()) % 4 == 2, pytest.approx(score, abs=1e-9), int(got[d][1] >= 0.7))
+    for i in range(len(quality.NAMES)):  # quantiles of all texts, to three digits
+        x = sorted(v[i] for v in docs.values())
+        for k, e in enumerate(model.edges[i].tolist(), 1):
+            rank = -(-k * len(x) // quality.BINS) - 1
+            assert e <= x[rank] * 1.0001 + 1e-12 and x[rank] <= e * 1.01 + 1e-12
+    w, p, u = [*model.weights, model.bias], [bins[d] for d in docs if d in good], list(bins.values())
+    least, rng = plain_risk(w, p, u, model.prior), np.random.default_rng(3)
+    for step in (1e-1, 1e-2, 1e-3):
+        assert all(plain_risk(list(w + step * rng.standard_normal(len(w)) * 0.1), p, u, model.prior) >= least - 1e-9 for _ in range(5))
+    labels = read_table(spark, SMALL, "labels").select("doc_id", F.col("quality").alias("label")).where(folds.fold(4) != 2)
+    alone = quality.train(read_table(spark, SMALL, "documents"), labels.where("label = 1"))
+    assert alone.prior == model.prior and np.array_equal(alone.weights, model.weights)
+
+
+def test_quality_prior_of_a_mixture(spark):
+    """Estimated from positives and unlabelled texts alone."""
+    rng = np.random.default_rng(8)
+    word = lambda: "".join(rng.choice(list("abcdefghijklmnop"), rng.integers(2, 9)))
+    fine = lambda: " ".join(word() for _ in range(rng.integers(20, 60))).capitalize() + "."
+    junk = lambda: " ".join(word().upper() + "!!" for _ in range(rng.integers(3, 30)))
+    rows = [(i, fine() if i % 10 < 7 else junk()) for i in range(1500)]
+    model = quality.train(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame([(i, 1) for i in range(0, 1500, 10)], "doc_id long, label int"))
+    assert model.prior == pytest.approx(0.7, abs=0.1)

@@ -48,6 +48,19 @@ def test_cache_stays_bounded():
     assert cache.find(h).tolist() == [0, 1] and cache.find(np.array([9], np.uint64)).tolist() == [-1]
 
 
+@pytest.mark.parametrize("bits", [0, 3])
+def test_colliding_pre_tokens(monkeypatch, bits):
+    """Pre-tokens of one hash (all, or by their length): ids are right all the same."""
+    from ledgerloom.llm import tokens
+
+    monkeypatch.setattr(tokens, "hashes", lambda cp, s, e: ((e - s) & bits).astype(np.uint64) << np.uint64(20) | np.uint64(1))
+    texts = ["one two three one two", "", "aaaa bbbb aaaa cccc", "don't 12 éé é " * 5]
+    for _ in range(2):
+        ids, offs = ByteEncoder(BYTES).encode(texts)
+        assert [ids[a:b].tolist() for a, b in zip(offs[:-1], offs[1:])] == [library.encode(t, add_special_tokens=False).ids for t in texts]
+        assert [x.tolist() for x in bpe.WordBpe(WORDS).encode(texts)] == [words.encode(t, add_special_tokens=False).ids for t in texts]
+
+
 def expected(rows, end):
     return [(d, np.array([*library.encode(t or "", add_special_tokens=False).ids, end], "<u4")) for d, t in rows]
 
@@ -152,3 +165,17 @@ def test_plan_places_every_tail_once(seed):
     assert residual < counts.sum() * (0.35 if seed == 1 else 0.7)
     combos = packing.combinations(1024, 16)
     assert (combos.sum(1) == 1024).all()
+
+
+def test_packing_spreads_equal_tails(spark):
+    """Many tails of one length, repeated rows among them: more groups than one, each id in one piece, hardly any padding."""
+    rows = [(None, "")] * 300 + [(i, "a b c") for i in range(200)] + [(5, "word " * 3000)]
+    out = packing.pack(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), salt_rows=16).collect()
+    spots = defaultdict(list)
+    for r in out:
+        spots[r.sequence_id].append((r.offset, r.length))
+    for pieces in spots.values():
+        pieces.sort()
+        assert all(a + n == b for (a, n), (b, _) in zip(pieces, pieces[1:])) and pieces[0][0] == 0 and sum(n for _, n in pieces) <= 1024
+    total = sum(len(library.encode(t, add_special_tokens=False).ids) + 1 for _, t in rows)
+    assert sum(r.length for r in out) == total and len(spots) == -(-total // 1024)
