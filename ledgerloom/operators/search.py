@@ -105,11 +105,13 @@ def word_similarity(query: str, tokens: Column) -> Column:
 def search_fuzzy(view: DataFrame, query: str, schemas: Sequence[str] = (), limit: int = 20, offset: int = 0, sim: float = 0.25, word_sim: float = 0.55, ontology: Ontology = ONTOLOGY) -> DataFrame:
     """L-02: rows of the search view that hold all query words, are similar, or contain the query; best first, scores left out.
 
-    Rows that share no trigram with the query and don't contain it can't match, and are left out before anything is scored.
+    Before anything is scored, rows go that can't match: a similarity above a bound needs more than so large a share of the query's trigrams (those
+    of a run of words are among those of all names, and a row with all query words has all of them).
     """
     q, low = F.lit(query), query.lower()
     rows = schema_filter(view, schemas, ontology) if schemas else view
-    rows = rows.where(F.arrays_overlap(trigrams(F.col("names_text")), trigrams(q)) | F.arrays_overlap(trigrams(F.coalesce("display_name", F.lit(""))), trigrams(q)) | F.contains(F.lower("names_text"), F.lit(low)))
+    shares = lambda c, least: F.size(F.array_intersect(trigrams(c), trigrams(q))) > least * F.size(trigrams(q))
+    rows = rows.where(shares(F.col("names_text"), word_sim) | shares(F.coalesce("display_name", F.lit("")), sim) | F.contains(F.lower("names_text"), F.lit(low)))
     asked = F.array_distinct(words(q))
     found = F.size(F.array_intersect(asked, F.col("tokens")))
     rows = rows.withColumn("__all", (F.size(asked) > 0) & (found == F.size(asked))).withColumn("__rank", F.when(F.size("tokens") > 0, found / F.size("tokens")).otherwise(0.0))
