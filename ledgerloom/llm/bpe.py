@@ -6,7 +6,7 @@ search in the sorted pair keys, takes each word's pair of lowest rank, and merge
 all its occurrences from the left; words without a known pair leave the array.
 
 Defined cases: null text is empty; an empty text has no ids and decodes to "";
-equal rows give equal results; columns beside the key and the text pass through
+a very long text is encoded whole, in a batch of its own; equal rows give equal results; columns beside the key and the text pass through
 ``encode``'s ``keep`` only.  Strings of special tokens inside a text become
 their ids, as the tokenizers library does.
 """

@@ -13,8 +13,8 @@ Layout of a token-file folder (all through Spark's writers, so any store works):
 A reader that wants one short document reads one block and decompresses one frame.
 
 Defined cases: null text is empty (its ids: the end id); null doc_ids come first;
-rows with equal doc_id are ordered by their text's hash, then text; an empty table gives no blocks; other
-columns are ignored.
+rows with equal doc_id are ordered by their text's hash, then text; a very long text is one frame, in a
+block of its own; an empty table gives no blocks; other columns are ignored.
 """
 
 from __future__ import annotations

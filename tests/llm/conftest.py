@@ -1,7 +1,11 @@
 import json
+import sys
+from pathlib import Path
 
 import pytest
 
+sys.path[:0] = [str(Path(__file__).parent), str(Path(__file__).parent.parent)]
+
 ODD = [(None, "x", "en", "s", 1), (5, None, "en", "s", 0), (6, "", None, None, 0), (7, "same text " * 40, "en", "s", 1), (8, "same text " * 40, "en", "s", 1), (8, "same text " * 40, "en", "s", 1), (9, "word " * 30000, "en", "s", 1), (10, "  \n\t ", "en", "s", 1), (11, "Ünïcødé 😀 <|endoftext|> don't ﬁ Σ", "en", "s", 1)]
 
 

@@ -73,19 +73,59 @@ def test_vector_query_recall(spark):
     assert embedding_dedup.near_duplicates(read_table(spark, SMALL, "embeddings").where("false")).count() == 0
 
 
-def test_calibration_holds():
-    """Pairs at the threshold itself pass the count with the promised recall."""
-    cal, rng = embedding_dedup.calibrate(), np.random.default_rng(3)
-    a = embedding_dedup.directions(64)
-    x = rng.standard_normal((4000, 64))
+def pairs_at(threshold, n, dim, seed):
+    """Pairs of unit vectors whose cosine is the threshold."""
+    rng = np.random.default_rng(seed)
+    x = rng.standard_normal((n, dim))
     x /= np.linalg.norm(x, axis=1)[:, None]
-    y = rng.standard_normal((4000, 64))
+    y = rng.standard_normal((n, dim))
     y -= (x * y).sum(1, keepdims=True) * x
     y /= np.linalg.norm(y, axis=1)[:, None]
-    y = 0.95 * x + np.sqrt(1 - 0.95**2) * y
-    d = np.abs((x - y) @ a)
-    passed = ((d[:, 1:] <= cal.half_width).sum(1) >= cal.count) & (d[:, 0] <= cal.strip)
+    return x, threshold * x + np.sqrt(1 - threshold**2) * y
+
+
+def test_calibration_holds():
+    """Pairs at the threshold itself pass the count, and share a key, with the promised recall."""
+    cal = embedding_dedup.calibrate()
+    x, y = pairs_at(0.95, 4000, 64, 3)
+    d = np.abs((x - y) @ embedding_dedup.directions(64))
+    passed = ((d[:, 1:] <= cal.half_width).sum(1) >= cal.count) & (d[:, 0] <= cal.reach)
     assert passed.mean() > 0.998
+    for classes in (100, 50_000, 10**9):
+        deal = embedding_dedup.dealing(classes)
+        met = (embedding_dedup.compound_keys(x, deal) == embedding_dedup.compound_keys(y, deal)).any(1)
+        assert met.mean() > 0.998
+    few, many = embedding_dedup.dealing(10**6), embedding_dedup.dealing(10**9)
+    assert many.tables <= 1.2 * 1000**0.15 * few.tables  # tables grow with a small power of the classes
+
+
+def test_recall_at_the_threshold(spark):
+    """The whole operator on pairs just above the threshold among unlike vectors."""
+    x, y = pairs_at(0.9501, 1500, 48, 11)
+    rows = [(i, v.tolist()) for i, v in enumerate(np.concatenate([x, y]))]
+    got = embedding_dedup.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()
+    assert sum(r.n_links >= 1 and r.component_id == r.vec_id % 1500 for r in got) >= 0.995 * len(rows)
+    x, y = pairs_at(0.9499, 300, 48, 12)
+    rows = [(i, v.tolist()) for i, v in enumerate(np.concatenate([x, y]))]
+    assert all(r.n_links == 0 for r in embedding_dedup.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect())
+
+
+@pytest.mark.parametrize("block_rows, small, task_rows", [(4096, 128, 1 << 15), (40, 4, 100), (64, 1000, 64)])
+def test_dense_group_of_vectors(spark, block_rows, small, task_rows):
+    """A third of all vectors within one another's reach, all unlike: every link counted once, however keys are split."""
+    rng = np.random.default_rng(block_rows)
+    centre = rng.standard_normal(24)
+    near = centre + rng.standard_normal((150, 24)) * 0.14
+    rows = [(i, v.tolist()) for i, v in enumerate(np.concatenate([near, rng.standard_normal((300, 24))]))]
+    classes = spark.createDataFrame([(i, 1, v) for i, v in rows], "rep long, n long, embedding array<double>")
+    found = embedding_dedup.links(classes, block_rows=block_rows, small=small, task_rows=task_rows).collect()
+    counts = {i: 0 for i, _ in rows}
+    for r in found:
+        if r.b is None:
+            counts[r.a] += r.n
+    want = {i: n for i, n, *_ in brute_vectors(rows, 0.95)}
+    assert counts == want and sum(want.values()) > 5000
+    assert len({frozenset(x) for x in [(r.a, r.b) for r in found if r.b is not None]}) > 0
 
 
 def brute_print(text):

@@ -1,8 +1,17 @@
 """The corpus pipeline, stage by stage and whole."""
 
+import zlib
+from collections import defaultdict
+
+import numpy as np
+import plain
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
 import corpus_pipeline
-from ledgerloom.llm import quality, simhash, toxicity
-from ledgerloom.plans.shared import read_table
+from ledgerloom.llm import quality, toxicity
+from ledgerloom.llm.tokens import tokenizer_path
+from ledgerloom.plans.shared import read_table, staged
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -11,44 +20,60 @@ def test_stages_in_order():
     assert [n for n, _ in corpus_pipeline.STAGES] == ["toxicity", "quality", "simhash", "packing"]
 
 
-def test_stages_against_brute_force(spark):
-    docs = read_table(spark, SMALL, "documents").cache()
-    labels = read_table(spark, SMALL, "labels")
-    columns = docs.columns
-    text = {r.doc_id: r.text for r in docs.collect()}
-    stages = dict(corpus_pipeline.STAGES)
-
-    clean = stages["toxicity"](spark, docs, SMALL).cache()
-    scorer = toxicity.Scorer(toxicity.train(docs, labels.selectExpr("doc_id", "toxic as label")))
-    assert clean.columns == columns and {r.doc_id for r in clean.collect()} == {d for d, t in text.items() if scorer.score(t)[0] < 0.5}
-
-    good = stages["quality"](spark, clean, SMALL).cache()
-    model = quality.train(clean, labels.selectExpr("doc_id", "quality as label"))
-    import numpy as np
-
-    ids = sorted(r.doc_id for r in clean.collect())
-    p = quality.probabilities(np.array([quality.describe(text[i]) for i in ids]), model)
-    assert good.columns == columns and sorted(r.doc_id for r in good.collect()) == [i for i, x in zip(ids, p) if x >= 0.7]
-
-    once = stages["simhash"](spark, good, SMALL).cache()
-    ids = sorted(r.doc_id for r in good.collect())
-    prints = [simhash.fingerprint(text[i]) for i in ids]
-    parent = list(range(len(ids)))
-
-    def find(x):
-        while parent[x] != x:
-            x = parent[x]
-        return x
-
-    for i in range(len(ids)):
-        for j in range(i):
-            if (prints[i] ^ prints[j]).bit_count() <= 3:
-                a, b = find(i), find(j)
-                parent[max(a, b)] = min(a, b)
-    assert once.columns == columns and sorted(r.doc_id for r in once.collect()) == [ids[i] for i in range(len(ids)) if find(i) == i]
-
-    packed = stages["packing"](spark, once, SMALL)
-    assert {r.doc_id for r in packed.collect()} == {r.doc_id for r in once.collect()}
+def models(monkeypatch):
+    """The models that the stages fit, in order."""
+    seen = []
+    for module in (toxicity, quality):
+        train = module.train
+        monkeypatch.setattr(module, "train", lambda *a, train=train: seen.append(train(*a)) or seen[-1])
+    return seen
+
+
+def test_whole_run_against_brute_force(spark, monkeypatch):
+    """Every stage text by text in plain Python from the weights that were learnt, and the library's ids of every document that stays."""
+    seen = models(monkeypatch)
+    packed = corpus_pipeline.run(spark, SMALL).collect()
+    toxic, fine = seen
+    docs = sorted((r.doc_id, r.text or "") for r in read_table(spark, SMALL, "documents").collect())
+    docs = [x for x in docs if plain.noisy_or(toxic, x[1]) < corpus_pipeline.TOXIC]
+    left = [x for x in docs if plain.quality(fine, np.array(quality.describe(x[1]), np.float32).tolist()) >= corpus_pipeline.GOOD]
+    assert 0 < len(left) < len(docs) < 200
+    prints = [plain.simhash(t) for _, t in left]
+    parts = plain.classes(len(left), lambda i, j: (prints[i] ^ prints[j]).bit_count() <= 3)
+    kept = [x for i, x in enumerate(left) if parts[i] == i]
+    assert sorted({r.doc_id for r in packed}) == [d for d, _ in kept] and len(kept) < len(left)
+    library = Tokenizer.from_file(tokenizer_path("byte_bpe_50k.json"))
+    by, spots = defaultdict(list), defaultdict(list)
+    for r in packed:
+        by[r.doc_id].append(r)
+        spots[r.sequence_id].append((r.offset, r.length))
+    for d, t in kept:
+        ids, at = np.array([*library.encode(t, add_special_tokens=False).ids, 0], "<u4"), 0
+        for r in sorted(by[d], key=lambda r: r.start):
+            assert r.start == at and r.doc_tokens == len(ids) and r.ids_crc32 == zlib.crc32(ids[at : at + r.length].tobytes())
+            at += r.length
+        assert at == len(ids)
+    for pieces in spots.values():
+        pieces.sort()
+        assert pieces[0][0] == 0 and all(a + n == b for (a, n), (b, _) in zip(pieces, pieces[1:])) and sum(n for _, n in pieces) <= 1024
+    assert len(spots) == -(-sum(r.length for r in packed) // 1024)
+
+
+def test_stages_keep_columns(spark):
+    docs = read_table(spark, SMALL, "documents").withColumn("score", F.lit(1.5)).withColumn("fp", F.lit("x")).withColumn("component_id", F.lit(7))
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = staged(stage(spark, docs, SMALL), name)
+        assert docs.columns == [*read_table(spark, SMALL, "documents").columns, "score", "fp", "component_id"] and docs.where("score <> 1.5 or fp <> 'x' or component_id <> 7").count() == 0
+
+
+def test_stages_on_odd_rows(spark, odd_documents):
+    """Nulls, empty and very long texts, ties, repeated rows and clashing names: what the labels say nothing of stays, once for each text."""
+    docs = odd_documents
+    for name, stage in corpus_pipeline.STAGES[2:]:
+        docs = staged(stage(spark, docs, SMALL), name)
+    # Words: x; none (5, 6, 10); same text (7, 8, 8); word; and the odd one.
+    assert {r.doc_id for r in docs.collect()} == {None, 5, 7, 9, 11}
+    corpus_pipeline.drop_toxic(spark, odd_documents, SMALL).count(), corpus_pipeline.keep_good(spark, odd_documents, SMALL).count()
 
 
 def test_whole_run(spark):
