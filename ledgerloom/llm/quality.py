@@ -3,7 +3,8 @@
 Trusted positives are documents labelled good; all web text, labels unseen, is
 unlabelled.  Labels of bad documents are never used.  A text is described by shares and rates of
 its characters, words and lines, each cut into quantile bins of the unlabelled; the score of a
-text is (1 + z) / 2, between 0 and 1, where z is the sum of its bins' weights.
+text is the logistic function of LINK * z, where z is the sum of its bins' weights (1 for a good
+text, -1 for another, as far as a sum can say so).
 
 The weights minimise the non-negative unbiased risk under the squared loss,
 pi R_p(+) + max(0, R_u(-) - pi R_p(-)).  This risk is a quadratic form in the weights whose coefficients
@@ -67,6 +68,7 @@ def describe(text: str) -> list[float]:
 
 X = "__quality_x"
 BINS, L2 = 8, 1e-3
+LINK = 4.0  # so that a score of 0.7 is a fifth of the way from undecided to good
 _CELL = 14  # bits of a float that a histogram drops: three digits are left
 
 
@@ -207,7 +209,7 @@ def fit(positive: np.ndarray, unlabelled: np.ndarray, prior: float | None = None
 def probabilities(x: np.ndarray, model: Model) -> np.ndarray:
     if model.edges is None:
         return np.full(len(x), 0.5)
-    return np.clip((1 + model.weights[_bins(x, model.edges)].sum(1) + model.bias) / 2, 0, 1)
+    return 1 / (1 + np.exp(-LINK * (model.weights[_bins(x, model.edges)].sum(1) + model.bias)))
 
 
 def described(docs: DataFrame) -> DataFrame:

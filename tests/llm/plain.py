@@ -24,7 +24,7 @@ def bins_of(model, x):
 
 
 def quality(model, x):
-    return min(1.0, max(0.0, (1 + model.bias + sum(model.weights[b] for b in bins_of(model, x))) / 2))
+    return 1 / (1 + math.exp(-4 * (model.bias + sum(model.weights[b] for b in bins_of(model, x)))))
 
 
 def simhash(text):
