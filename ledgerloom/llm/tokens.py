@@ -27,7 +27,7 @@ LETTER, NUMBER, MARK, SPACE = 0, 1, 2, 3
 #: White space as the tokenizers' patterns see it.
 _SPACES = [*range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
 #: Bound on the distinct pre-tokens a worker keeps.
-CACHE_ENTRIES = 1_500_000
+CACHE_ENTRIES = 1_000_000
 
 
 def tokenizer_path(name: str, folder: str | None = None) -> str:
@@ -262,7 +262,7 @@ class TokenCache:
         return np.concatenate(pieces), lens
 
 
-def batches(texts: Sequence[str], chars: int = 1 << 20):
+def batches(texts: Sequence[str], chars: int = 1 << 19):
     """Slices of texts of about so many characters, one text at least."""
     at, size = 0, 0
     for i, t in enumerate(texts):
