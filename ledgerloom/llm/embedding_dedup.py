@@ -17,7 +17,7 @@ threshold share a key with probability ``recall``.  So tables grow with a small
 number of classes (less than 0.15), and the pairs that are looked at with the links, not with its square.
 
 Only ids and keys are shuffled first; of keys that one class alone has, no more is seen.  The
-others fetch vectors and projections.  Small keys share tasks by hash; the classes of a key that more than
+others fetch vectors and projections.  Small keys share tasks; the classes of a key that more than
 ``block_rows`` have are dealt to blocks, and each pair of blocks is a task, sorted by the first
 projection, so that windows are ranges.  A pair is taken in the first table where it shares a key.
 A task returns link counts and a spanning forest, so its output is linear in its rows
@@ -152,7 +152,7 @@ def _projected(projections: int, deal: Dealing, kind: str):
 
 
 class Rows:
-    """Classes in a task, in ascending order of p0."""
+    """Classes in a task."""
 
     def __init__(self, frame: pd.DataFrame, kind: str):
         self.rep, self.n, self.p0 = (frame[c].to_numpy() for c in ("rep", "n", "p0"))
@@ -248,20 +248,25 @@ def links(classes: DataFrame, threshold: float = THRESHOLD, projections: int = P
     kind = "<f4" if classes.schema["embedding"].dataType.elementType.simpleString() == "float" else "<f8"
     rows = staged(classes.select("rep", "n", "embedding").mapInArrow(_projected(projections, deal, kind), "rep long, n long, p0 double, x binary, q binary, keys array<long>"), "projected")
     ends = rows.select("rep", F.posexplode("keys").alias("table", "key"))
-    shared = ends.groupBy("table", "key").agg(F.count("*").alias("size")).where("size >= 2")
+    shared = ends.groupBy("table", "key").agg(F.count("*").alias("size"), F.min("rep").alias("least")).where("size >= 2")
     ends = ends.join(shared, ["table", "key"]).withColumn("blocks", F.ceil(F.col("size") / block_rows).cast("int"))
-    # A key that many have is tasks of its own; the others share them by hash, so many to a task that it has about task_rows rows at most.
+    # A key that many have is tasks of its own. The others share them by their smallest id, so the keys of one group of near vectors, which mostly
+    # have the same, meet in one task, and its vectors are sent there once; a task has about task_rows ends.
     groups = max(1, -(-number * deal.tables // task_rows))
     hot = F.col("blocks") > 1
-    ends = ends.withColumn("own", F.when(hot, F.col("key"))).withColumn("place", F.when(hot, F.col("table")).otherwise(F.pmod(F.xxhash64("table", "key"), F.lit(groups)))).withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
-    ends = ends.select("rep", "table", "key", "size", "own", "place", "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("to"))
-    dealt = ends.select("rep", "table", "key", "size", "own", "place", F.least("block", "to").alias("u"), F.greatest("block", "to").alias("v"), (F.col("block") > F.col("to")).alias("right")).join(rows, "rep")
+    ends = ends.withColumn("own", F.when(hot, F.col("key"))).withColumn("place", F.when(hot, F.col("table")).otherwise(F.pmod(F.xxhash64("least"), F.lit(groups)))).withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
+    ends = ends.select("rep", "table", "key", "own", "place", "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("to"))
+    ends = ends.select("rep", "own", "place", F.least("block", "to").alias("u"), F.greatest("block", "to").alias("v"), (F.col("block") > F.col("to")).alias("right"), F.struct("table", "key").alias("end"))
+    dealt = ends.groupBy("own", "place", "u", "v", "right", "rep").agg(F.collect_list("end").alias("ends")).join(rows, "rep")  # a table's number of ends at most
 
     def task(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.sort_values(["table", "key", "p0"], kind="stable")
-        # A class has a row for each of its keys here; what is known of it is kept once.
-        reps, first, at = np.unique(frame["rep"].to_numpy(), return_index=True, return_inverse=True)
-        held = Rows(frame.iloc[first], kind)
+        held, reps = Rows(frame, kind), frame["rep"].to_numpy()
+        number = frame["ends"].map(len).to_numpy()
+        at = np.repeat(np.arange(len(frame)), number)
+        table, code = (np.array([e[c] for ends in frame["ends"] for e in ends], np.int64) for c in ("table", "key"))
+        order = np.lexsort((held.p0[at], code, table))
+        at, table, code = at[order], table[order], code[order]
+        right = frame["right"].to_numpy()[at]
         forest, more = Forest(len(reps)), np.zeros(len(reps), np.int64)
 
         def found(i: np.ndarray, j: np.ndarray) -> None:
@@ -269,9 +274,8 @@ def links(classes: DataFrame, threshold: float = THRESHOLD, projections: int = P
             np.add.at(more, j, held.n[i])
             forest.link(i, j)
 
-        table, code, right = (frame[c].to_numpy() for c in ("table", "key", "right"))
         starts = np.flatnonzero(np.append(True, (table[1:] != table[:-1]) | (code[1:] != code[:-1])))
-        sizes = np.diff(np.append(starts, len(frame)))
+        sizes = np.diff(np.append(starts, len(at)))
         few = sizes <= small
         if key[0] is None or pd.isna(key[0]):
             count_runs(held, at, starts[few], sizes[few], table[starts[few]], cal, threshold, found)
