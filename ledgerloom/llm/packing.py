@@ -116,7 +116,7 @@ def pieces(docs: DataFrame, tokenizer: str | None = None, end_id: int = 0, windo
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")).mapInArrow(run, PIECES)
 
 
-def pack(docs: DataFrame, tokenizer: str | None = None, end_id: int = 0, window: int = WINDOW, salt_rows: int = 1 << 17) -> DataFrame:
+def pack(docs: DataFrame, tokenizer: str | None = None, end_id: int = 0, window: int = WINDOW, salt_rows: int = 1 << 10) -> DataFrame:
     """One row for each piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset."""
     spark = docs.sparkSession
     cut = staged(pieces(docs, tokenizer, end_id, window), "pieces")  # encoded once; the plan needs all lengths
@@ -158,6 +158,7 @@ def pack(docs: DataFrame, tokenizer: str | None = None, end_id: int = 0, window:
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], names)
 
     order = Window.partitionBy("length", "salt").orderBy("doc_id", "ids_crc32", "start")
-    numbered = tails.withColumn("rank", F.row_number().over(order)).join(F.broadcast(base), ["length", "salt"]).select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "tail", (F.col("base") + F.col("rank") - 1).alias("number"))
+    # base grows with the tails, so no broadcast is asked for: its keys are those that the window has dealt the tails by.
+    numbered = tails.withColumn("rank", F.row_number().over(order)).join(base, ["length", "salt"]).select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "tail", (F.col("base") + F.col("rank") - 1).alias("number"))
     whole = cut.where("tail is null").select("doc_id", "start", "length", "ids_crc32", "doc_tokens", (F.lit(int(used)) + F.monotonically_increasing_id()).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
     return numbered.mapInArrow(place, RESULT).unionByName(whole)
