@@ -24,8 +24,8 @@ A task returns link counts and a spanning forest, so its output is linear in its
 however dense a group is.
 
 Defined cases: vectors that are null, empty, zero or hold null or non-finite
-components link with nothing; vectors of unequal length don't link; null vec_ids
-keep their row with a null component; repeated rows are links of each other; an empty table gives no
+components link with nothing; vectors of unequal length don't link; a vector without vec_id
+links as others do, and its component is named by its smallest vec_id that isn't null (null if it has none); repeated rows are links of each other; an empty table gives no
 rows; other columns are ignored.
 """
 
@@ -296,16 +296,21 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, projection
     """One row for each vector: vec_id, n_links, component_id, kept."""
     vectors = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), "embedding")
     fine = F.forall("embedding", lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf")))
-    valid = F.col("vec_id").isNotNull() & F.col("embedding").isNotNull() & F.coalesce(fine, F.lit(False)) & F.exists("embedding", lambda v: v != 0)
-    classes = staged(vectors.where(valid).groupBy("embedding").agg(F.min("vec_id").alias("rep"), F.count("*").alias("n")), "vectors")
+    valid = F.col("embedding").isNotNull() & F.coalesce(fine, F.lit(False)) & F.exists("embedding", lambda v: v != 0)
+    # Written once, so that a class keeps its number; a class of which no vector has an id is linked by it too.
+    classes = vectors.where(valid).groupBy("embedding").agg(F.min("vec_id").alias("least"), F.count("*").alias("n"))
+    classes = staged(classes.withColumn("rep", F.monotonically_increasing_id()), "vectors")
     found = staged(links(classes, threshold, projections, recall), "links")
     counts = found.where("b is null").groupBy(F.col("a").alias("rep")).agg(F.sum("n").alias("more"))
     parts = connected_components(found.where("b is not null"))
     named = (
         classes.join(counts, "rep", "left")
         .join(parts.withColumnRenamed("id", "rep"), "rep", "left")
-        .select("embedding", (F.col("n") - 1 + F.coalesce("more", F.lit(0))).alias("n_links"), F.coalesce("component", "rep").alias("component_id"))
+        .select("embedding", "least", (F.col("n") - 1 + F.coalesce("more", F.lit(0))).alias("n_links"), F.coalesce("component", "rep").alias("component"))
     )
+    named = staged(named, "classes")
+    component = named.groupBy("component").agg(F.min("least").alias("component_id"))
+    named = named.join(component, "component").select("embedding", "n_links", "component_id")
     done = vectors.where(valid).join(named, "embedding").select("vec_id", "n_links", "component_id")
     rest = vectors.where(~F.coalesce(valid, F.lit(False))).select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
-    return done.unionByName(rest).withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(True)))
+    return done.unionByName(rest).withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))

@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
-
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -24,15 +21,3 @@ def texts(docs: DataFrame, picked: DataFrame) -> DataFrame:
     whole = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     first = F.min(F.struct(F.xxhash64("text").alias("h"), "text")).alias("first")
     return whole.join(F.broadcast(picked), "doc_id").groupBy("doc_id", "label").agg(first).select("doc_id", "label", "first.text")
-
-
-def keep_rows(docs: DataFrame, make: Callable[[], Callable[[list[str]], list[bool]]]) -> DataFrame:
-    """The rows of docs, with all their columns, whose text (null: empty) the function that make() builds in each task accepts."""
-    at = docs.columns.index("text")
-
-    def run(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        accepts = make()
-        for frame in frames:
-            yield frame.filter(pa.array(accepts([t or "" for t in frame.column(at).to_pylist()]), pa.bool_()))
-
-    return docs.mapInArrow(run, docs.schema)

@@ -66,7 +66,8 @@ def describe(text: str) -> list[float]:
     ]
 
 
-X = "__quality_x"
+#: What marks the column of descriptions, in its metadata, so no column of a user's is taken for it whatever its name.
+MARK = "ledgerloom.quality"
 BINS, L2 = 8, 1e-3
 LINK = 4.0  # so that a score of 0.7 is a fifth of the way from undecided to good
 _CELL = 14  # bits of a float that a histogram drops: three digits are left
@@ -212,28 +213,36 @@ def probabilities(x: np.ndarray, model: Model) -> np.ndarray:
     return 1 / (1 + np.exp(-LINK * (model.weights[_bins(x, model.edges)].sum(1) + model.bias)))
 
 
+def column(docs: DataFrame) -> str | None:
+    """The name of the column that ``described`` has added; its mark lasts through Parquet."""
+    return next((f.name for f in docs.schema if f.metadata.get(MARK)), None)
+
+
 def described(docs: DataFrame) -> DataFrame:
-    """docs with a column X: the description of each text. Only the text goes to Python."""
-    if X in docs.columns:
+    """docs with a column more, the description of each text, which ``column`` finds. Only the text goes to Python."""
+    if column(docs) is not None:
         return docs
+    name = "description"
+    while name in (c.lower() for c in docs.columns):
+        name += "_"
 
     @F.arrow_udf("array<float>")
     def run(texts: pa.Array) -> pa.Array:
         return pa.array([describe(t) for t in texts.to_pylist()], pa.list_(pa.float32()))
 
-    return docs.withColumn(X, run(F.coalesce("text", F.lit(""))))
+    return docs.select("*", run(F.coalesce("text", F.lit(""))).alias(name, metadata={MARK: True}))
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), len(NAMES))
 
 
-def _scores(model: Model) -> Column:
+def _scores(model: Model, x: str) -> Column:
     @F.arrow_udf("double")
     def run(x: pa.Array) -> pa.Array:
         return pa.array(probabilities(_matrix(x), model))
 
-    return run(X)
+    return run(x)
 
 
 def train(docs: DataFrame, labels: DataFrame, bins: int = BINS) -> Model:
@@ -241,15 +250,16 @@ def train(docs: DataFrame, labels: DataFrame, bins: int = BINS) -> Model:
     k = len(NAMES)
     size = k * bins
     good = labels.where("doc_id is not null and label = 1").select(F.col("doc_id").cast("long").alias("doc_id"), F.lit(True).alias("good")).distinct()
-    rows = docs if X in docs.columns else described(docs.select("doc_id", "text"))
-    rows = staged(rows.select(F.col("doc_id").cast("long").alias("doc_id"), X).join(good, "doc_id", "left").select(X, F.coalesce("good", F.lit(False)).alias("good")), "described")
+    rows = described(docs if column(docs) else docs.select("doc_id", "text"))
+    x = column(rows)
+    rows = staged(rows.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(x).alias("x")).join(good, "doc_id", "left").select("x", F.coalesce("good", F.lit(False)).alias("good")), "described")
 
     def histogram(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for frame in frames:
             cells, n = np.unique(_cells(_matrix(frame.column(0))), return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(cells), pa.array(n.astype(np.int64))], ["cell", "n"])
 
-    found = rows.select(X).mapInArrow(histogram, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).orderBy("cell").collect()
+    found = rows.select("x").mapInArrow(histogram, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).orderBy("cell").collect()
     if not found:
         return Model(None, np.zeros(0), 0.0, 0.5)
     edges = _edges(np.array([r.cell for r in found]), np.array([r.n for r in found]), k, bins)
@@ -287,11 +297,11 @@ def train(docs: DataFrame, labels: DataFrame, bins: int = BINS) -> Model:
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
     """doc_id and score for every row of docs."""
-    columns = ["doc_id", X] if X in docs.columns else ["doc_id", "text"]
-    return described(docs.select(*columns)).select(F.col("doc_id").cast("long").alias("doc_id"), _scores(model).alias("score"))
+    rows = described(docs.select("doc_id", column(docs) or "text"))
+    return rows.select(F.col("doc_id").cast("long").alias("doc_id"), _scores(model, column(rows)).alias("score"))
 
 
 def keep_good(docs: DataFrame, model: Model, least: float = 0.7) -> DataFrame:
-    """The rows of docs with a score of least or more, without X. Without a fitted model (model.edges null) every score is 0.5, so a caller who filters should keep all rows itself."""
-    columns = [c for c in docs.columns if c != X]
-    return described(docs).where(_scores(model) >= least).select(*columns)
+    """The rows of docs with a score of least or more, without their descriptions. Without a fitted model (model.edges null) every score is 0.5, so a caller who filters should keep all rows itself."""
+    rows = described(docs)
+    return rows.where(_scores(model, column(rows)) >= least).drop(column(rows))

@@ -38,7 +38,8 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs, labels = staged(quality.described(read_table(spark, sf_dir, "documents")).select("doc_id", quality.X), "described"), read_table(spark, sf_dir, "labels")
+    docs, labels = quality.described(read_table(spark, sf_dir, "documents").select("doc_id", "text")), read_table(spark, sf_dir, "labels")
+    docs = staged(docs.drop("text"), "described")
     model = quality.train(docs, labels.where(fold(4) != 2).select("doc_id", F.col("quality").alias("label")))
     return quality.score(docs, model).select("doc_id", (fold(4) == 2).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
 
@@ -107,7 +108,9 @@ def _repair_sql() -> str:
     return rf"""WITH RECURSIVE k AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS key FROM conversations),
   h AS (SELECT *, xor(list_reduce(list_prepend(4294967295, list_transform(regexp_extract_all(key, '.'), lambda x: ord(x)::BIGINT)), lambda c, b: list_reduce(list_prepend(xor(c, b), range(8)), lambda a, i: xor(a >> 1, 3988292384 * (a & 1)))), 4294967295) % 20 AS fate FROM k),
   d AS (SELECT conv_id, turn, CASE WHEN fate = 4 THEN 'user' ELSE role END AS role, CASE fate WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text, unnest(range(CASE WHEN fate = 3 THEN 2 ELSE 1 END)) AS copy FROM h WHERE fate <> 0),
-  n AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS i, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) AS seen, regexp_extract(text, '([^ 	-])[ 	-]*$', 1) AS last, left(role, 1) AS initial FROM d),
+  n AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS i, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) AS seen, regexp_extract(text, '([^ 	-
+])[ 	-
+]*$', 1) AS last, left(role, 1) AS initial FROM d),
   o AS (SELECT *, CASE WHEN last = '' THEN 1 WHEN seen > 1 THEN 2 WHEN last NOT IN ('.', '!', '?') THEN 3 ELSE 0 END AS fault, lag(initial) OVER (PARTITION BY conv_id ORDER BY i) AS before FROM n),
   r AS (SELECT DISTINCT conv_id, 0::BIGINT AS i, {{'c': 0::BIGINT, 'a': '', 'r': ''}} AS f0, {none} AS f1, {none} AS f2, {none} AS f3 FROM conversations
     UNION ALL SELECT conv_id, i, {columns(f)} FROM (SELECT conv_id, i, fault, initial, role, text, {columns(g)} FROM (SELECT r.conv_id, o.i, fault, initial, role, text, f0, f1, f2, f3 FROM r JOIN o ON o.conv_id IS NOT DISTINCT FROM r.conv_id AND o.i = r.i + 1))),

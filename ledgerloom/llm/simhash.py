@@ -179,15 +179,20 @@ def hex_fingerprint(fp: str):
 
 
 def keep_first(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """The columns of docs; one row of each near-duplicate component: the smallest doc_id, then the smallest hash of the row (one of repeated rows).
+    """The columns of docs; one row of each near-duplicate component: the smallest doc_id, then the smallest hash of text and other columns (one of repeated rows).
 
-    Rows without a doc_id are members too and come after all others.
+    Rows without a doc_id are members too and come after all others.  A row is known by a number that is written down with it
+    before anything is compared, so neither its values nor the names and types of its columns matter to what it is.
     """
-    # 128 bits name a row by its contents: rows that share them are repeated rows.
-    identity = {"__h1": F.xxhash64(*docs.columns), "__h2": F.xxhash64(F.lit(SEED), *docs.columns)}
-    prints = staged(fingerprints(docs, identity), "fingerprints")
-    order = F.min(F.struct(F.col("doc_id").isNull().alias("late"), "doc_id", "__h1", "__h2"))
+    number = "row"
+    while number in (c.lower() for c in docs.columns):
+        number += "_"
+    rows = staged(docs.select("*", F.monotonically_increasing_id().alias(number)), "numbered")
+    # Only a tie of doc_id asks for the contents; as JSON, nulls in different columns are different, and maps can be hashed.
+    others = [F.col(f"`{c.replace('`', '``')}`").alias(f"c{i}") for i, c in enumerate(docs.columns) if c != "text"]
+    identity = {"text_hash": F.xxhash64("text"), "rest_hash": F.xxhash64(F.to_json(F.struct(*others))), "number": F.col(number)}
+    prints = staged(fingerprints(rows, identity), "fingerprints")
+    order = F.min(F.struct(F.col("doc_id").isNull().alias("late"), "doc_id", *identity))
     best = prints.groupBy("fp").agg(order.alias("best"))
-    kept = best.join(_components(prints, radius), "fp").groupBy("component").agg(F.min("best").alias("best")).select("best.__h1", "best.__h2")
-    rows = docs.select("*", *[c.alias(n) for n, c in identity.items()])
-    return rows.join(kept, ["__h1", "__h2"], "left_semi").dropDuplicates(["__h1", "__h2"]).select(*docs.columns)
+    kept = best.join(_components(prints, radius), "fp").groupBy("component").agg(F.min("best").alias("best")).select(F.col("best.number").alias(number))
+    return rows.join(kept, number, "left_semi").drop(number)

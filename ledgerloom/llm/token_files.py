@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ledgerloom.llm.folds import by_hash
+from ledgerloom.llm.folds import by_hash, texts
 from ledgerloom.llm.tokens import batches, byte_encoder, tokenizer_path
 
 BLOCKS = "shard int, block int, first_doc long, last_doc long, doc_ids array<long>, token_counts array<long>, first_token long, offsets array<long>, frames binary, width int, dictionary_hash string"
@@ -70,7 +70,8 @@ def write_token_files(
             yield pa.RecordBatch.from_arrays([pa.array([np.append(ids[a : min(b, a + sample_ids)], end_id).astype(f"<u{width}").tobytes() for a, b in zip(offs[:-1], offs[1:])], pa.binary())], ["data"])
 
     # The sample is chosen by ids alone, and at most sample_docs of them are broadcast.
-    picked = rows.join(F.broadcast(by_hash(rows.where("doc_id is not null").select("doc_id").distinct(), sample_docs)), "doc_id").select("doc_id", "text").dropDuplicates(["doc_id"])
+    picked = by_hash(rows.where("doc_id is not null").select("doc_id").distinct(), sample_docs).withColumn("label", F.lit(0))
+    picked = texts(rows, picked).select("doc_id", "text")
     data = train_dictionary(sorted(bytes(r.data) for r in picked.mapInArrow(sample, "data binary").collect()), dictionary_bytes)
     digest = hashlib.sha256(data).hexdigest()
     spark.createDataFrame([(digest, bytearray(data))], "dictionary_hash string, data binary").coalesce(1).write.parquet(f"{folder}/dictionary")
@@ -108,7 +109,8 @@ def write_token_files(
 
     arrow = pa.schema([("shard", pa.int32()), ("block", pa.int32()), ("first_doc", pa.int64()), ("last_doc", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("token_counts", pa.list_(pa.int64())), ("first_token", pa.int64()), ("offsets", pa.list_(pa.int64())), ("frames", pa.binary()), ("width", pa.int32()), ("dictionary_hash", pa.string())])
     # Range bounds come from sampled keys, which go to the driver: so a text's hash, not the text.
-    placed = rows.withColumn("h", F.xxhash64("text")).repartitionByRange(shards, "doc_id", "h").sortWithinPartitions("doc_id", "h", "text").drop("h")
+    # Rows alike in both, in whatever order, are cut by a number.
+    placed = rows.withColumn("h", F.xxhash64("text")).withColumn("salt", F.monotonically_increasing_id()).repartitionByRange(shards, "doc_id", "h", "salt").sortWithinPartitions("doc_id", "h", "text").select("doc_id", "text")
     placed.mapInArrow(blocks, BLOCKS).write.option("compression", "none").parquet(f"{folder}/blocks")
     return folder
 

@@ -7,7 +7,7 @@ sentences, 1 - prod(1 - p).  Weights are fitted on document labels alone, by
 gradient descent through the noisy-or, and then locate the offending sentences.
 
 Fitting uses a bounded sample of the labelled rows: ``max_toxic`` and ``max_clean`` documents by
-hash order, one text of a repeated doc_id, of texts up to ``max_chars`` characters, weighted back
+hash order, one text of a repeated doc_id, however long, weighted back
 to the share they have among all labels.  Tasks count features and turn the sample's texts into feature
 numbers, so no text goes to the driver.  Scoring reads every text whole.
 
@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.folds import by_hash, keep_rows, texts
+from ledgerloom.llm.folds import by_hash, texts
 from ledgerloom.plans.shared import staged
 
 TOKEN = re.compile(r"[^\W\d_]+|[.!?\n]+")
@@ -187,14 +187,14 @@ class Scorer:
         return out
 
 
-def train(docs: DataFrame, labels: DataFrame, max_toxic: int = 3000, max_clean: int = 5000, max_chars: int = 200_000) -> Model:
+def train(docs: DataFrame, labels: DataFrame, max_toxic: int = 3000, max_clean: int = 5000) -> Model:
     """docs: doc_id, text; labels: doc_id, label (0, 1), of the rows that may be learnt from. Tasks turn texts into bags of feature numbers; these alone reach the driver."""
     spark = docs.sparkSession
     labels = labels.where("doc_id is not null and label is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("label").cast("int").alias("label"))
     shares = {r.label: r.n for r in labels.groupBy("label").agg(F.count("*").alias("n")).collect()}  # two rows
     toxic_share = shares.get(1, 0) / max(1, sum(shares.values()))
     picked = by_hash(labels.where("label = 1"), max_toxic).unionByName(by_hash(labels.where("label = 0"), max_clean))
-    sample = staged(texts(docs.where(F.coalesce(F.length("text"), F.lit(0)) <= max_chars), picked), "sample")
+    sample = staged(texts(docs, picked), "sample")
     numbers = {r.label: r.n for r in sample.groupBy("label").agg(F.count("*").alias("n")).collect()}  # two rows
     if len(numbers) < 2:
         return Model({}, 0.0, toxic_share)
@@ -249,8 +249,10 @@ def keep_clean(docs: DataFrame, model: Model, least: float = 0.5) -> DataFrame:
         return docs
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    def make():
+    @F.arrow_udf("boolean")
+    def clean(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         scorer = Scorer(shared.value)
-        return lambda batch: [scorer.score(t)[0] < least for t in batch]
+        for batch in batches:
+            yield pa.array([scorer.score(t.as_py())[0] < least for t in batch], pa.bool_())
 
-    return keep_rows(docs, make)
+    return docs.where(clean(F.coalesce("text", F.lit(""))))

@@ -37,21 +37,21 @@ def test_forest():
 
 
 def brute_vectors(rows, threshold):
-    good = [(i, np.array(v, float)) for i, v in rows if i is not None and v and all(x is not None and np.isfinite(x) for x in v) and any(v)]
-    links = {i: [] for i, _ in good}
-    pairs = []
+    """By row number, as ids may be missing."""
+    good = [(k, np.array(v, float)) for k, (_, v) in enumerate(rows) if v and all(x is not None and np.isfinite(x) for x in v) and any(v)]
+    links, pairs = {k: 0 for k, _ in good}, []
     for a in range(len(good)):
         for b in range(a + 1, len(good)):
             (i, x), (j, y) = good[a], good[b]
             if len(x) == len(y) and x @ y / np.sqrt(x @ x) / np.sqrt(y @ y) >= threshold:
-                links[i].append(j), links[j].append(i)
+                links[i] += 1
+                links[j] += 1
                 pairs.append((a, b))
-    parts = components(len(good), pairs)
-    least = {}
-    for k, (i, _) in enumerate(good):
-        least[parts[k]] = min(i, least.get(parts[k], i))
-    known = {i: (len(links[i]), least[parts[k]]) for k, (i, _) in enumerate(good)}
-    return sorted(((i, *known.get(i, (0, i)), known.get(i, (0, i))[1] == i) for i, _ in rows), key=str)
+    parts, members = components(len(good), pairs), {}
+    for a, (k, _) in enumerate(good):
+        members.setdefault(parts[a], []).append(rows[k][0])
+    least = {k: min((i for i in members[parts[a]] if i is not None), default=None) for a, (k, _) in enumerate(good)}
+    return sorted(((i, links.get(k, 0), least.get(k, i), least.get(k, i) == i) for k, (i, _) in enumerate(rows)), key=str)
 
 
 @pytest.mark.parametrize("block_rows", [4096, 32])
@@ -60,6 +60,7 @@ def test_vectors(spark, block_rows, monkeypatch):
     centres = rng.standard_normal((20, 16))
     rows = [(i, (centres[i % 20] + rng.standard_normal(16) * rng.choice([0.05, 0.3, 3])).astype(np.float32).tolist()) for i in range(300)]
     rows += [(1000 + i, rows[0][1]) for i in range(50)] + [(2000, None), (2001, [0.0] * 16), (2002, [float("nan")] * 16), (2003, [None] * 16), (2004, [1.0, 2.0]), (2005, [2.0, 4.0]), (2006, [float("inf")] * 16), (2007, [])]
+    rows += [(None, rows[3][1]), (None, rows[3][1]), (None, [-50.0 + i for i in range(16)]), (None, [-50.0 + i for i in range(16)]), (None, None)]  # vectors without an id link too
     df = spark.createDataFrame(rows, "vec_id long, embedding array<float>").withColumn("rep", F.lit("clash"))
     links = embedding_dedup.links
     monkeypatch.setattr(embedding_dedup, "links", lambda *a: links(*a, block_rows=block_rows))
@@ -291,3 +292,18 @@ def test_texts_that_share_an_id_stay(spark):
     rows = [(1, unlike[0]), (1, unlike[1]), (None, unlike[2]), (None, unlike[3]), (2, unlike[0]), (None, unlike[1])]
     kept = simhash.keep_first(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert sorted(((r.doc_id, r.text) for r in kept), key=str) == sorted(rows[:4], key=str)
+
+
+def test_keep_first_keeps_what_differs_in_any_column(spark):
+    """Nulls in different columns, maps, dotted names and names that were inner ones: no row vanishes, nothing crashes."""
+    words = "alpha beta gamma delta epsilon zeta eta theta"
+    rows = [(None, words, None, {"a": 1}), (None, None, words, {"a": 1}), (1, "other words of another kind altogether here", None, None), (1, "other words of another kind altogether here", "x", {"b": 2}), (1, "other words of another kind altogether here", "x", {"b": 2})]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, `a.b` string, m map<string,int>")
+    for name in ("__h1", "row", "Row_", "number", "text_hash", "fp"):
+        docs = docs.withColumn(name, F.lit(5))
+    for parts in (1, 4):
+        kept = simhash.keep_first(docs.repartition(parts))
+        assert kept.columns == docs.columns
+        got = sorted(((r.doc_id, r.text, r["a.b"]) for r in kept.collect()), key=str)
+        assert len(got) == 3
+        assert {(r[0], r[1]) for r in got} == {(None, words), (None, None), (1, rows[2][1])}

@@ -109,3 +109,14 @@ def test_unfitted_models_drop_nothing(spark, monkeypatch):
         monkeypatch.setattr(corpus_pipeline, "read_table", lambda *a, frame=frame: frame)
         for stage in (corpus_pipeline.drop_toxic, corpus_pipeline.keep_good):
             assert sorted(map(tuple, stage(spark, docs, SMALL).collect()), key=str) == [(1, "one text"), (2, "other text"), (None, None)]
+
+
+def test_stages_take_any_column(spark):
+    """Columns named as descriptions are, maps and dotted names pass through all filters."""
+    docs = read_table(spark, SMALL, "documents").limit(60)
+    docs = docs.withColumn("__quality_x", F.lit("mine")).withColumn("description", F.lit(3)).withColumn("a.b", F.lit(1)).withColumn("m", F.create_map(F.lit("k"), F.col("doc_id")))
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        after = staged(stage(spark, docs, SMALL), name)
+        assert after.columns == docs.columns and after.where("__quality_x <> 'mine' or description <> 3 or `a.b` <> 1 or m['k'] <> doc_id").count() == 0
+        docs = after
+    assert corpus_pipeline.STAGES[-1][1](spark, docs, SMALL).count() > 0

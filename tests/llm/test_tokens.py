@@ -179,3 +179,15 @@ def test_packing_spreads_equal_tails(spark):
         assert all(a + n == b for (a, n), (b, _) in zip(pieces, pieces[1:])) and pieces[0][0] == 0 and sum(n for _, n in pieces) <= 1024
     total = sum(len(library.encode(t, add_special_tokens=False).ids) + 1 for _, t in rows)
     assert sum(r.length for r in out) == total and len(spots) == -(-total // 1024)
+
+
+def test_rows_alike_are_several_shards(spark):
+    """Repeated rows of one doc_id and text are cut by a number, and the dictionary doesn't depend on partitions."""
+    docs = spark.createDataFrame([(1, "same words again")] * 400 + [(1, "other"), (2, "b"), (None, "c")], "doc_id long, text string")
+    seen = set()
+    for parts in (2, 5):
+        folder = token_files.write_token_files(docs.repartition(parts), fresh_path(spark, "tokens"), shards=4)
+        assert token_files.read_blocks(spark, folder).where("array_contains(doc_ids, 1)").select("shard").distinct().count() > 1
+        assert token_files.read_token_files(spark, folder).count() == 403
+        seen |= {r.dictionary_hash for r in token_files.read_blocks(spark, folder).collect()}
+    assert len(seen) == 1
