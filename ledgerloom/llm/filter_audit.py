@@ -12,7 +12,9 @@ its own; a run that died goes on from its checkpoint when it is given the same f
 
 Before the shuffle to the state a task combines its rows of one text to one, so a text that a third of all
 documents share is a row a batch of rows.  Texts are known by their SHA-256.  A key of the state is a group of some 32 texts,
-because a call for each text would cost more than its work.
+because a call for each text would cost more than its work; a checkpoint keeps its number of partitions, so that follows the number of
+documents.  The state lies in the store that the session names (``spark.sql.streaming.stateStore.providerClass``): Spark's default holds it in executors'
+memory, some 150 bytes a text; where that is too much, name RocksDB's, which holds it on disk.
 
 Defined cases: null text is empty; a null source is the part ''; a null doc_id is never larger than another, so E never holds for it, and it
 makes no other document fail; rows of the smallest doc_id don't fail E, however many; a doc_id with several labels is good or toxic
@@ -45,23 +47,18 @@ HAVE, LARGER, NONE = 0, 1, 2
 COMBINED = "bucket long, same binary, mask int, doc_id long, who array<struct<part:string,good:boolean,toxic:boolean,kind:int,n:long>>"
 STATE = "texts array<struct<same:binary,doc_id:long,mask:int,who:array<struct<part:string,good:boolean,toxic:boolean,n:long>>>>"
 DELTAS = "part string, good boolean, toxic boolean, mask int, delta long"
-#: RocksDB keeps the state on disk, so memory doesn't bound the number of texts; a commit writes its changes only.
-STORE = {
-    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
-    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
-}
-
 
 def own_mask(text: str, words: str) -> Column:
-    """The bits of A to D, from a text and its words."""
-    n, capitals = F.size(words), F.length(text) - F.length(F.regexp_replace(text, "[A-Z]", ""))
-    fails = [n < 50, F.size(F.array_distinct(words)) * 100 < n * 65, capitals * 100 > F.length(text) * 5, F.col(text).rlike(r"[#$%&*|]")]
+    """The bits of A to D, from a text and its words (null: none)."""
+    n, capitals = F.coalesce(F.size(words), F.lit(0)), F.regexp_count(text, F.lit("[A-Z]"))
+    fails = [n < 50, F.coalesce(F.size(F.array_distinct(words)), F.lit(0)) * 100 < n * 65, capitals * 100 > F.length(text) * 5, F.col(text).rlike(r"[#$%&*|]")]
     return sum((F.when(f, F.lit(1 << i)).otherwise(F.lit(0)) for i, f in enumerate(fails)), F.lit(0))
 
 
 def masked(docs: DataFrame, buckets: int) -> DataFrame:
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("source").cast("string"), F.lit("")).alias("part"), F.coalesce("text", F.lit("")).alias("text"))
-    rows = rows.select("doc_id", "part", "text", F.filter(F.split("text", WORD), lambda w: w != "").alias("words"))
+    rows = rows.select("doc_id", "part", "text", F.trim(F.col("text"), F.lit(" \t\n\x0b\x0c\r")).alias("bare"))
+    rows = rows.select("doc_id", "part", "text", F.when(F.col("bare") != "", F.split("bare", WORD)).alias("words"))
     rows = rows.select("doc_id", "part", own_mask("text", "words").alias("mask"), F.unhex(F.sha2("text", 256)).alias("same"))
     return rows.withColumn("bucket", F.pmod(F.xxhash64("same"), F.lit(buckets)))
 
@@ -125,14 +122,15 @@ def retract(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> It
     yield pd.DataFrame(rows, columns=["part", "good", "toxic", "mask", "delta"]).astype({"mask": "int32", "delta": "int64", "good": "bool", "toxic": "bool", "part": "object"})
 
 
-def count_masks(spark: SparkSession, path: str, labels: DataFrame, folder: str | None = None, batches: int = 4, texts_a_key: int = 32) -> DataFrame:
+def count_masks(spark: SparkSession, path: str, labels: DataFrame, folder: str | None = None, batches: int = 4, texts_a_key: int = 32, docs_a_partition: int = 1_000_000) -> DataFrame:
     """(part, mask, n, good, toxic) over all documents in the Parquet files at path, read in about ``batches`` micro-batches.
 
     folder: where the checkpoint and the deltas lie; a run that died goes on when it is given the same one.
     """
     folder = folder or fresh_path(spark, "audit")
     table = spark.read.parquet(path)
-    buckets = max(1, math.ceil(table.count() / texts_a_key))
+    n = table.count()
+    buckets = max(1, math.ceil(n / texts_a_key))
     files = max(1, math.ceil(len(table.inputFiles()) / batches))
     # A stream wants a folder or a pattern; a pattern stands for a file too.
     stream = spark.readStream.schema(table.schema).option("maxFilesPerTrigger", files).parquet(f"{path[:-1]}[{path[-1]}]")
@@ -146,14 +144,12 @@ def count_masks(spark: SparkSession, path: str, labels: DataFrame, folder: str |
     def batch(frame: DataFrame, number: int) -> None:
         frame.groupBy("part", "mask", "good", "toxic").agg(F.sum("delta").alias("delta")).write.mode("overwrite").parquet(f"{folder}/deltas/batch={number}")
 
-    before = {k: spark.conf.get(k, None) for k in STORE}
-    try:
-        for k, v in STORE.items():
-            spark.conf.set(k, v)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", max(spark.sparkContext.defaultParallelism, math.ceil(n / docs_a_partition)))
+    try:  # a query takes the settings that hold when it starts
         query = deltas.writeStream.foreachBatch(batch).outputMode("update").option("checkpointLocation", f"{folder}/checkpoint").trigger(availableNow=True).start()
     finally:
-        for k, v in before.items():
-            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+        spark.conf.set("spark.sql.shuffle.partitions", before)
     try:
         query.awaitTermination()
     finally:
