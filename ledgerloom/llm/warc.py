@@ -65,12 +65,15 @@ def skippable(magic: int, content: bytes) -> bytes:
     return magic.to_bytes(4, "little") + len(content).to_bytes(4, "little") + content
 
 
-def classes(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
-    """page_id, url, payload, row (a number of its own), and of its class's response first_id and first_row; for a response row = first_row."""
+def numbered(pages: DataFrame) -> DataFrame:
+    """page_id, url, payload, same (its SHA-256) and row, a number of its own. Written once, so that a row's number stays whatever tasks are run again."""
     payload = F.coalesce(F.col("html"), F.lit("")).cast("binary")
     named = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), payload.alias("payload"))
-    # Written once, so that a row's number stays whatever tasks are run again.
-    rows = staged(named.select("*", F.sha2("payload", 256).alias("same"), F.monotonically_increasing_id().alias("row")), "payloads")
+    return staged(named.select("*", F.sha2("payload", 256).alias("same"), F.monotonically_increasing_id().alias("row")), "payloads")
+
+
+def classes(rows: DataFrame, least_bytes: int = 0) -> DataFrame:
+    """From numbered rows page_id, url, payload, row, and of its class's response first_id and first_row; for a response row = first_row."""
     shared = rows.where(F.octet_length("payload") >= least_bytes)
     first = shared.groupBy("same").agg(F.min(F.struct(F.col("page_id").isNull().alias("late"), "page_id", "row")).alias("first"))
     found = rows.join(first, "same", "left").select("page_id", "url", "payload", "row", F.col("first.page_id").alias("first_id"), F.col("first.row").alias("first_row"))
@@ -86,9 +89,12 @@ def write_archives(
 
     The dictionary is trained on the first sample_bytes bytes of at most sample_pages pages; these bounds touch the dictionary only.
     """
-    rows = classes(pages, least_bytes)
-    picked = pages.select(F.xxhash64("page_id", "html").alias("h"), F.substring(F.coalesce(F.col("html"), F.lit("")).cast("binary"), 1, sample_bytes).alias("x"))
-    data = train_dictionary([bytes(r.x) for r in picked.orderBy("h", "x").limit(sample_pages).collect() if len(r.x)], dictionary_bytes)
+    whole = numbered(pages)
+    # Chosen by hashes alone, so that tasks send no texts that aren't in the sample.
+    picked = F.broadcast(whole.select("row", F.xxhash64("same", "page_id").alias("h")).orderBy("h", "row").limit(sample_pages))
+    sample = whole.join(picked, "row").select("h", F.substring("payload", 1, sample_bytes).alias("x")).collect()
+    data = train_dictionary(sorted(bytes(r.x) for r in sample if len(r.x)), dictionary_bytes)
+    rows = classes(whole, least_bytes)
 
     def run(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         packer = zstandard.ZstdCompressor(level=level, dict_data=opener(data), write_checksum=True, write_content_size=True)
