@@ -1,4 +1,4 @@
-"""Resolver edges: closure, merging, undoing, pruning (G-01, G-03 to G-05, J-14)."""
+"""Resolver edges: closure, merging, undoing, pruning, the store of candidates (G-01, G-03 to G-05, J-14)."""
 
 from __future__ import annotations
 
@@ -59,3 +59,21 @@ def prune_decided(pairs: DataFrame, edges: DataFrame, link: DataFrame) -> DataFr
     negative = judged.where("judgement = 'negative'").select("source", "target")
     apart = negative.join(of("source", "__s"), "source", "left").join(of("target", "__t"), "target", "left").select(pair_key(F.coalesce("__s", "source"), F.coalesce("__t", "target")).alias("__key")).distinct()
     return out.join(apart, pair_key("__a", "__b") == F.col("__key"), "left_anti").select(*pairs.columns)
+
+
+def store_candidates(edges: DataFrame, found: DataFrame) -> DataFrame:
+    """The edges after another xref: one live candidate a pair. A pair that was a candidate gets its new score, a new one is added, those that weren't found again stay, and judged pairs never come back."""
+    key = pair_key("source", "target")
+    live = F.col("deleted_at").isNull()
+    open_ = live & (F.col("judgement") == "no_judgement")
+    judged = edges.where(live & (F.col("judgement") != "no_judgement")).select(key.alias("__key")).distinct()
+    new = found.withColumn("__key", key).join(judged, "__key", "left_anti")
+    best = new.groupBy("__key").agg(F.max(F.struct("score", "source", "target", "judgement", "user", "created_at", "deleted_at")).alias("__new"))
+    # Of several candidates for one pair the first made stays.
+    first = edges.where(open_).groupBy(key.alias("__key")).agg(F.min(F.struct("created_at", "source", "target", "user", "score")).alias("__old"))
+    both = first.join(best, "__key", "full")
+    old = F.col("__old").isNotNull()
+    pick = lambda c: F.when(old, F.col(f"__old.{c}")).otherwise(F.col(f"__new.{c}")).alias(c)
+    judgement = F.coalesce("__new.judgement", F.lit("no_judgement")).alias("judgement")
+    rows = both.select(pick("source"), pick("target"), judgement, F.coalesce("__new.score", "__old.score").alias("score"), pick("user"), pick("created_at"), F.lit(None).cast("timestamp").alias("deleted_at"))
+    return edges.where(~open_).unionByName(rows.select(*edges.columns))

@@ -486,6 +486,38 @@ def xref_exact_names(spark, d):
     return out.where("judgement = 'positive'").select("source", "target", "score")
 
 
+_NEIGHBOURS = """, nb AS (SELECT lag(pid) OVER w AS a1, lag(pid, 2) OVER w AS a2, pid FROM pid WINDOW w AS (PARTITION BY p_name, p_brand ORDER BY p_partkey)),
+  pairs AS (SELECT a1 AS l, pid AS r FROM nb WHERE a1 IS NOT NULL UNION ALL SELECT a2, pid FROM nb WHERE a2 IS NOT NULL), judged AS (SELECT source, target, judgement FROM edges WHERE NOT deleted AND judgement <> 'no_judgement'),
+  c AS (SELECT l, r, a.canonical_id AS ca, b.canonical_id AS cb FROM pairs JOIN linker a ON a.entity_id = l JOIN linker b ON b.entity_id = r),
+  apart AS (SELECT DISTINCT least(a.canonical_id, b.canonical_id) AS x, greatest(a.canonical_id, b.canonical_id) AS y FROM judged JOIN linker a ON a.entity_id = source JOIN linker b ON b.entity_id = target WHERE judgement = 'negative')"""
+
+
+@query("WITH " + V.PART_EDGES + _NEIGHBOURS + """ SELECT l AS left_id, r AS right_id FROM c WHERE ca <> cb AND NOT EXISTS (SELECT 1 FROM judged WHERE least(source, target) = least(l, r) AND greatest(source, target) = greatest(l, r)) AND NOT EXISTS (SELECT 1 FROM apart WHERE x = least(ca, cb) AND y = greatest(ca, cb))""")
+def decided_pairs(spark, d):
+    """J-14: of parts next to each other in a chain, or with one between them, the pairs that nothing has decided."""
+    edges = staged(V.part_edges(spark, d), "edges")
+    p = read_table(spark, d, "part")
+    k = F.col("p_size") % 7
+    pid = F.concat(F.when(k == 0, "Q").when(k == 1, "NK-").otherwise("part-"), F.col("p_partkey").cast("string"))
+    w = Window.partitionBy("p_name", "p_brand").orderBy("p_partkey")
+    near = p.select(pid.alias("right_id"), F.lag(pid, 1).over(w).alias("one"), F.lag(pid, 2).over(w).alias("two")).select(F.explode(F.array("one", "two")).alias("left_id"), "right_id").where("left_id is not null")
+    return resolver.prune_decided(near, edges, resolver.linker(edges))
+
+
+@query("WITH " + V.STMT + """, n AS (SELECT entity_id AS id, lower(value) AS name FROM stmt WHERE dataset = 'parts' AND prop = 'name'), neg AS (SELECT 'part-' || sha1(p_partkey::VARCHAR) AS id FROM part WHERE p_partkey % 10 = 0)
+  SELECT a.id AS source, b.id AS target, CASE WHEN a.id IN (SELECT id FROM neg) AND b.id IN (SELECT id FROM neg) THEN 'negative' ELSE 'no_judgement' END AS judgement, CASE WHEN a.id IN (SELECT id FROM neg) AND b.id IN (SELECT id FROM neg) THEN NULL ELSE 1.0::DOUBLE END AS score FROM n a JOIN n b ON a.name = b.name AND a.id < b.id""")
+def candidate_store(spark, d):
+    """G-02: parts of one name, crossed twice into one store; between the runs pairs of parts with keys that end in 0 are told apart, and scores are old ones."""
+    stmt = staged(V.actor_statements(spark, d).where("dataset = 'parts'"), "statements")
+    run = lambda edges: xref.xref(stmt, edges, limit=None, algorithm="exact-name")
+    store = staged(resolver.store_candidates(resolver.new_edges(spark.createDataFrame([], "source string, target string"), "negative"), run(resolver.new_edges(spark.createDataFrame([], "source string, target string"), "negative"))).withColumn("score", F.lit(0.5).cast("double")), "store")
+    tens = read_table(spark, d, "part").where("p_partkey % 10 = 0").select(S.make_id("part", "p_partkey").alias("id"))
+    told = store.join(tens.select(F.col("id").alias("source")), "source", "left_semi").join(tens.select(F.col("id").alias("target")), "target", "left_semi").select("source", "target")
+    store = staged(store.join(told, ["source", "target"], "left_anti").unionByName(resolver.new_edges(told, "negative")), "store")
+    store = staged(resolver.store_candidates(store, run(store)), "store")
+    return resolver.store_candidates(store, run(store)).select("source", "target", "judgement", "score")
+
+
 @query("WITH " + V.PART_EDGES + " SELECT least(source, target) || '::' || greatest(source, target) AS pair_key, score FROM edges WHERE judgement = 'no_judgement' AND NOT deleted ORDER BY score DESC, pair_key LIMIT 200")
 def candidate_queue(spark, d):
     return xref.candidate_queue(V.part_edges(spark, d), 200).select("pair_key", "score")

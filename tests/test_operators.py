@@ -342,6 +342,45 @@ def test_xref_frequent_tokens(spark):
         assert all((r.left_name, r.right_name) == (dict((x[0], x[2]) for x in rows)[r.left_id], dict((x[0], x[2]) for x in rows)[r.right_id]) for r in got[:50])
 
 
+@pytest.mark.parametrize(("limit", "cheap"), [(40, 0), (40, None), (700, 0), (10**6, 0)])
+def test_best_pairs_equal_all_pairs(spark, limit, cheap):
+    """The best pairs, ties on the last score too, are those of all pairs; short and long names, names of one token, decided pairs."""
+    import random
+
+    r = random.Random(limit)
+    words = ["acme", "holding", "group", "ltd", "ab", "x", "widgets", "north", "northern", "norton"] + [f"{i:05}" for i in range(60)]
+    names = [" ".join(r.sample(words, r.randint(1, 4))) for _ in range(160)] + ["acme group"] * 6 + ["abc", "abd", "abe f"] + ["long words " * 9 + f"and tail {i}" for i in range(5)]
+    rows = [(f"e{i:03}", "Company", n, r.choice(["gb", "fr", None]), [r.choice(["d1", "d2"])]) for i, n in enumerate(names)]
+    entities_ = spark.createDataFrame(rows, "id string, schema string, name string, country string, datasets array<string>")
+    undecided = lambda p: p.where("not (left_id like '%1' and right_id like '%2')")
+    scored = undecided(xref.score_pairs(xref.block_pairs(entities_)).select("left_id", "right_id", "score")).collect()
+    order = lambda rs: sorted((-round(x.score, 9), x.left_id, x.right_id) for x in rs)
+    got = xref.best_pairs(entities_, limit, undecided, cheap=cheap).collect()
+    assert len({(x.left_id, x.right_id) for x in got}) == len(got)
+    assert order(got)[:limit] == order(scored)[:limit] and len(scored) > 700
+
+
+def test_best_pairs_look_at_few(spark, monkeypatch):
+    """A token in every name: what is looked at grows with the names, not with their square."""
+    seen = {}
+    inner = xref._name_pairs
+    monkeypatch.setattr(xref, "_name_pairs", lambda names, blocks, c: seen.update(rest=inner(names, blocks, c).count()) or inner(names, blocks, c))
+    rows = [(f"e{i:04}", "Company", f"Customer {i * 7919 % 100003:08}", "gb", ["d"]) for i in range(3000)]
+    entities_ = spark.createDataFrame(rows, "id string, schema string, name string, country string, datasets array<string>")
+    assert xref.best_pairs(entities_, 50, lambda p: p, cheap=0).count() >= 50
+    assert seen["rest"] < 30_000 < 3000 * 2999 / 2
+
+
+def test_candidate_store(spark):
+    edge = lambda s, t, j, x, gone=None: (s, t, j, x, "u", datetime(2024, 1, 1), gone)
+    edges_ = spark.createDataFrame([edge("a", "b", "no_judgement", 0.1), edge("b", "a", "no_judgement", 0.2), edge("c", "d", "negative", None), edge("e", "f", "no_judgement", 0.3), edge("g", "h", "no_judgement", 0.4, datetime(2024, 1, 2))], EDGES)
+    found = spark.createDataFrame([edge("a", "b", "no_judgement", 0.9), edge("c", "d", "no_judgement", 0.9), edge("h", "g", "no_judgement", 0.8), edge("i", "j", "positive", 1.0)], EDGES)
+    for _ in range(2):
+        edges_ = resolver.store_candidates(edges_, found)
+        live = sorted((r.source, r.target, r.judgement, r.score) for r in edges_.where("deleted_at is null").collect())
+        assert live == [("a", "b", "no_judgement", 0.9), ("c", "d", "negative", None), ("e", "f", "no_judgement", 0.3), ("h", "g", "no_judgement", 0.8), ("i", "j", "positive", 1.0)]
+
+
 def test_writes(spark):
     spec = spark.createDataFrame(
         [("Company", "test", "source-1", None, ["acme-inc"], None, ["name=ACME Inc", "country=us"]), ("Person", "test", "s", "person-1", None, None, ["name=Alice Example", "notes=Updated"]), ("Person", "test", "s", None, None, None, ["notARealProp=x"]), ("Person", "test", "s", None, None, None, ["name"])],
