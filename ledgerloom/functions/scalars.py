@@ -10,13 +10,15 @@ def _c(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-#: White space of Unicode, with the four separators U+001C to U+001F, as a class of a pattern.
-SPACE = r"[\x{9}-\x{D}\x{1C}-\x{20}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
+#: White space of Unicode, with the four separators U+001C to U+001F.
+SPACES = "".join(map(chr, [*range(0x9, 0xE), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
+#: What isn't one U+0020 between two other characters; a pattern looks up single small characters in a bit set, so they are named one by one.
+_ODD = "[" + "".join(f"\\x{{{ord(x):X}}}" for x in SPACES if ord(x) < 0x100 and x != " ") + r"\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
 
 
 def strip(c: Column | str) -> Column:
-    """Without white space at its ends; F.trim knows U+0020 only."""
-    return F.regexp_replace(_c(c), f"^{SPACE}+|{SPACE}+$", "")
+    """Without white space at its ends; F.trim alone knows U+0020 only."""
+    return F.trim(_c(c), F.lit(SPACES))
 
 
 def clean_string(c: Column | str) -> Column:
@@ -27,7 +29,8 @@ def clean_string(c: Column | str) -> Column:
 
 def normalize_ws(c: Column | str) -> Column:
     """P-02: runs of white space become one space; trimmed."""
-    return F.trim(F.regexp_replace(_c(c), f"{SPACE}+", " "))
+    # Only what changes matches: a single space stays where it is.
+    return F.trim(F.regexp_replace(_c(c), f"(?: *{_ODD})+ *|  +", " "))
 
 
 def parse_amount(c: Column | str) -> Column:

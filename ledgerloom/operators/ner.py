@@ -174,15 +174,21 @@ def drop_replaced(stmt: DataFrame, replacements: DataFrame) -> DataFrame:
 
 
 def rewrite_references(stmt: DataFrame, replacements: DataFrame, ontology: Ontology = ONTOLOGY) -> tuple[DataFrame, DataFrame]:
-    """J-05: the statements that don't point at a replaced entity, and a clone for each fragment whose schema fits the property's range. stmt is read twice, the second time for its entity-typed rows alone."""
+    """J-05: the statements that don't point at a replaced entity, and a clone for each fragment whose schema fits the property's range.
+
+    Only entity-typed rows are joined by value; all others pass by.
+    """
     dim = F.broadcast(ontology.schema_dim(stmt.sparkSession).select("schema", "ancestors"))
     targets = replacements.select("entity_id", "fragment_id", "schema").distinct().join(dim, "schema").groupBy(F.col("entity_id").alias("__old")).agg(F.collect_list(F.struct("fragment_id", "ancestors")).alias("__targets"))
-    points = (F.col("prop_type") == "entity") & (F.col("value") == F.col("__old"))
     ranges = F.broadcast(ontology.prop_dim(stmt.sparkSession).select("schema", "prop", "range"))
     fits = F.filter("__targets", lambda t: F.col("range").isNull() | F.array_contains(t["ancestors"], F.col("range")))
-    hits = stmt.where("prop_type = 'entity'").join(targets, points).join(ranges, ["schema", "prop"], "left").withColumn("__t", F.explode(fits))
-    clones = hits.withColumn("value", F.col("__t.fragment_id")).select(*stmt.columns).withColumn("id", statement_id())
-    return stmt.join(targets.select("__old"), points, "left_anti").select(*stmt.columns), clones.dropDuplicates(["id"])
+    # null: the row stays as it is; a pointing row becomes its clones.
+    to = F.when(F.col("__old").isNull(), F.array(F.lit(None).cast("string"))).otherwise(F.transform(fits, lambda t: t["fragment_id"]))
+    pointing = stmt.where("prop_type = 'entity'").join(targets, F.col("value") == F.col("__old"), "left").join(ranges, ["schema", "prop"], "left")
+    pointing = staged(pointing.withColumn("__to", F.explode(to)).select(*stmt.columns, "__to"), "pointing")
+    clones = pointing.where("__to is not null").withColumn("value", F.col("__to")).select(*stmt.columns).withColumn("id", statement_id())
+    kept = stmt.where("not (prop_type <=> 'entity')").unionByName(pointing.where("__to is null").drop("__to"))
+    return kept, clones.dropDuplicates(["id"])
 
 
 def union_replaced(kept: DataFrame, rewritten: DataFrame, created: DataFrame) -> DataFrame:

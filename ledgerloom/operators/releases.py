@@ -14,7 +14,8 @@ from ledgerloom.operators.resolver import linker
 from ledgerloom.operators.search import search_view
 from ledgerloom.plans.shared import exists, remove
 from ledgerloom.sources.ledger import latest_artifacts, latest_per_type, latest_runs  # noqa: F401 (part of this module's interface)
-from ledgerloom.sources.snapshots import content_manifest, publish_tables, read_statements
+from ledgerloom.sources import commits
+from ledgerloom.sources.snapshots import FILE_ROWS, content_manifest, manifest, publish_tables, read_statements
 
 FINAL = ("succeeded", "failed")
 
@@ -74,7 +75,7 @@ def release_events(spark: SparkSession, root: str) -> DataFrame:
 def build_release(spark: SparkSession, root: str, runs: DataFrame, artifacts: DataFrame, cands: DataFrame, datasets: Sequence[str], release: str) -> tuple[str, DataFrame, DataFrame]:
     """R-02: the statements of the newest runs after replacements, written under the release; gives the path, its inputs and its manifest.
 
-    Inputs and manifest are written beside the statements, and the release is recorded as building, then built.
+    Inputs, manifest and the files with their SHA-256 and size are written beside the statements, and the release is recorded as building, then built.
     A build that fails removes what it wrote, is recorded as failed with its error, and can be run again.
     """
     path, about = f"{root}/releases/{release}", f"{root}/release-records/{release}"
@@ -84,7 +85,8 @@ def build_release(spark: SparkSession, root: str, runs: DataFrame, artifacts: Da
     try:
         release_inputs(runs, artifacts, datasets).write.mode("overwrite").parquet(f"{about}/inputs")
         stmt = read_statements(spark, root, datasets, runs=runs, artifacts=artifacts).drop("run_id")
-        apply_ner(stmt, cands).write.mode("errorifexists").partitionBy("dataset").parquet(path)
+        apply_ner(stmt, cands).write.mode("errorifexists").option("maxRecordsPerFile", FILE_ROWS).partitionBy("dataset").parquet(path)
+        manifest(spark, path).write.mode("overwrite").parquet(f"{about}/files")
         content_manifest(spark.read.parquet(path)).write.mode("overwrite").parquet(f"{about}/manifest")
     except Exception as e:
         remove(spark, path)
@@ -98,23 +100,38 @@ def build_release(spark: SparkSession, root: str, runs: DataFrame, artifacts: Da
 PUBLISHABLE = ("built", "published", "superseded")
 
 
-def publish(spark: SparkSession, release_path: str, status: str, edges: DataFrame, target: str, working: str, version: str) -> dict[str, str]:
-    """R-03: statements canonicalised by the live edges, the edges and the search view, all under a version of the target; gives their paths."""
-    if status not in PUBLISHABLE:
-        raise ValueError(f"a release that is {status} can't be published")
+def publish(spark: SparkSession, root: str, release: str, edges: DataFrame, target: str, working: str) -> dict[str, str]:
+    """R-03: the release's statements canonicalised by the live edges, the edges and the search view become what the target holds; gives their paths.
+
+    The ledger says whether the release may be published, and its records must be there. All is written to a version of its own, which
+    counts when the target's log names it; then the release is recorded as published. A publish that fails is recorded as failed and leaves the
+    target as it was; the release can be built again under another name.
+    """
     if target.rstrip("/") == working.rstrip("/"):
         raise ValueError("the target must differ from the working store")
-    stmt = spark.read.parquet(release_path)
-    if stmt.isEmpty():
-        raise ValueError("the release has no statements")
-    canonical = canonicalise(stmt, linker(edges))
-    paths = publish_tables(canonical, edges, target, version)
-    paths["search"] = f"{target}/{version}/search"
-    search_view(spark.read.parquet(paths["statements"])).write.mode("overwrite").parquet(paths["search"])
+    known = release_status(release_events(spark, root)).where(F.col("id") == release).first()
+    if known is None:
+        raise ValueError(f"there is no release {release}")
+    if known.status not in PUBLISHABLE:
+        raise ValueError(f"a release that is {known.status} can't be published")
+    path, about = f"{root}/releases/{release}", f"{root}/release-records/{release}"
+    if not exists(spark, path) or not exists(spark, f"{about}/manifest"):
+        raise ValueError(f"release {release} has no statements")
+    if not exists(spark, f"{about}/inputs") or spark.read.parquet(f"{about}/inputs").isEmpty():
+        raise ValueError(f"release {release} has no inputs")
+    version = uuid.uuid4().hex
+    try:
+        paths = publish_tables(canonicalise(spark.read.parquet(path), linker(edges)), edges, target, version)
+        paths["search"] = f"{target}/{version}/search"
+        search_view(spark.read.parquet(paths["statements"])).write.parquet(paths["search"])
+        commits.commit(spark, target, lambda now: {"release": release, "paths": paths})
+    except Exception as e:
+        record_release(spark, root, release, "failed", str(e)[:2000])
+        raise
+    record_release(spark, root, release, "published")
     return paths
 
 
-def point(paths: dict[str, str], spark: SparkSession, target: str, now: Column | None = None) -> None:
-    """Makes a version the current one: a single row, written last."""
-    rows = spark.createDataFrame(list(paths.items()), "kind string, path string").withColumn("at", F.current_timestamp() if now is None else now)
-    rows.coalesce(1).write.mode("overwrite").parquet(f"{target}/current")
+def published(spark: SparkSession, target: str) -> dict | None:
+    """What the target holds: the release, and the paths of its tables by kind; None before the first publish."""
+    return commits.newest(spark, target)

@@ -8,17 +8,30 @@ from pyspark.sql import functions as F
 from ledgerloom.functions.scalars import make_id, parse_properties
 from ledgerloom.operators.ner import clean_value
 from ledgerloom.plans.model import COLUMNS, ONTOLOGY, Ontology, conform, to_statements
+from ledgerloom.plans.shared import staged
 
+#: A column ``position`` (long) beside these puts specs for one id in order; without it their contents do.
 SPEC = "schema_name string, dataset string, source_ref string, entity_id string, id_parts array<string>, key_prefix string, property_items array<string>"
 
 
+def _placed(specs: DataFrame) -> DataFrame:
+    return specs if "position" in specs.columns else specs.withColumn("position", F.lit(None).cast("long"))
+
+
+def _last(built: DataFrame) -> DataFrame:
+    """Of the specs for one id the last by position (null first), then by contents: one aggregation, whatever the partitions."""
+    held = ["schema_name", "dataset", "source_ref", "properties"]
+    order = F.struct("position", F.to_json("properties"), "schema_name", "dataset", "source_ref")
+    return built.groupBy("entity_id").agg(F.max_by(F.struct(*held), order).alias("last")).select("entity_id", *[F.col(f"last.{c}").alias(c) for c in held])
+
+
 def build_entities(specs: DataFrame, ontology: Ontology = ONTOLOGY) -> DataFrame:
     """E-01: specs with entity_id, properties and reject (null: accepted).
 
     The id is the given one, else a hash of schema and id parts, else of schema, dataset, source and first name.
     """
     spark = specs.sparkSession
-    rows = specs.withColumn("spec_id", F.monotonically_increasing_id()).withColumn("__p", parse_properties("property_items"))
+    rows = _placed(specs).withColumn("__p", parse_properties("property_items"))
     rows = rows.withColumn("properties", F.col("__p.properties"))
     prefix = F.coalesce("key_prefix", "dataset")
     parts = F.when(F.size("id_parts") > 0, F.array_join("id_parts", "|"))
@@ -33,7 +46,7 @@ def build_entities(specs: DataFrame, ontology: Ontology = ONTOLOGY) -> DataFrame
         F.col("__p.error"),
         F.when(~F.col("schema_name").isin([s for s, _ in ontology.tree]) | F.col("schema_name").isNull(), "unknown schema"), F.when(unknown, "unknown property"), F.when(bad, "bad value"),
     )
-    return rows.withColumn("reject", reject).drop("__p").to(spark.createDataFrame([], "schema_name string, dataset string, source_ref string, entity_id string, id_parts array<string>, key_prefix string, property_items array<string>, spec_id bigint, properties map<string,array<string>>, reject string").schema)
+    return rows.withColumn("reject", reject).drop("__p").to(spark.createDataFrame([], "schema_name string, dataset string, source_ref string, entity_id string, id_parts array<string>, key_prefix string, property_items array<string>, position bigint, properties map<string,array<string>>, reject string").schema)
 
 
 def entity_statements(built: DataFrame, ontology: Ontology = ONTOLOGY) -> DataFrame:
@@ -45,14 +58,12 @@ def entity_statements(built: DataFrame, ontology: Ontology = ONTOLOGY) -> DataFr
 def upsert_entities(stmt: DataFrame, built: DataFrame, ontology: Ontology = ONTOLOGY) -> tuple[DataFrame, DataFrame]:
     """E-02: the statements with all statements of the built entities' ids, of any dataset, replaced; and (entity_id, action): created or updated.
 
-    Of several specs for one id the last counts.
+    Of several specs for one id the last by position counts, of equal ones that with the greatest contents.
     """
-    fine = built.where("reject is null")
-    last = fine.groupBy("entity_id").agg(F.max("spec_id").alias("spec_id"))
-    fine = fine.join(last, ["entity_id", "spec_id"])
+    fine = staged(_last(built.where("reject is null")), "specs")  # used three times
     kept = conform(stmt).join(fine.select("entity_id"), "entity_id", "left_anti").select(*COLUMNS)
-    there = stmt.select("entity_id").distinct().withColumn("__there", F.lit(True))
-    actions = fine.select("entity_id").join(there, "entity_id", "left").select("entity_id", F.when(F.col("__there"), "updated").otherwise("created").alias("action"))
+    there = stmt.select("entity_id").join(fine.select("entity_id"), "entity_id", "left_semi").distinct().withColumn("there", F.lit(True))
+    actions = fine.select("entity_id").join(there, "entity_id", "left").select("entity_id", F.when(F.col("there"), "updated").otherwise("created").alias("action"))
     return kept.unionByName(entity_statements(fine, ontology)), actions
 
 
@@ -62,7 +73,7 @@ def update_entities(entities: DataFrame, stmt: DataFrame, patches: DataFrame, on
     Properties given replace whole lists, others stay.  The dataset is the given or the first by name; the source the given one or an
     origin of the entity's statements, that of the canonical entity first.  An absent entity is rejected.
     """
-    parsed = patches.withColumn("spec_id", F.monotonically_increasing_id()).withColumn("__p", parse_properties("property_items"))
+    parsed = _placed(patches).withColumn("__p", parse_properties("property_items"))
     now = entities.select(F.col("id").alias("entity_id"), F.col("schema").alias("schema_name"), F.col("datasets")[0].alias("__dataset"), F.col("properties").alias("__old"))
     wanted = stmt.join(patches.select(F.col("entity_id").alias("canonical_id")).distinct(), "canonical_id", "left_semi").where("origin is not null")
     origins = wanted.groupBy(F.col("canonical_id").alias("entity_id")).agg(F.min(F.struct((F.col("entity_id") != F.col("canonical_id")).alias("other"), "origin")).alias("__o"))
@@ -72,4 +83,4 @@ def update_entities(entities: DataFrame, stmt: DataFrame, patches: DataFrame, on
     known = F.map_from_entries(F.array(*[F.struct(F.lit(f"{s}.{p}"), F.lit(k)) for s, p, k, _ in ontology.prop_rows()]))
     unknown = F.exists(F.map_keys(new), lambda k: known[F.concat(F.col("schema_name"), F.lit("."), k)].isNull())
     reject = F.coalesce(F.when(F.col("schema_name").isNull(), "no such entity"), F.col("__p.error"), F.when(unknown, "unknown property"))
-    return rows.select("entity_id", "schema_name", F.coalesce("dataset", "__dataset").alias("dataset"), F.coalesce("source_ref", "__o.origin").alias("source_ref"), merged.alias("properties"), reject.alias("reject"), "spec_id")
+    return rows.select("entity_id", "schema_name", F.coalesce("dataset", "__dataset").alias("dataset"), F.coalesce("source_ref", "__o.origin").alias("source_ref"), merged.alias("properties"), reject.alias("reject"), "position")

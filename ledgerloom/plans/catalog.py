@@ -266,11 +266,21 @@ def snapshot_empty_load(spark, d):
     return SN.read_target(spark, target).groupBy("dataset").agg(F.count("*").alias("n_statements"))
 
 
-@query("WITH " + V.STMT + " SELECT dataset, count(*) AS n_statements, bit_xor(('0x' || substr(id, 1, 15))::BIGINT) AS content_hash FROM stmt GROUP BY 1")
+@query("WITH " + V.STMT + " SELECT dataset, count(*) AS n_statements, sum(('0x' || substr(id, 1, 15))::BIGINT::HUGEINT)::VARCHAR AS content_hash FROM stmt GROUP BY 1")
 def manifest(spark, d):
     return SN.content_manifest(V.actor_statements(spark, d))
 
 
+@query("WITH " + V.STMT + " SELECT dataset, left(id, 1) AS part, sha256(string_agg(id || chr(10), '' ORDER BY id)) AS sha256, (41 * count(*))::BIGINT AS size_bytes FROM stmt GROUP BY 1, 2")
+def file_manifest(spark, d):
+    """A-09: the statements' ids, a file for each dataset and first digit, in order; then key, sha256 and size of each file."""
+    path = fresh_path(spark, "listed")
+    ids = V.actor_statements(spark, d).select("dataset", F.substring("id", 1, 1).alias("part"), "id")
+    ids.repartition("dataset", "part").sortWithinPartitions("dataset", "part", "id").write.partitionBy("dataset", "part").text(path)
+    of = lambda name: F.regexp_extract("artifact_key", f"/{name}=([^/]*)/", 1).alias(name)
+    return SN.manifest(spark, path).where("size_bytes > 0").select(of("dataset"), of("part"), "sha256", "size_bytes")
+
+
 @query("WITH " + V.CANON + _ENTITY + " SELECT id, caption FROM ent")
 def exported_entities(spark, d):
     path = fresh_path(spark, "export")
@@ -857,6 +867,23 @@ def entity_upsert(spark, d):
     return stmt.select("entity_id", "prop", "value", "dataset")
 
 
+@query("WITH " + V.STMT + ", " + _SPECS + " SELECT DISTINCT entity_id, CASE WHEN entity_id IN (SELECT entity_id FROM stmt) THEN 'updated' ELSE 'created' END AS action FROM specs WHERE reject IS NULL")
+def entity_actions(spark, d):
+    """E-02: what an upsert did to each entity."""
+    return writes.upsert_entities(V.actor_statements(spark, d), writes.build_entities(_specs(spark, d)))[1]
+
+
+@query("WITH c AS (SELECT 'cust-' || sha1((o_custkey % 200)::VARCHAR) AS entity_id, arg_max(o_orderpriority, o_orderkey) AS name FROM orders GROUP BY 1) SELECT entity_id, name FROM c")
+def entity_last_spec(spark, d):
+    """E-01, E-02: of hundreds of specs for one id the last by position counts."""
+    specs = read_table(spark, d, "orders").select(
+        F.lit("Company").alias("schema_name"), F.lit("typed").alias("dataset"), F.lit("s").alias("source_ref"), S.make_id("cust", F.col("o_custkey") % 200).alias("entity_id"), F.lit(None).cast("array<string>").alias("id_parts"), F.lit(None).cast("string").alias("key_prefix"),
+        F.array(F.concat(F.lit("name="), "o_orderpriority")).alias("property_items"), F.col("o_orderkey").alias("position"),
+    )
+    stmt, _ = writes.upsert_entities(V.actor_statements(spark, d), writes.build_entities(specs))
+    return stmt.where("dataset = 'typed' and prop = 'name'").select("entity_id", F.col("value").alias("name"))
+
+
 @query("""WITH p AS (SELECT 'cust-' || sha1(o_custkey::VARCHAR) AS entity_id, arg_max(o_orderpriority, o_orderkey) AS alias FROM orders GROUP BY o_custkey) SELECT entity_id, c_name AS name, alias, 'customers' AS dataset, CASE WHEN c_name IS NULL THEN 'no such entity' END AS reject FROM p LEFT JOIN (SELECT 'cust-' || sha1(c_custkey::VARCHAR) AS entity_id, c_name FROM customer) USING (entity_id)""")
 def entity_overlay(spark, d):
     stmt = staged(V.actor_statements(spark, d).where("dataset = 'customers'"), "customers")
@@ -925,22 +952,44 @@ def recent_releases(spark, d):
 
 
 @query("WITH " + V.STMT + """, rp AS (SELECT 'part-' || sha1(p_partkey::VARCHAR) AS entity_id, p_name, p_brand FROM part WHERE p_name NOT LIKE 'blue%'), frag AS (SELECT 'part-' || sha1(p_name) AS fid, p_name AS name FROM rp UNION SELECT 'part-' || sha1(p_brand), p_brand FROM rp),
-  o AS (SELECT dataset, count(*) AS n FROM stmt WHERE dataset IN ('parts', 'suppliers') AND entity_id NOT IN (SELECT entity_id FROM rp) GROUP BY 1 UNION ALL SELECT 'parts', 2 * count(*) FROM frag) SELECT dataset, sum(n)::BIGINT AS n_statements FROM o GROUP BY 1""")
+  o AS (SELECT dataset, count(*) AS n FROM stmt WHERE entity_id NOT IN (SELECT entity_id FROM rp) GROUP BY 1 UNION ALL SELECT 'parts', 2 * count(*) FROM frag) SELECT dataset, sum(n)::BIGINT AS n_statements FROM o GROUP BY 1""")
 def release_build(spark, d):
-    """Snapshots, a release of two datasets after replacements, publishing; then the published statements by dataset."""
-    root, stmt = fresh_path(spark, "release"), staged(V.actor_statements(spark, d).where("dataset in ('parts', 'suppliers')"), "statements")
-    runs = spark.createDataFrame([("r1", "parts", "succeeded"), ("r2", "suppliers", "succeeded"), ("r3", "parts", "failed")], "id string, dataset_name string, status string").withColumn("started_at", F.lit("2024-01-01").cast("timestamp"))
-    arts = spark.createDataFrame([(1, "r1", "statements_pack", "a"), (2, "r2", "statements_pack", "b")], "id long, dataset_run_id string, artifact_type string, storage_key string")
-    SN.write_snapshot(stmt.where("dataset = 'parts'"), root, "parts", "r1")
-    SN.write_snapshot(stmt.where("dataset = 'suppliers'"), root, "suppliers", "r2")
-    path, _, _ = releases.build_release(spark, root, runs, arts, V.part_candidates(spark, d), ["parts", "suppliers"], "1")
+    """Snapshots, a release of all datasets after replacements, publishing; then the published statements by dataset."""
+    root, runs, arts = _snapshots(spark, d)
+    releases.build_release(spark, root, runs, arts, V.part_candidates(spark, d), _DATASETS, "1")
     link = V.supplier_linker(spark, d)
     edges = resolver.new_edges(link.select(F.col("canonical_id").alias("source"), F.col("entity_id").alias("target")), "positive")
-    paths = releases.publish(spark, path, "built", edges, f"{root}/published", f"{root}/working", "v1")
-    releases.point(paths, spark, f"{root}/published")
+    paths = releases.publish(spark, root, "1", edges, f"{root}/published", f"{root}/working")
     return spark.read.parquet(paths["statements"]).groupBy("dataset").agg(F.count("*").alias("n_statements"))
 
 
+_DATASETS = ["customers", "suppliers", "nations", "parts"]
+
+
+def _snapshots(spark, d):
+    """A store with one succeeded run of each dataset, and its ledger."""
+    root, stmt = fresh_path(spark, "release"), staged(V.actor_statements(spark, d), "statements")
+    for i, name in enumerate(_DATASETS):
+        SN.write_snapshot(stmt.where(F.col("dataset") == name), root, name, f"r{i}")
+    runs = spark.createDataFrame([(f"r{i}", n, "succeeded") for i, n in enumerate(_DATASETS)] + [("r9", "parts", "failed")], "id string, dataset_name string, status string").withColumn("started_at", F.lit("2024-01-01").cast("timestamp"))
+    return root, runs, spark.createDataFrame([(i, f"r{i}", "statements_pack", f"k{i}") for i in range(4)], "id long, dataset_run_id string, artifact_type string, storage_key string")
+
+
+@query("WITH " + V.STMT + """, n AS (SELECT count(*) AS n FROM stmt WHERE dataset = 'customers') SELECT unnest(['1', '2', '3']) AS release_id, unnest(['superseded', 'published', 'built']) AS status, unnest([false, true, false]) AS held, unnest([NULL, (SELECT n FROM n), NULL]) AS n_statements""")
+def release_publish(spark, d):
+    """R-03, R-04: two releases are published, one after the other, a third is built only; their statuses by the ledger, and what the target holds."""
+    root, runs, arts = _snapshots(spark, d)
+    none = resolver.new_edges(spark.createDataFrame([], "source string, target string"), "positive")
+    for release, names in (("1", ["suppliers", "nations"]), ("2", ["customers"]), ("3", ["nations"])):
+        releases.build_release(spark, root, runs, arts, V.part_candidates(spark, d).limit(0), names, release)
+        if release != "3":
+            releases.publish(spark, root, release, none, f"{root}/published", f"{root}/working")
+    now = releases.published(spark, f"{root}/published")
+    held = spark.read.parquet(now["paths"]["statements"]).agg(F.count("*").alias("n_statements")).withColumn("id", F.lit(now["release"]))
+    out = releases.release_status(releases.release_events(spark, root)).join(held, "id", "left")
+    return out.select(F.col("id").alias("release_id"), "status", F.col("n_statements").isNotNull().alias("held"), "n_statements")
+
+
 @query("""SELECT '1' AS release_id, 'built' AS status, 'suppliers' AS inputs, (SELECT 3 * count(*) FROM supplier) AS n_statements UNION ALL SELECT '2', 'failed', NULL, NULL""")
 def release_records(spark, d):
     """R-02: what builds leave in the store: one that succeeds, with inputs and manifest, and one that fails, whose statements are gone."""

@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 
 _own: dict[str, str] = {}
@@ -58,6 +59,35 @@ def remove(spark: SparkSession, path: str) -> None:
     store.delete(p, True)
 
 
+def names(spark: SparkSession, path: str) -> list[str]:
+    """What lies in a folder; nothing where there is none."""
+    store, p = _at(spark, path)
+    return sorted(f.getPath().getName() for f in store.listStatus(p)) if store.exists(p) else []
+
+
+def create(spark: SparkSession, path: str, text: str) -> bool:
+    """Writes a small file; False where it is there already."""
+    store, p = _at(spark, path)
+    try:
+        out = store.create(p, False)
+    except Py4JJavaError as e:
+        if store.exists(p):
+            return False
+        raise e
+    out.write(bytearray(text.encode()))
+    out.close()
+    return True
+
+
+def read_small(spark: SparkSession, path: str) -> str:
+    store, p = _at(spark, path)
+    held = store.open(p)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(held, "UTF-8")
+    finally:
+        held.close()
+
+
 def clear(spark: SparkSession) -> None:
     """Removes all that this application has staged; to be called when its results have been written elsewhere."""
     remove(spark, job_dir(spark))

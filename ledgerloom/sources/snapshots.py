@@ -3,19 +3,23 @@
 from __future__ import annotations
 
 import logging
+import uuid
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.plans.model import STMT, conform
-from ledgerloom.plans.shared import exists, remove
+from ledgerloom.plans.shared import exists
+from ledgerloom.sources import commits
 from ledgerloom.sources.ledger import latest_artifacts
 
 log = logging.getLogger(__name__)
 
+#: Statements in a file of a release at most: some 100 MB.
+FILE_ROWS = 1_000_000
+
 
 def write_snapshot(stmt: DataFrame, root: str, dataset: str, run_id: str) -> str:
     """S-02: an immutable snapshot of one run; it is the dataset's latest once its run is recorded as succeeded."""
@@ -78,7 +82,8 @@ def load_statements(stmt: DataFrame, target: str, datasets: Sequence[str], run_i
     """S-10: replace the statements of the datasets in the target, leaving others untouched; gives the datasets that were loaded.
 
     A dataset without statements has none in the target then. An unknown dataset is logged and left out; a run_id needs one dataset, and
-    stmt must hold rows of that run. A load that dies midway is run again with the same result.
+    stmt must hold rows of that run. The rows lie in a folder of their own that nobody reads before the target's log names it, so
+    readers see a load whole or not at all, and one that dies midway has changed nothing.
     """
     if run_id is not None:
         if len(datasets) != 1:
@@ -90,20 +95,22 @@ def load_statements(stmt: DataFrame, target: str, datasets: Sequence[str], run_i
     for d in set(datasets) - set(wanted):
         log.error("unknown dataset %s", d)
     if wanted:
-        rows = conform(stmt.where(F.col("dataset").isin(*wanted)))
-        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("dataset").parquet(target)
-        # The write replaces the partitions it has rows for; those of the other datasets asked for go.
-        there = {r.dataset for r in rows.select("dataset").distinct().collect()}  # at most as many as asked for
-        for d in set(wanted) - there:
-            remove(rows.sparkSession, f"{target}/dataset={d}")
+        rows, version = conform(stmt.where(F.col("dataset").isin(*wanted))), uuid.uuid4().hex
+        spark, path = rows.sparkSession, f"{target}/versions/{version}"
+        rows.write.partitionBy("dataset").parquet(path)
+        there = {r.dataset for r in spark.read.schema(STMT).parquet(path).select("dataset").distinct().collect()}  # at most as many as asked for
+        # The load counts from here on, whole.
+        commits.commit(spark, target, lambda now: {"datasets": {d: v for d, v in (now or {}).get("datasets", {}).items() if d not in wanted} | {d: version for d in sorted(there)}})
     return wanted
 
 
 def read_target(spark: SparkSession, target: str) -> DataFrame:
-    try:
-        return spark.read.schema(STMT).parquet(target)
-    except AnalysisException:
-        return spark.createDataFrame([], STMT)
+    """The statements of the newest whole load of each dataset; none before the first."""
+    versions: dict[str, list[str]] = {}
+    for d, v in ((commits.newest(spark, target) or {}).get("datasets", {})).items():
+        versions.setdefault(v, []).append(d)
+    parts = [spark.read.schema(STMT).parquet(f"{target}/versions/{v}").where(F.col("dataset").isin(*ds)).select(*STMT.fieldNames()) for v, ds in sorted(versions.items())]
+    return reduce(DataFrame.unionByName, parts) if parts else spark.createDataFrame([], STMT)
 
 
 def export_entities(entities: DataFrame, path: str, dataset: str | None = None) -> None:
@@ -127,10 +134,10 @@ def publish_tables(stmt: DataFrame, edges: DataFrame, target: str, version: str)
 
 
 def manifest(spark: SparkSession, path: str) -> DataFrame:
-    """A-09: key, sha256 and size of each file below path."""
+    """A-09: key, sha256 and size of each file below path. A task holds a file at a time, so writers bound their files (``FILE_ROWS``)."""
     return spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select(F.col("path").alias("artifact_key"), F.sha2("content", 256).alias("sha256"), F.col("length").alias("size_bytes"))
 
 
 def content_manifest(stmt: DataFrame) -> DataFrame:
-    """A-09: rows of each dataset, and a hash of their ids that doesn't depend on order."""
-    return stmt.groupBy("dataset").agg(F.count("*").alias("n_statements"), F.bit_xor(F.conv(F.substring("id", 1, 15), 16, 10).cast("long")).alias("content_hash"))
+    """A-09: rows of each dataset, and the sum of their ids' first 60 bits, which doesn't depend on order and in which a row that stands twice counts twice."""
+    return stmt.groupBy("dataset").agg(F.count("*").alias("n_statements"), F.sum(F.conv(F.substring("id", 1, 15), 16, 10).cast("decimal(20,0)")).cast("string").alias("content_hash"))

@@ -1,5 +1,6 @@
 """Operators against brute force and hand-written cases."""
 
+import hashlib
 import random
 import re
 from collections import defaultdict
@@ -97,6 +98,12 @@ def test_edge_chains(spark, gap):
         rows.append((f"e{i:03}", rng.choice("ab"), rng.choice("xy"), "Representation", rng.choice(["r", None]), start, end))
     df = spark.createDataFrame(rows, "entity_id string, source string, target string, schema string, role string, start date, end date")
     assert {(r.entity_id, r.chain_first) for r in edges.edge_chains(df, gap).collect()} == brute_chains(rows, gap)
+    # A hot group over many ranges: chains that cross one border or several.
+    hot = [(f"h{i:03}", "a", "x", "Representation", None, date(2021, 1, 1) + timedelta(days=i + 30 * (i % 50 == 0)), date(2021, 1, 1) + timedelta(days=i)) for i in range(120)]
+    hot += [(f"k{i:03}", "a", "x", "Representation", None, None if i < 5 else date(2022, 1, 1) + timedelta(days=i), None if i % 9 == 0 else date(2022, 1, 1) + timedelta(days=i + i % 4 - 1)) for i in range(120)]
+    more = spark.createDataFrame(rows + hot, df.schema).repartition(5)
+    seen = [sorted((r.entity_id, r.chain, r.chain_size, r.chain_first) for r in edges.edge_chains(more, gap, ranges=n).collect()) for n in (1, 7, 64)]
+    assert seen[0] == seen[1] == seen[2] and {(x[0], x[3]) for x in seen[0]} == brute_chains(rows + hot, gap)
     with pytest.raises(ValueError):
         edges.edge_chains(df, -1)
 
@@ -443,10 +450,79 @@ def test_release_rules(spark, tmp_path):
     arts = spark.createDataFrame([], "id long, dataset_run_id string, artifact_type string, storage_key string")
     with pytest.raises(ValueError, match="d1"):
         releases.release_inputs(runs, arts, ["d1"])
+    root = f"file://{tmp_path}"
+    with pytest.raises(ValueError, match="no release"):
+        releases.publish(spark, root, "v", None, "a", "b")
+    releases.record_release(spark, root, "v", "building")
     with pytest.raises(ValueError, match="building"):
-        releases.publish(spark, "x", "building", None, "a", "b", "v")
+        releases.publish(spark, root, "v", None, "a", "b")
+    releases.record_release(spark, root, "v", "built")
+    with pytest.raises(ValueError, match="no statements"):
+        releases.publish(spark, root, "v", None, "a", "b")
     with pytest.raises(ValueError, match="differ"):
-        releases.publish(spark, "x", "built", None, "a/", "a", "v")
+        releases.publish(spark, root, "v", None, "a/", "a")
+
+
+def test_publish_is_whole_or_nothing(spark, tmp_path, monkeypatch):
+    root, target = f"file://{tmp_path}", f"file://{tmp_path}/published"
+    SN.write_snapshot(statements(spark, [("a", "Company", "d1", props(name="A")), ("b", "Company", "d1", props(name="B"))]), root, "d1", "r1")
+    SN.write_snapshot(statements(spark, [("c", "Company", "d2", props(name="C"))]), root, "d2", "r2")
+    runs = spark.createDataFrame([(f"r{i}", f"d{i}", "succeeded", datetime(2024, 1, 1)) for i in (1, 2)], "id string, dataset_name string, status string, started_at timestamp")
+    arts = spark.createDataFrame([(i, f"r{i}", "statements_pack", "k") for i in (1, 2)], "id long, dataset_run_id string, artifact_type string, storage_key string")
+    cands = candidates(spark, [(1, "x", "approved", [{"key": None, "schema": "Person", "properties": {"name": ["X"]}}], 1)])
+    for release, d in (("1", "d1"), ("2", "d2"), ("3", "d2")):
+        releases.build_release(spark, root, runs, arts, cands, [d], release)
+        files = spark.read.parquet(f"{root}/release-records/{release}/files").collect()
+        assert files and all(hashlib.sha256(open(r.artifact_key.removeprefix("file:"), "rb").read()).hexdigest() == r.sha256 for r in files)
+    edges_ = resolver.new_edges(spark.createDataFrame([("a", "b")], "source string, target string"), "positive")
+    seen = lambda: {r.canonical_id for r in spark.read.parquet(releases.published(spark, target)["paths"]["statements"]).collect()}
+    status = lambda: {r.id: r.status for r in releases.release_status(releases.release_events(spark, root)).collect()}
+    assert releases.published(spark, target) is None
+    releases.publish(spark, root, "1", edges_, target, f"{root}/working")
+    assert seen() == {"a"} and status() == {"1": "published", "2": "built", "3": "built"}
+    for step in ("publish_tables", "search_view"):  # dies before, and midway
+        with monkeypatch.context() as m:
+            m.setattr(releases, step, lambda *a: 1 / 0)
+            with pytest.raises(ZeroDivisionError):
+                releases.publish(spark, root, "2", edges_, target, f"{root}/working")
+        assert seen() == {"a"} and status()["2"] == "failed"
+        releases.record_release(spark, root, "2", "built")
+    (tmp_path / "published" / "log" / f"{2:020d}.json").write_text('{"release": "9"}')  # a writer that died in the midst of its entry
+    assert seen() == {"a"}
+    releases.publish(spark, root, "3", edges_, target, f"{root}/working")
+    assert seen() == {"c"} and status() == {"1": "superseded", "2": "built", "3": "published"}
+
+
+def test_load_is_whole_or_nothing(spark, tmp_path, monkeypatch):
+    target, stmt = f"file://{tmp_path}/t", statements(spark, [("a", "Company", "d/1", props(name="A")), ("b", "Company", "d2", props(name="B"))])
+    assert SN.read_target(spark, target).count() == 0
+    SN.load_statements(stmt, target, ["d/1", "d2"])
+    with monkeypatch.context() as m:
+        m.setattr(SN.commits, "create", lambda *a: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            SN.load_statements(stmt.where("prop = 'name'"), target, ["d/1"])
+    assert SN.read_target(spark, target).count() == 4
+    with monkeypatch.context() as m:  # another writer is faster, once
+        inner, others = SN.commits.create, []
+
+        def create(spark, path, text):
+            if not others:
+                others.append(1)
+                SN.load_statements(stmt.where("prop = 'name'"), target, ["d2"])
+            return inner(spark, path, text)
+
+        m.setattr(SN.commits, "create", create)
+        SN.load_statements(stmt.where("prop = 'name'"), target, ["d/1"])
+    assert sorted((r.dataset, r.prop) for r in SN.read_target(spark, target).collect()) == [("d/1", "name"), ("d2", "name")]
+
+
+def test_last_spec_whatever_the_partitions(spark):
+    rows = [("Company", "test", "s", "x-1", None, None, [f"name=N{i}"], i) for i in range(8)] + [("Company", "test", "s", "x-2", None, None, [f"name=M{i}"], None) for i in range(8)]
+    for parts in (1, 3, 16):
+        specs = spark.createDataFrame(rows, writes.SPEC + ", position long").repartition(parts)
+        stmt, actions = writes.upsert_entities(statements(spark, [("x-1", "Company", "o", props(name="Old")), ("x-3", "Company", "o", props(name="Other"))]), writes.build_entities(specs))
+        assert sorted((r.entity_id, r.value) for r in stmt.where("prop = 'name'").collect()) == [("x-1", "N7"), ("x-2", "M7"), ("x-3", "Other")]
+        assert {(r.entity_id, r.action) for r in actions.collect()} == {("x-1", "updated"), ("x-2", "created")}
 
 
 def test_configs(spark, tmp_path):
