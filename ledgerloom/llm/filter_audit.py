@@ -11,7 +11,7 @@ under the mask with E.  Each micro-batch writes its sums of such deltas over its
 its own; a run that died goes on from its checkpoint when it is given the same folder.
 
 Before the shuffle to the state a task combines its rows of one text to one, so a text that a third of all
-documents share is a row a batch of rows.  Texts are known by their SHA-256.  A key of the state is a group of some 32 texts,
+documents share is a row a batch of rows.  Texts are known by their SHA-256.  A key of the state is a group of some 256 texts,
 because a call for each text would cost more than its work; a checkpoint keeps its number of partitions, so that follows the number of
 documents.  The state lies in the store that the session names (``spark.sql.streaming.stateStore.providerClass``): Spark's default holds it in executors'
 memory, some 150 bytes a text; where that is too much, name RocksDB's, which holds it on disk.
@@ -122,7 +122,7 @@ def retract(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> It
     yield pd.DataFrame(rows, columns=["part", "good", "toxic", "mask", "delta"]).astype({"mask": "int32", "delta": "int64", "good": "bool", "toxic": "bool", "part": "object"})
 
 
-def count_masks(spark: SparkSession, path: str, labels: DataFrame, folder: str | None = None, batches: int = 4, texts_a_key: int = 32, docs_a_partition: int = 1_000_000) -> DataFrame:
+def count_masks(spark: SparkSession, path: str, labels: DataFrame, folder: str | None = None, batches: int = 4, texts_a_key: int = 256, docs_a_partition: int = 1_000_000) -> DataFrame:
     """(part, mask, n, good, toxic) over all documents in the Parquet files at path, read in about ``batches`` micro-batches.
 
     folder: where the checkpoint and the deltas lie; a run that died goes on when it is given the same one.
