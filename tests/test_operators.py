@@ -102,8 +102,10 @@ def test_edge_chains(spark, gap):
     hot = [(f"h{i:03}", "a", "x", "Representation", None, date(2021, 1, 1) + timedelta(days=i + 30 * (i % 50 == 0)), date(2021, 1, 1) + timedelta(days=i)) for i in range(120)]
     hot += [(f"k{i:03}", "a", "x", "Representation", None, None if i < 5 else date(2022, 1, 1) + timedelta(days=i), None if i % 9 == 0 else date(2022, 1, 1) + timedelta(days=i + i % 4 - 1)) for i in range(120)]
     more = spark.createDataFrame(rows + hot, df.schema).repartition(5)
-    seen = [sorted((r.entity_id, r.chain, r.chain_size, r.chain_first) for r in edges.edge_chains(more, gap, ranges=n).collect()) for n in (1, 7, 64)]
-    assert seen[0] == seen[1] == seen[2] and {(x[0], x[3]) for x in seen[0]} == brute_chains(rows + hot, gap)
+    # All groups over ranges, the hot one alone, and none.
+    ways = [(1, 0), (7, 0), (64, 0), (7, 100), (7, 1000)]
+    seen = [sorted((r.entity_id, r.chain, r.chain_size, r.chain_first) for r in edges.edge_chains(more, gap, ranges=n, hot_rows=most).collect()) for n, most in ways]
+    assert all(s == seen[0] for s in seen) and {(x[0], x[3]) for x in seen[0]} == brute_chains(rows + hot, gap)
     with pytest.raises(ValueError):
         edges.edge_chains(df, -1)
 
