@@ -421,6 +421,19 @@ def resolver_closure(spark, d):
     return resolver.linker(V.part_edges(spark, d))
 
 
+@query("WITH " + V.PART_EDGES + " SELECT entity_id, canonical_id FROM linker WHERE n > 1")
+def resolver_update(spark, d):
+    """G-01 from changes: of four edges one is new, and one was live and positive before."""
+    edges = staged(V.part_edges(spark, d).withColumn("k", F.pmod(F.xxhash64("target"), F.lit(4))), "edges")
+    same = edges.drop("k")
+    live = F.col("deleted_at").isNull() & (F.col("judgement") == "positive")
+    before = edges.where("k > 0").withColumn("judgement", F.when(F.col("k") == 1, "positive").otherwise(F.col("judgement"))).withColumn("deleted_at", F.when(F.col("k") > 1, F.col("deleted_at")))
+    store = fresh_path(spark, "linker")
+    resolver.write_linker(resolver.linker(before.drop("k")), store)
+    resolver.refresh_linker(spark, store, same, edges.where("k = 0").drop("k"), edges.where((F.col("k") == 1) & ~live).drop("k"))
+    return resolver.read_linker(spark, store)
+
+
 @query("WITH " + V.PART_EDGES + " SELECT source, target, judgement FROM edges WHERE judgement <> 'no_judgement'")
 def resolver_prune(spark, d):
     return resolver.prune(V.part_edges(spark, d)).select("source", "target", "judgement")

@@ -54,6 +54,46 @@ def test_linker_prefers_weight_then_id(spark):
     assert got == {"x": "Q4", "Q5": "Q4", "Q4": "Q4", "a": "a", "b": "a", "n": "GB-COH-1", "NK-1": "GB-COH-1", "GB-COH-1": "GB-COH-1"}
 
 
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_linker_from_changes(spark, seed):
+    rng = random.Random(seed)
+    name = lambda: rng.choice(["Q{}", "NK-{}", "n{}"]).format(rng.randrange(14))
+    rows = sorted({(name(), name(), "positive", None) for _ in range(26)})
+    kept = [r for r in rows if rng.random() > 0.4]
+    gone = kept[: len(kept) // 4]
+    new = [r for r in rows if r not in kept] + [("far1", "far2", "positive", None), ("far3", "far4", "negative", None), ("far5", "far5", "positive", None)]
+    edges = edge_rows(spark, [r for r in kept if r not in gone] + new)
+    link, moved = resolver.update_linker(resolver.linker(edge_rows(spark, kept)), edges, edge_rows(spark, new), edge_rows(spark, gone))
+    pairs = lambda df: sorted(map(tuple, df.select("entity_id", "canonical_id").collect()))
+    assert pairs(link) == pairs(resolver.linker(edges))
+    old, now = dict(pairs(resolver.linker(edge_rows(spark, kept)))), dict(pairs(link))
+    assert {(r.entity_id, r.before, r.after) for r in moved.collect()} == {(k, old.get(k), now.get(k)) for k in old | now if old.get(k) != now.get(k)}
+
+
+def test_linker_changes_read_little(spark, monkeypatch):
+    """A chain of a thousand and one changed edge beside it: the components run over the change alone."""
+    seen, run = [], resolver.connected_components
+    chain = [(f"c{i:04}", f"c{i + 1:04}", "positive", None) for i in range(1000)]
+    before, after = edge_rows(spark, [*chain, ("x", "y", "positive", None)]), edge_rows(spark, [*chain, ("z", "c0500", "positive", None)])
+    link = resolver.linker(before)
+    monkeypatch.setattr(resolver, "connected_components", lambda pairs: seen.append(pairs.count()) or run(pairs))
+    out, moved = resolver.update_linker(link, after, after.where("source = 'z'"), before.where("source = 'x'"))
+    assert seen == [1] and out.count() == 1002
+    assert sorted((r.entity_id, r.after) for r in moved.collect()) == [("x", None), ("y", None), ("z", "c0000")]
+
+
+def test_stored_linker(spark, tmp_path):
+    store, none = f"file://{tmp_path}/linker", edge_rows(spark, [("a", "b", "negative", None)])
+    assert resolver.read_linker(spark, store).count() == 0
+    e = edge_rows(spark, [("b", "a", "positive", None)])
+    resolver.refresh_linker(spark, store, e, e)
+    assert sorted(map(tuple, resolver.read_linker(spark, store).collect())) == [("a", "a"), ("b", "a")]
+    resolver.refresh_linker(spark, store, none, none, e)
+    assert resolver.read_linker(spark, store).count() == 0
+    with pytest.raises(RuntimeError, match="another writer"):
+        resolver.write_linker(resolver.linker(e), store)
+
+
 def test_explode_and_merge(spark):
     e = edge_rows(spark, [("a", "b", "positive", None), ("b", "c", "positive", None), ("d", "e", "positive", None)])
     out = resolver.explode(e, resolver.linker(e), spark.createDataFrame([("c",)], "id string"))
