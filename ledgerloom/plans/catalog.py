@@ -413,7 +413,7 @@ def temporal_extent(spark, d):
     li = read_table(spark, d, "lineitem")
     end = F.when(F.col("l_linenumber") % 3 == 0, F.date_format("l_shipdate", "yyyy-MM")).otherwise(F.date_format(F.date_add(F.to_date("l_shipdate"), 10), "yyyy-MM-dd"))
     from_ = li.select(S.make_id("rep", "l_suppkey", "l_partkey").alias("entity_id"), F.lit("Representation").alias("schema"), F.lit("deals").alias("dataset"), F.array(F.struct(F.lit("startDate").alias("prop"), F.date_format("l_shipdate", "yyyy-MM-dd").alias("value")), F.struct(F.lit("endDate").alias("prop"), end.alias("value"))).alias("props"))
-    out = E.collapse_extent(N.assemble_entities(to_statements(from_)))
+    out = E.collapse_extent(N.assemble_entities(to_statements(from_, few=True)))
     return out.select("id", F.array_join(F.col("properties")["startDate"], "|").alias("start_date"), F.array_join(F.col("properties")["endDate"], "|").alias("end_date"))
 
 
