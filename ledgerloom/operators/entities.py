@@ -80,7 +80,8 @@ def enrich_references(refs: DataFrame, captions: DataFrame) -> DataFrame:
 
 def with_references(entities: DataFrame, enriched: DataFrame) -> DataFrame:
     """J-07: the entities with a map from property to the enriched references."""
-    grouped = enriched.groupBy("id", "prop").agg(F.array_sort(F.collect_list(F.struct(F.col("ref").alias("id"), F.col("ref_caption").alias("caption"), F.col("ref_schema").alias("schema")))).alias("refs"))
+    # By id at once: the map of an entity needs no second shuffle of its lists.
+    grouped = enriched.repartition("id").groupBy("id", "prop").agg(F.array_sort(F.collect_list(F.struct(F.col("ref").alias("id"), F.col("ref_caption").alias("caption"), F.col("ref_schema").alias("schema")))).alias("refs"))
     return entities.join(grouped.groupBy("id").agg(F.map_from_entries(F.collect_list(F.struct("prop", "refs"))).alias("references")), "id", "left")
 
 
