@@ -3,8 +3,16 @@
 from collections import Counter
 
 import oracle
+from pyspark.sql import functions as F
 
 import __spark_entry__
+from ledgerloom.functions import scalars as S
+from ledgerloom.operators import edges as E
+from ledgerloom.operators import entities as N
+from ledgerloom.operators import ner
+from ledgerloom.plans import shared
+from ledgerloom.plans import views as V
+from ledgerloom.plans.model import FRAGMENTS, to_statements
 
 
 def same_rows(spark, folder, query):
@@ -26,3 +34,61 @@ def test_headings_that_end_in_a_reference_without_semicolon(spark, tmp_path):
     next((tmp_path / "p").glob("*.parquet")).rename(tmp_path / "pages.parquet")
     got = same_rows(spark, tmp_path, "pages_extract")
     assert {r[4] for r in got if r[2] == "name" and r[3] == "Organization"} == {"Plain", "One &&", "Two &c", "Three &am", 'Four &lt <b> x "'}
+
+
+def moves(df):
+    """The shuffles by key in a plan."""
+    return df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+
+
+def test_few_rows_an_entity_travel_once(spark):
+    stmt = V.representation_statements(spark, oracle.SMALL)
+    assert moves(stmt) == 1
+    assert moves(E.edge_entities(stmt)) == 1
+    assert moves(N.assemble_entities(stmt)) == 1
+    rows = spark.createDataFrame([("a", [("name", "x"), ("role", "r")]), ("a", [("name", "x"), ("role", "s")]), (None, [("name", "x")])], "entity_id string, props array<struct<prop:string,value:string>>")
+    rows = rows.withColumn("schema", F.lit("Person")).withColumn("dataset", F.lit("d"))
+    of = lambda df: sorted(tuple(r) for r in df.select("id", "prop", "value").collect())
+    assert of(to_statements(rows, few=True)) == of(to_statements(rows)) and len(of(to_statements(rows))) == 4
+
+
+def test_partitions_of_dealt_rows_grow_with_the_input(spark, tmp_path, monkeypatch):
+    spark.range(1000).write.parquet(str(tmp_path / "t"))
+    table = spark.read.parquet(str(tmp_path / "t"))
+    monkeypatch.setattr(shared, "UNFOLDED_BYTES", 100)
+    assert shared.dealt(table, "id").rdd.getNumPartitions() > 8  # the session has 4
+
+
+def test_extent_travels_once(spark):
+    assert moves(__spark_entry__.queries()["temporal_extent"](spark, oracle.SMALL)) == 1
+
+
+def test_references_of_an_entity_travel_once(spark):
+    refs = spark.createDataFrame([("a", "p", "r1", "c", "s"), ("a", "q", "r2", "c", "s")], "id string, prop string, ref string, ref_caption string, ref_schema string")
+    entities = spark.createDataFrame([("a",), ("b",)], "id string")
+    out = N.with_references(entities, refs)
+    # The entities' own shuffle for the join, or none where they are broadcast, and one of the references (a repartition and its grouping by property before).
+    assert "hashpartitioning(id" in (plan := out._jdf.queryExecution().executedPlan().toString()) and ", prop#" not in "".join(x for x in plan.split("\n") if "Exchange hashpartitioning" in x)
+    assert {r.id: r.references and sorted(r.references) for r in out.collect()} == {"a": ["p", "q"], "b": None}
+
+
+def test_names_replaced_without_writing_what_follows_from_a_row(spark, monkeypatch):
+    written = {}
+
+    def kept(df, name, path=None):
+        written[name] = df
+        return shared.staged(df, name, path)
+
+    monkeypatch.setattr(ner, "staged", kept)
+    # x-1 and x-2 have one fragment in common; y-1 points at both by one property, so the clone is one statement.
+    rows = [("x-1", "Company", "d", [("name", "Ada, Bob")]), ("x-2", "Company", "d", [("name", "Ada, Cid")]), ("y-1", "Representation", "d", [("agent", "x-1"), ("agent", "x-2"), ("client", "z-1")]), ("z-1", "Company", "d", [("name", "Zed")])]
+    stmt = to_statements(spark.createDataFrame(rows, "entity_id string, schema string, dataset string, props array<struct<prop:string,value:string>>"))
+    stmt = stmt.withColumn("id", F.when(F.col("value") == "Zed", "own").otherwise(F.col("id")))
+    cands = spark.createDataFrame([("Ada, Bob",), ("Ada, Cid",)], "t string")
+    cands = cands.select(F.xxhash64("t").alias("id"), F.lit("name").alias("property_name"), S.fingerprint("t").alias("fingerprint"), F.lit("approved").alias("status"), ner.split_entities(F.col("t")).cast(FRAGMENTS).alias("extraction"), F.current_timestamp().alias("updated_at"))
+    out = ner.apply_ner(stmt, cands).collect()
+    named = {r.entity_id: r.value for r in out if r.prop == "name"}
+    assert sorted(named.values()) == ["Ada", "Bob", "Cid", "Zed"] and not [r for r in out if r.entity_id in ("x-1", "x-2")]
+    assert sorted(named[r.value] for r in out if r.prop == "agent") == ["Ada", "Bob", "Cid"] and [r.value for r in out if r.prop == "client"] == ["z-1"]
+    assert len({r.id for r in out}) == len(out) and [r.id for r in out if r.value == "Zed"] == ["own"]
+    assert written["statements"].where("id is not null").count() == 1
