@@ -15,7 +15,7 @@ from ledgerloom.operators import entities as N
 from ledgerloom.operators import index, ner, releases, resolver, review, search, writes, xref
 from ledgerloom.plans import views as V
 from ledgerloom.plans.model import FRAGMENTS, ONTOLOGY, prop_struct, to_statements
-from ledgerloom.plans.shared import fresh_path, read_table, staged
+from ledgerloom.plans.shared import fresh_path, once, read_table, staged
 from ledgerloom.sources import pages as P
 from ledgerloom.sources import snapshots as SN
 from ledgerloom.sources import tables as T
@@ -307,26 +307,28 @@ def dates_parse(spark, d):
     for i, (fmt, _) in enumerate(_DATE_TEXTS):
         pattern = fmt.replace(" ? ", "' ? '").replace("*", "'*'")
         text = F.when(F.col("form") == i, F.date_format("o_orderdate", pattern)).otherwise(text)
-    return o.select("o_orderkey", "form", D.parse_date(text).alias("parsed"))
+    return once(o.select("o_orderkey", "form", text.alias("text")), ["text"], D.parse_date(F.col("text")).alias("parsed")).drop("text")
 
 
 @query("""SELECT o_orderkey, strftime(date_trunc('month', o_orderdate), '%Y-%m-%d') AS month_start, strftime(last_day(o_orderdate), '%Y-%m-%d') AS month_end, strftime(o_orderdate, '%Y-%m-%d') AS range_start,
   strftime(o_orderdate + INTERVAL 40 DAY, '%Y-%m-%d') AS range_end, strftime(o_orderdate, '%Y-%m-%d') AS partial, strftime(o_orderdate, '%Y-%m-%d') AS repaired, strftime(o_orderdate, '%Y-%m-%d') AS serial,
   strftime(date_trunc('month', o_orderdate), '%Y-%m-%d') AS span_start, strftime(last_day(o_orderdate + INTERVAL 62 DAY), '%Y-%m-%d') AS span_end FROM orders""")
 def dates_ranges(spark, d):
-    o = read_table(spark, d, "orders").withColumn("day", F.to_date("o_orderdate")).withColumn("end", F.date_add("day", 40)).withColumn("far", F.date_add("day", 62))
+    o = read_table(spark, d, "orders").select("o_orderkey", F.to_date("o_orderdate").alias("day"))
+    end, far = F.date_add("day", 40), F.date_add("day", 62)
     fmt = lambda c, f: F.date_format(c, f)
     year_start, year_end = F.trunc("day", "year"), F.last_day(F.add_months(F.trunc("day", "year"), 11))
     month = D.parse_month_value(fmt("day", "MMMM yyyy"))
-    span = D.parse_day_range(F.concat(fmt("day", "d MMM yyyy"), F.lit(" _ "), fmt("end", "d MMMM yyyy")))
+    span = D.parse_day_range(F.concat(fmt("day", "d MMM yyyy"), F.lit(" _ "), fmt(end, "d MMMM yyyy")))
     partial = D.parse_partial_date(fmt("day", "d/MMMM"), year_start, year_end)
     wrong = F.concat(fmt("day", "dd/MM/"), (F.year("day") + 1000).cast("string"))
-    months = D.parse_month_span(F.concat(fmt("day", "MMM"), F.lit(" to "), fmt("far", "MMMM")), F.year("far"))
+    months = D.parse_month_span(F.concat(fmt("day", "MMM"), F.lit(" to "), fmt(far, "MMMM")), F.year(far))
     serial = D.parse_date(F.datediff("day", F.lit("1899-12-30").cast("date")).cast("string"))
-    return o.select(
-        "o_orderkey", month["start"].alias("month_start"), month["end"].alias("month_end"), span["start"].alias("range_start"), span["end"].alias("range_end"), partial.alias("partial"),
+    parsed = once(
+        o, ["day"], month["start"].alias("month_start"), month["end"].alias("month_end"), span["start"].alias("range_start"), span["end"].alias("range_end"), partial.alias("partial"),
         D.parse_year_hint_date(wrong, year_start, year_end).alias("repaired"), serial.alias("serial"), months["start"].alias("span_start"), months["end"].alias("span_end"),
     )
+    return parsed.drop("day")
 
 
 @query("""SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 2 THEN 'month' ELSE 'day' END AS kind, CASE WHEN o_orderkey % 3 = 2 THEN strftime(date_trunc('month', o_orderdate), '%Y-%m-%d') ELSE strftime(o_orderdate, '%Y-%m-%d') END AS "start",
@@ -334,7 +336,8 @@ def dates_ranges(spark, d):
 def dates_day_or_month(spark, d):
     day = F.to_date("o_orderdate")
     text = F.when(F.col("o_orderkey") % 3 == 0, F.date_format(day, "d MMMM yyyy")).when(F.col("o_orderkey") % 3 == 1, F.concat(F.date_format(day, "dd/MM/yyyy"), F.lit(" - "), F.date_format(F.date_add(day, 3), "dd/MM/yyyy"))).otherwise(F.date_format(day, "MMM, yyyy"))
-    return read_table(spark, d, "orders").select("o_orderkey", D.parse_day_or_month(text).alias("p")).select("o_orderkey", "p.*")
+    o = read_table(spark, d, "orders").select("o_orderkey", text.alias("text"))
+    return once(o, ["text"], D.parse_day_or_month(F.col("text")).alias("p")).select("o_orderkey", "p.*")
 
 
 @query("""SELECT o_orderkey, strftime(date_trunc('month', o_orderdate), '%Y-%m-%d') AS month_first, strftime(last_day(o_orderdate), '%Y-%m-%d') AS month_last, strftime(o_orderdate, '%Y-%m-%d') AS day, false AS bad_day, true AS bad_month FROM orders""")

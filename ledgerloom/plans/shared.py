@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 
 from py4j.protocol import Py4JJavaError
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 
 _own: dict[str, str] = {}
 
@@ -88,6 +89,19 @@ def read_small(spark: SparkSession, path: str) -> str:
         held.close()
 
 
+def once(df: DataFrame, keys: Sequence[str], *columns: Column) -> DataFrame:
+    """df with columns that cost much and follow from keys alone: worked out for each distinct value of the keys and joined back.
+
+    Dates, say, are few however many rows have them. What was worked out is staged, so where it is small no row of df is shuffled.
+    """
+    # A fixed number of partitions: the values are few bytes, and adaptive execution would work them out in one task.
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    few = df.select(*keys).distinct().repartition(tasks, *keys).select(*keys, *columns)
+    few = staged(few.withColumnsRenamed({k: f"__{k}" for k in keys}), "once")
+    joined = df.join(few, [df[k].eqNullSafe(few[f"__{k}"]) for k in keys], "left")
+    return joined.drop(*[f"__{k}" for k in keys])
+
+
 #: Bytes of input files for a partition of rows that will be unfolded: Parquet holds a row of short columns in some 20 bytes, its statements take 80 times that.
 UNFOLDED_BYTES = 1 << 20
 
