@@ -22,6 +22,10 @@ from ledgerloom.sources import commits
 
 #: Folders of postings of a kind.
 PARTS = 32
+#: What a store may hold: three tables, and postings of two kinds.
+TABLES = ("entities", "view", "names", "word", "piece")
+#: Rows of a table whose postings of a part are one task's: some hundred thousand postings.
+DEAL_ROWS = 200_000
 #: Segments beyond which they are written as one.
 SEGMENTS = 8
 NAMES = "canonical_id string, schema string, prop string, value string"
@@ -37,39 +41,60 @@ def _pieces(c: Column) -> Column:
     return F.array_distinct(F.when(F.length(c) >= 3, F.transform(F.sequence(F.lit(1), F.length(c) - 2), lambda i: F.substring(c, i, F.lit(3)))).otherwise(F.array().cast("array<string>")))
 
 
-def postings(view: DataFrame, names: DataFrame, parts: int = PARTS) -> DataFrame:
-    """gram, id, n_shown (trigrams of the display name), shown (this is one of them), kind, part.
-
-    kind word: padded trigrams of the words of the view's names; kind piece: runs of three characters of each name in lower case.
-    """
-    shown = search.trigrams(F.coalesce("display_name", F.lit("")))
-    words = view.select("id", search.trigrams(F.col("names_text")).alias("grams"), shown.alias("s")).select("id", F.explode("grams").alias("gram"), "s")
-    words = words.select("gram", "id", F.size("s").alias("n_shown"), F.array_contains("s", F.col("gram")).alias("shown"), F.lit("word").alias("kind"))
-    pieces = names.select(F.col("canonical_id").alias("id"), F.explode(_pieces(F.lower("value"))).alias("gram")).distinct()
-    pieces = pieces.select("gram", "id", F.lit(0).alias("n_shown"), F.lit(False).alias("shown"), F.lit("piece").alias("kind"))
-    return words.unionByName(pieces).withColumn("part", _part(F.col("gram"), parts))
+def word_postings(view: DataFrame, parts: int = PARTS) -> DataFrame:
+    """gram, id, n_shown (trigrams of the display name), shown (this is one of them), part: padded trigrams of the words of the view's names."""
+    rows = view.select("id", search.word_trigrams(F.col("tokens")).alias("grams"), search.trigrams(F.coalesce("display_name", F.lit(""))).alias("s"))
+    # What an entity has in common isn't copied to each of its grams.
+    words = rows.select("id", F.size("s").alias("n_shown"), F.inline(F.transform("grams", lambda g: F.struct(g.alias("gram"), F.array_contains("s", g).alias("shown")))))
+    return words.select("gram", "id", "n_shown", "shown", _part(F.col("gram"), parts).alias("part"))
 
 
-def _write(stmt: DataFrame, path: str, parts: int, ontology: Ontology) -> None:
-    spark = stmt.sparkSession
-    names = stmt.where(F.col("prop").isin(*NAME_PROPS) & F.col("canonical_id").isNotNull()).select("canonical_id", "schema", "prop", "value").distinct()
-    assemble_entities(stmt.where("canonical_id is not null"), ontology=ontology).write.parquet(f"{path}/entities")
-    search.search_view(stmt, ontology).write.parquet(f"{path}/view")
-    names.write.parquet(f"{path}/names")
-    _write_postings(spark, path, parts)
+def piece_postings(names: DataFrame, parts: int = PARTS) -> DataFrame:
+    """The same columns: runs of three characters of each name in lower case. Names are gathered by id, so grams needn't be made distinct across rows."""
+    values = names.groupBy(F.col("canonical_id").alias("id")).agg(F.collect_set(F.lower("value")).alias("values"))
+    pieces = values.select("id", F.explode(F.array_distinct(F.flatten(F.transform("values", _pieces)))).alias("gram"))
+    return pieces.select("gram", "id", F.lit(0).alias("n_shown"), F.lit(False).alias("shown"), _part(F.col("gram"), parts).alias("part"))
 
 
-def _write_postings(spark: SparkSession, path: str, parts: int) -> None:
-    rows = postings(spark.read.parquet(f"{path}/view"), spark.read.schema(NAMES).parquet(f"{path}/names"), parts)
-    # Ranges reach into a gram's ids: a gram that a third of all names have is dealt to many tasks.
-    rows.repartitionByRange("kind", "part", "gram", "id").sortWithinPartitions("kind", "part", "gram", "id").write.partitionBy("kind", "part").parquet(f"{path}/postings")
+def _checked(tables: Sequence[str]) -> list[str]:
+    for table, needs in (("word", "view"), ("piece", "names")):
+        if table in tables and needs not in tables:
+            raise ValueError(f"postings of kind {table} need the table {needs}")
+    if unknown := set(tables) - set(TABLES):
+        raise ValueError(f"unknown tables: {', '.join(sorted(unknown))}")
+    return [t for t in TABLES if t in tables]
 
 
-def build(stmt: DataFrame, store: str, parts: int = PARTS, ontology: Ontology = ONTOLOGY) -> None:
-    """The index of canonicalised statements as the store's only segment; readers see it whole or not at all. Statements without a canonical id are left out."""
-    path = f"{store}/segments/{uuid.uuid4().hex}"
-    _write(stmt, path, parts, ontology)
-    commits.commit(stmt.sparkSession, store, lambda now: {"segments": [path], "parts": parts})
+def _write(stmt: DataFrame, path: str, parts: int, tables: Sequence[str], ontology: Ontology) -> None:
+    spark = stmt.sparkSession
+    if "entities" in tables:
+        assemble_entities(stmt.where("canonical_id is not null"), ontology=ontology).write.parquet(f"{path}/entities")
+    if "view" in tables:
+        search.search_view(stmt, ontology).write.parquet(f"{path}/view")
+    if "names" in tables:
+        names = stmt.where(F.col("prop").isin(*NAME_PROPS) & F.col("canonical_id").isNotNull()).select("canonical_id", "schema", "prop", "value").distinct()
+        names.write.parquet(f"{path}/names")
+    _write_postings(spark, path, parts, tables)
+
+
+def _write_postings(spark: SparkSession, path: str, parts: int, tables: Sequence[str]) -> None:
+    for kind, table, of in (("word", "view", word_postings), ("piece", "names", piece_postings)):
+        if kind in tables:
+            rows = spark.read.schema(NAMES).parquet(f"{path}/{table}") if table == "names" else spark.read.parquet(f"{path}/{table}")
+            # The ids of a gram are dealt by their hashes, so a gram that a third of all names have is many tasks, and what one holds doesn't grow.
+            deals = 1 + rows.count() // DEAL_ROWS
+            deal = F.pmod(F.xxhash64("id"), F.lit(deals))
+            of(rows, parts).repartition(parts * deals, "part", deal).sortWithinPartitions("part", "gram", "id").write.partitionBy("part").parquet(f"{path}/postings/kind={kind}")
+
+
+def build(stmt: DataFrame, store: str, parts: int = PARTS, ontology: Ontology = ONTOLOGY, tables: Sequence[str] = ()) -> None:
+    """The index of canonicalised statements as the store's only segment; readers see it whole or not at all. Statements without a canonical id are left out.
+
+    tables: those of TABLES that the store is to hold (none: all), from now on also after changes. L-01 needs names and piece, L-02 view and word.
+    """
+    path, tables = f"{store}/segments/{uuid.uuid4().hex}", _checked(tables or TABLES)
+    _write(stmt, path, parts, tables, ontology)
+    commits.commit(stmt.sparkSession, store, lambda now: {"segments": [path], "parts": parts, "tables": tables})
 
 
 def touched(changed: DataFrame, link: DataFrame, moved: DataFrame) -> DataFrame:
@@ -91,7 +116,7 @@ def refresh(stmt: DataFrame, store: str, ids: DataFrame, ontology: Ontology = ON
     path = f"{store}/segments/{uuid.uuid4().hex}"
     ids.select("id").distinct().write.parquet(f"{path}/touched")
     some = stmt.join(spark.read.parquet(f"{path}/touched").withColumnRenamed("id", "canonical_id"), "canonical_id", "left_semi")
-    _write(staged(some.select(*stmt.columns), "touched"), path, base["parts"], ontology)
+    _write(staged(some.select(*stmt.columns), "touched"), path, base["parts"], base.get("tables", TABLES), ontology)
     _replace(spark, store, base, {**base, "segments": [*base["segments"], path]})
     if len(base["segments"]) >= SEGMENTS:
         compact(spark, store)
@@ -101,9 +126,11 @@ def compact(spark: SparkSession, store: str) -> None:
     """All segments as one, from the rows they hold: nothing is assembled again."""
     base = commits.newest(spark, store)
     path = f"{store}/segments/{uuid.uuid4().hex}"
+    tables = base.get("tables", TABLES)
     for table in ("entities", "view", "names"):
-        _live(spark, base, table).write.parquet(f"{path}/{table}")
-    _write_postings(spark, path, base["parts"])
+        if table in tables:
+            _live(spark, base, table).write.parquet(f"{path}/{table}")
+    _write_postings(spark, path, base["parts"], tables)
     _replace(spark, store, base, {**base, "segments": [path]})
 
 

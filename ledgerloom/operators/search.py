@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import functools
 import unicodedata
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -77,29 +77,42 @@ def search_substring(stmt: DataFrame, query: str, schemas: Sequence[str] = (), l
     return _page(rows, [F.col("exact_score").desc(), F.col("label"), F.col("id")], *page_bounds(limit, offset))
 
 
-def trigrams(c: Column) -> Column:
+def word_trigrams(words: Column) -> Column:
     """Distinct 3-grams of each word with two spaces before and one after it."""
     grams = lambda w: F.transform(F.sequence(F.lit(1), F.length(w) + 1), lambda i: F.substring(F.concat(F.lit("  "), w, F.lit(" ")), i, F.lit(3)))
-    return F.array_distinct(F.flatten(F.transform(words(c), grams)))
+    return F.array_distinct(F.flatten(F.transform(words, grams)))
+
+
+def trigrams(c: Column) -> Column:
+    return word_trigrams(words(c))
 
 
-def _jaccard(a: Column, b: Column) -> Column:
-    return F.when(F.size(F.array_union(a, b)) > 0, F.size(F.array_intersect(a, b)) / F.size(F.array_union(a, b))).otherwise(0.0)
+def _shared(a: Column, b: Column) -> Column:
+    """The Jaccard similarity of arrays of distinct values; callers bind both, so nothing is worked out twice."""
+    both = F.size(F.array_intersect(a, b))
+    return F.when(F.size(a) + F.size(b) > 0, both / (F.size(a) + F.size(b) - both)).otherwise(0.0)
+
+
+def _let(c: Column, body: Callable[[Column], Column]) -> Column:
+    return F.element_at(F.transform(F.array(c), body), 1)
 
 
 def similarity(a: Column, b: Column) -> Column:
-    return _jaccard(trigrams(a), trigrams(b))
+    return _let(trigrams(a), lambda x: _let(trigrams(b), lambda y: _shared(x, y)))
 
 
 def word_similarity(query: str, tokens: Column) -> Column:
     """Greatest similarity of the query to a run of words of the text, as long as the query give or take one word."""
     n = max(1, len([w for w in query.split() if w]))
-    q = F.lit(query)
-    best = []
-    for k in sorted({max(1, n - 1), n, n + 1}):
-        starts = F.sequence(F.lit(1), F.greatest(F.lit(1), F.size(tokens) - k + 1))
-        best.append(F.array_max(F.transform(starts, lambda i, k=k: similarity(q, F.array_join(F.slice(tokens, i, k), " ")))))
-    return F.greatest(*best, F.lit(0.0))
+
+    def best(q: Column) -> Column:
+        runs = []
+        for k in sorted({max(1, n - 1), n, n + 1}):
+            starts = F.sequence(F.lit(1), F.greatest(F.lit(1), F.size(tokens) - k + 1))
+            runs.append(F.array_max(F.transform(starts, lambda i, k=k: _let(word_trigrams(F.slice(tokens, i, k)), lambda g: _shared(q, g)))))
+        return F.greatest(*runs, F.lit(0.0))
+
+    return _let(trigrams(F.lit(query)), best)
 
 
 def search_fuzzy(view: DataFrame, query: str, schemas: Sequence[str] = (), limit: int = 20, offset: int = 0, sim: float = 0.25, word_sim: float = 0.55, ontology: Ontology = ONTOLOGY) -> DataFrame:
@@ -110,8 +123,8 @@ def search_fuzzy(view: DataFrame, query: str, schemas: Sequence[str] = (), limit
     """
     q, low = F.lit(query), query.lower()
     rows = schema_filter(view, schemas, ontology) if schemas else view
-    shares = lambda c, least: F.size(F.array_intersect(trigrams(c), trigrams(q))) > least * F.size(trigrams(q))
-    rows = rows.where(shares(F.col("names_text"), word_sim) | shares(F.coalesce("display_name", F.lit("")), sim) | F.contains(F.lower("names_text"), F.lit(low)))
+    shares = lambda grams, least: _let(trigrams(q), lambda asked: F.size(F.array_intersect(grams, asked)) > least * F.size(asked))
+    rows = rows.where(shares(word_trigrams(F.col("tokens")), word_sim) | shares(trigrams(F.coalesce("display_name", F.lit(""))), sim) | F.contains(F.lower("names_text"), F.lit(low)))
     asked = F.array_distinct(words(q))
     found = F.size(F.array_intersect(asked, F.col("tokens")))
     rows = rows.withColumn("__all", (F.size(asked) > 0) & (found == F.size(asked))).withColumn("__rank", F.when(F.size("tokens") > 0, found / F.size("tokens")).otherwise(0.0))

@@ -820,14 +820,14 @@ def search_fuzzy(spark, d):
     return search.search_fuzzy(search.search_view(_canon(spark, d)), "red wigdet", limit=50).select("id", "display_name", "schema", "total")
 
 
-def _changed_index(spark, d):
-    """An index after a change: before it a tenth of the entities weren't there, a tenth had other names, nations had namesakes, and every other supplier wasn't merged yet."""
+def _changed_index(spark, d, *tables):
+    """An index of these tables after a change: before it a tenth of the entities weren't there, a tenth had other names, nations had namesakes, and every other supplier wasn't merged yet."""
     stmt, link = staged(V.actor_statements(spark, d), "statements"), staged(V.supplier_linker(spark, d), "linker")
     kind, late = F.pmod(F.xxhash64("entity_id"), F.lit(10)), F.pmod(F.xxhash64("entity_id"), F.lit(2)) == 1
     other = F.when((kind == 1) & (F.col("prop") == "name"), F.concat(F.lit("former red widget "), "value")).otherwise(F.col("value"))
     gone = stmt.where("dataset = 'nations'").withColumn("entity_id", F.concat(F.lit("gone-"), "entity_id"))
     store = fresh_path(spark, "index")
-    index.build(N.canonicalise(stmt.where(kind > 0).withColumn("value", other).unionByName(gone), link.where(~late)), store)
+    index.build(N.canonicalise(stmt.where(kind > 0).withColumn("value", other).unionByName(gone), link.where(~late)), store, tables=tables)
     ids = index.touched(stmt.where(kind <= 1).select("entity_id").unionByName(gone.select("entity_id")), link, link.where(late).select("entity_id", F.lit(None).cast("string").alias("before"), F.col("canonical_id").alias("after")))
     index.refresh(N.canonicalise(stmt, link), store, ids)
     return store
@@ -837,25 +837,25 @@ def _changed_index(spark, d):
 def index_entities(spark, d):
     """A-01 from changes only."""
     prop = lambda p: F.coalesce(F.array_join(F.col("properties")[p], "|"), F.lit(""))
-    return index.read(spark, _changed_index(spark, d), "entities").select("id", "schema", "caption", flat("datasets").alias("datasets"), prop("name").alias("names"), prop("country").alias("countries"))
+    return index.read(spark, _changed_index(spark, d, "entities"), "entities").select("id", "schema", "caption", flat("datasets").alias("datasets"), prop("name").alias("names"), prop("country").alias("countries"))
 
 
 @query(SQL["search_view"])
 def index_view(spark, d):
     """A-02 from changes only."""
-    return index.read(spark, _changed_index(spark, d), "view").select("id", "display_name", "schema", "names_text", F.size("tokens").alias("n_tokens"))
+    return index.read(spark, _changed_index(spark, d, "view"), "view").select("id", "display_name", "schema", "names_text", F.size("tokens").alias("n_tokens"))
 
 
 @query(SQL["search_substring"])
 def index_substring(spark, d):
     """L-01 on the stored postings."""
-    return index.search_substring(spark, _changed_index(spark, d), "BUILDING", ["Organization"], 20, 10).select("id", "schema", "name", "exact_score", "total", "has_next")
+    return index.search_substring(spark, _changed_index(spark, d, "names", "piece"), "BUILDING", ["Organization"], 20, 10).select("id", "schema", "name", "exact_score", "total", "has_next")
 
 
 @query(SQL["search_fuzzy"])
 def index_fuzzy(spark, d):
     """L-02 on the stored postings."""
-    return index.search_fuzzy(spark, _changed_index(spark, d), "red wigdet", limit=50).select("id", "display_name", "schema", "total")
+    return index.search_fuzzy(spark, _changed_index(spark, d, "view", "word"), "red wigdet", limit=50).select("id", "display_name", "schema", "total")
 
 
 @query("WITH " + V.CANON + _VIEW + " SELECT s AS schema, count(id) AS n FROM (SELECT unnest(['Company', 'Organization', 'PublicBody', 'Person']) AS s) LEFT JOIN view ON view.schema = s GROUP BY 1")
