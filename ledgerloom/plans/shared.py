@@ -106,16 +106,21 @@ def once(df: DataFrame, keys: Sequence[str], *columns: Column) -> DataFrame:
 UNFOLDED_BYTES = 1 << 20
 
 
-def dealt(df: DataFrame, *keys: str) -> DataFrame:
-    """df by the hash of keys, in partitions whose number grows with its input files, so that what a task holds doesn't."""
-    spark = df.sparkSession
+def input_bytes(df: DataFrame) -> int:
+    """Bytes of the files that df reads."""
     size = 0
     for path in df.inputFiles():
-        store, p = _at(spark, path)
+        store, p = _at(df.sparkSession, path)
         size += store.getFileStatus(p).getLen()
-    wanted = -(-size // UNFOLDED_BYTES)
-    # Up to the session's number adaptive execution may still put small ones together.
-    return df.repartition(wanted, *keys) if wanted > int(spark.conf.get("spark.sql.shuffle.partitions")) else df.repartition(*keys)
+    return size
+
+
+def dealt(df: DataFrame, *keys: str) -> DataFrame:
+    """df by the hash of keys, in partitions whose number grows with its input files, so that what a task holds doesn't.
+
+    The number is fixed, one for each core at least: adaptive execution goes by the bytes of rows as they travel, and would put together what is many times as large, or much work, afterwards.
+    """
+    return df.repartition(max(-(-input_bytes(df) // UNFOLDED_BYTES), df.sparkSession.sparkContext.defaultParallelism), *keys)
 
 
 def clear(spark: SparkSession) -> None:
