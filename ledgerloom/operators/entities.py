@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.plans.model import ONTOLOGY, Ontology
+from ledgerloom.plans.shared import dealt
 
 
 def canonicalise(stmt: DataFrame, linker: DataFrame, values: bool = False) -> DataFrame:
@@ -33,14 +34,19 @@ def entity_schemas(stmt: DataFrame, ontology: Ontology = ONTOLOGY) -> DataFrame:
     return stmt.groupBy("canonical_id").agg(F.collect_set("schema").alias("s")).select("canonical_id", schema_of(F.col("s"), ontology).alias("s")).select("canonical_id", "s.*")
 
 
-def assemble_entities(stmt: DataFrame, datasets: Sequence[str] | None = None, ontology: Ontology = ONTOLOGY) -> DataFrame:
+def assemble_entities(stmt: DataFrame, datasets: Sequence[str] | None = None, ontology: Ontology = ONTOLOGY, few: bool = False) -> DataFrame:
     """A-01: one row for each canonical id with its distinct values by property, datasets, schema and caption.
 
     One pass: dataset and schema count as two more properties of a statement. Values are made distinct (in a hash table, before
     they are shuffled) by canonical id, property and value, so a hub's repeated values don't travel; then they are gathered by canonical id.
+
+    few: canonical ids have a few statements of one value at most. They are dealt by canonical id before they are unfolded, in partitions
+    that grow with the input, which spares the two later shuffles and bounds what a task holds.
     """
     if datasets is not None:
         stmt = stmt.where(F.col("dataset").isin(*datasets))
+    if few:
+        stmt = dealt(stmt.select("canonical_id", "prop", "value", "dataset", "schema"), "canonical_id")
     pair = lambda p, v: F.struct(p.alias("prop"), v.alias("value"))
     own = F.when(F.col("prop") != "id", pair(F.col("prop"), F.col("value")))
     # The names of a dataset's and a schema's entry are no property's.

@@ -58,7 +58,7 @@ _ENTITY = """, ent AS (SELECT canonical_id AS id, arg_max(schema, CASE schema WH
 
 
 def _entities(spark, d):
-    return N.assemble_entities(N.canonicalise(V.actor_statements(spark, d), V.supplier_linker(spark, d)))
+    return N.assemble_entities(N.canonicalise(V.actor_statements(spark, d), V.supplier_linker(spark, d)), few=True)
 
 
 @query("WITH " + V.CANON + _ENTITY + " SELECT id, schema, caption, datasets, names, coalesce(countries, '') AS countries FROM ent")
