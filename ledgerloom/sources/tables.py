@@ -33,12 +33,12 @@ def _chain(c: Column, rules: list[tuple], at: int, default: str | None) -> Colum
 
 
 def rows_to_statements(df: DataFrame, dataset: str, prefix: str, schema_of: list[tuple] = SCHEMA_OF, topic_of: list[tuple] = TOPIC_OF) -> DataFrame:
-    """S-03: rows (id, type, desc) become entities whose schema and topic follow from the type."""
+    """S-03: rows (id, type, desc) become entities whose schema and topic follow from the type. An id has a few rows at most."""
     rows = df.select(
         make_id(prefix, "id").alias("entity_id"), _chain(F.col("type"), schema_of, 1, "LegalEntity").alias("schema"), F.lit(dataset).alias("dataset"),
         F.array(prop_struct("name", F.col("id")), prop_struct("summary", strip_html("desc")), prop_struct("topics", _chain(F.col("type"), topic_of, 1, None))).alias("props"),
     )
-    return to_statements(rows)
+    return to_statements(rows, few=True)
 
 
 def edges_to_statements(df: DataFrame, dataset: str, prefix: str, rules: list[tuple] = EDGE_RULES) -> DataFrame:
