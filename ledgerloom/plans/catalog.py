@@ -894,7 +894,7 @@ def ontology_extension(spark, d):
     ships = ONTOLOGY.extend(tree=[("Vessel", "Entity"), ("Tanker", "Vessel")], props=[("Vessel", "flag", "country", None)])
     kind = F.when(F.col("p_size") % 2 == 0, "Tanker").otherwise("Vessel")
     rows = read_table(spark, d, "part").select(S.make_id("ship", "p_partkey").alias("entity_id"), kind.alias("schema"), F.lit("ships").alias("dataset"), F.array(prop_struct("name", F.col("p_name")), prop_struct("flag", F.lit("gb"))).alias("props"))
-    stmt = to_statements(rows, ships).unionByName(V.actor_statements(spark, d))
+    stmt = to_statements(rows, ships, few=True).unionByName(V.actor_statements(spark, d))
     return search.schema_filter(stmt, ["Vessel"], ships).select("id", "schema", "prop", "prop_type", "value")
 
 
