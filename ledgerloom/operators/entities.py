@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.plans.model import ONTOLOGY, Ontology
-from ledgerloom.plans.shared import dealt
+from ledgerloom.plans.shared import dealt, staged
 
 
 def canonicalise(stmt: DataFrame, linker: DataFrame, values: bool = False) -> DataFrame:
@@ -78,8 +78,14 @@ def entity_references(entities: DataFrame, ontology: Ontology = ONTOLOGY) -> Dat
     return entities.select("id", F.explode("properties").alias("prop", "values")).where(F.col("prop").isin(*names)).select("id", "prop", F.explode("values").alias("ref"))
 
 
-def enrich_references(refs: DataFrame, captions: DataFrame) -> DataFrame:
-    """J-07: (id, prop, ref, ref_caption, ref_schema) for each reference (id, prop, ref); what isn't known has its id as caption and schema Entity."""
+def enrich_references(refs: DataFrame, captions: DataFrame, pointed: DataFrame | None = None) -> DataFrame:
+    """J-07: (id, prop, ref, ref_caption, ref_schema) for each reference (id, prop, ref); what isn't known has its id as caption and schema Entity.
+
+    pointed (ref): all that refs point at, where that is to be had for less than refs. Then the captions of those alone are joined, and staged
+    before: where they are small no reference is shuffled, however often one of them is pointed at.
+    """
+    if pointed is not None:
+        captions = staged(captions.join(pointed.select(F.col("ref").alias("id")).distinct(), "id", "left_semi"), "captions")
     known = captions.select(F.col("id").alias("ref"), F.col("caption").alias("ref_caption"), F.col("schema").alias("ref_schema"))
     return refs.join(known, "ref", "left").select("id", "prop", "ref", F.coalesce("ref_caption", "ref").alias("ref_caption"), F.coalesce("ref_schema", F.lit("Entity")).alias("ref_schema"))
 

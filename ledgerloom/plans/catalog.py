@@ -71,7 +71,7 @@ def assemble_entities(spark, d):
   refs AS (SELECT DISTINCT entity_id AS id, 'agent' AS prop, source AS ref FROM reps UNION SELECT DISTINCT entity_id, 'client', target FROM reps)
   SELECT id, prop, ref, coalesce(caption, ref) AS ref_caption, coalesce(schema, 'Entity') AS ref_schema FROM refs LEFT JOIN named USING (ref)""")
 def enrich_references(spark, d):
-    return N.enrich_references(N.references(V.representation_statements(spark, d)), N.captions(V.actor_statements(spark, d)))
+    return N.enrich_references(N.references(V.representation_statements(spark, d, "entity")), N.captions(V.actor_statements(spark, d)), V.represented(spark, d))
 
 
 @query("WITH " + V.STMT + ", " + V.REPS + """, named AS (SELECT entity_id AS ref, min(value) FILTER (prop = 'name') AS caption FROM stmt GROUP BY 1), refs AS (SELECT DISTINCT entity_id AS id, source AS ref, 'agent' AS prop FROM reps UNION SELECT DISTINCT entity_id, target, 'client' FROM reps)

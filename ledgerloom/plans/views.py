@@ -8,7 +8,7 @@ from pyspark.sql.window import Window
 
 from ledgerloom.functions.scalars import make_id, strip
 from ledgerloom.operators.ner import split_entities
-from ledgerloom.plans.model import EDGES, FRAGMENTS, prop_struct, to_statements
+from ledgerloom.plans.model import EDGES, FRAGMENTS, ONTOLOGY, prop_struct, to_statements
 from ledgerloom.plans.shared import read_table
 
 
@@ -72,14 +72,28 @@ def representations(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def represented(spark: SparkSession, d: str) -> DataFrame:
+    """(ref): what representations point at; keys are made distinct before they are hashed."""
+    li = read_table(spark, d, "lineitem")
+    end = lambda agent, key: F.struct(F.lit(agent).alias("agent"), key.cast("bigint").alias("key"))
+    keys = li.select(F.inline(F.array(end(True, F.col("l_suppkey")), end(False, F.col("l_partkey") % 20)))).distinct()
+    return keys.select(make_id(F.when(F.col("agent"), "supp").otherwise("part"), "key").alias("ref"))
+
+
 REPS = """reps AS (SELECT 'rep-' || sha1(l_orderkey::VARCHAR || '|' || l_linenumber::VARCHAR || '|' || l_partkey::VARCHAR || '|' || l_suppkey::VARCHAR) AS entity_id, 'supp-' || sha1(l_suppkey::VARCHAR) AS source,
   'part-' || sha1((l_partkey % 20)::VARCHAR) AS target, 'Representation' AS schema, CASE l_returnflag WHEN 'R' THEN ' Consultant Lobbyist' WHEN 'A' THEN 'Lobbyist ' END AS role,
   l_shipdate::DATE AS "start", CASE WHEN l_linenumber % 3 <> 0 THEN (l_shipdate::DATE + l_linenumber * 20)::DATE END AS "end" FROM lineitem)"""
 
 
-def representation_statements(spark: SparkSession, d: str) -> DataFrame:
+def representation_statements(spark: SparkSession, d: str, kind: str | None = None) -> DataFrame:
+    """kind: only the statements of this type, of which the others are never made."""
     r = representations(spark, d)
-    return to_statements(r.select("entity_id", "schema", F.lit("deals").alias("dataset"), F.array(prop_struct("agent", F.col("source")), prop_struct("client", F.col("target")), prop_struct("role", F.col("role")), prop_struct("startDate", F.col("start")), prop_struct("endDate", F.col("end"))).alias("props")), few=True)
+    props = {"agent": "source", "client": "target", "role": "role", "startDate": "start", "endDate": "end"}
+    if kind is not None:
+        kinds = {p: k for s, p, k, _ in ONTOLOGY.prop_rows() if s == "Representation"}
+        props = {p: c for p, c in props.items() if kinds[p] == kind}
+    stmt = to_statements(r.select("entity_id", "schema", F.lit("deals").alias("dataset"), F.array(*[prop_struct(p, F.col(c)) for p, c in props.items()]).alias("props")), few=True)
+    return stmt if kind is None else stmt.where(F.col("prop_type") == kind)
 
 
 def part_edges(spark: SparkSession, d: str) -> DataFrame:
