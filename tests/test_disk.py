@@ -1,6 +1,7 @@
 """What lies on disk at a time, and what travels."""
 
 import re
+from collections import Counter
 from pathlib import Path
 
 from oracle import SMALL
@@ -9,8 +10,10 @@ from test_round3 import same_rows
 
 from ledgerloom.functions.scalars import packed, unpacked
 from ledgerloom.operators import edges as E
+from ledgerloom.operators import ner
 from ledgerloom.plans import shared
 from ledgerloom.plans import views as V
+from ledgerloom.plans.model import conform, statement_id
 
 
 def shuffled(spark):
@@ -47,3 +50,14 @@ def test_edge_dedupe_packs_what_travels(spark):
     assert rows(1_000_000) == rows(0)
     plan = E.edge_chains(ids)._jdf.queryExecution().executedPlan().toString()
     assert "unhex" in plan[plan.index("Exchange hash") :]
+
+
+def test_what_follows_from_a_row_is_not_staged(spark):
+    """Statements come back as they were, odd ones too; of a marker only the entity's id is written."""
+    rows = [("e1", "e1", "id", "e1", "d", None), ("e1", "c1", "name", "Acme", "d", None), ("e1", None, "name", None, None, "own"), ("e2", "e2", "alias", "e2", "d", "x"), ("e3", "e3", "id", "e4", "d", None), (None, None, "name", "v", "d", None)]
+    stmt = conform(spark.createDataFrame(rows, "entity_id string, canonical_id string, prop string, value string, dataset string, id string"))
+    stmt = stmt.withColumn("id", F.when(F.col("id").isNull(), statement_id()).otherwise(F.col("id")))
+    out = ner.staged_statements(stmt)
+    assert Counter(map(tuple, out.collect())) == Counter(map(tuple, stmt.collect())) and out.columns == stmt.columns
+    held = spark.read.parquet(*out.inputFiles())
+    assert [r.n for r in held.where("entity_id = 'e1' and prop = 'id'").selectExpr("id is null and canonical_id is null and value is null as n").collect()] == [True]
